@@ -110,7 +110,7 @@ season_events as (
            rank() over (partition by a.year, a.league_id order by a.day desc) as newness
     from adjusted_table a join live_events e using (event_id)
     where a.year = {SEASON}
-    group by all)
+    group by a.event_id, a.league_id, a.league_name, e.event_name, a.day, a.year)
 """
 
 SEASON_PLAYERS = f"""

@@ -19,6 +19,7 @@ from tallyboard.plans.handicaps import handicaps
 from tallyboard.session import tune
 from tallyboard.sources import exports, pages
 from tallyboard.sources.payouts import payout_ladder
+from tallyboard.sources.tables import staged
 
 REGISTERED: dict[str, Callable[["Tables"], DataFrame]] = {}
 
@@ -48,6 +49,10 @@ class Tables:
             "events", lambda: maintain.apply_event_updates(self.league_events, self.event_updates, RUN_TIME)
         )
 
+    def stored(self, name: str) -> DataFrame:
+        """A table as later steps find it: written, not described."""
+        return self._once(f"stored {name}", lambda: staged(getattr(self, name), name))
+
     @property
     def payouts(self):
         return self._once("payouts", lambda: payout_ladder(self.spark, RUN_TIME))
@@ -55,20 +60,26 @@ class Tables:
     @property
     def rounds(self):
         return self._once(
-            "rounds", lambda: handicap.league_rounds(self.raw_scores, self.events, self.leagues, AS_OF)
+            "rounds",
+            lambda: handicap.league_rounds(self.stored("raw_scores"), self.stored("events"), self.leagues, AS_OF),
         )
 
     @property
     def handicaps(self):
         return self._once(
-            "handicaps", lambda: handicaps(self.raw_scores, self.events, self.leagues, AS_OF, RUN_TIME)
+            "handicaps",
+            lambda: handicaps(self.stored("raw_scores"), self.stored("events"), self.leagues, AS_OF, RUN_TIME),
         )
 
+    @property
+    def scored(self):
+        return with_adjusted_score(self.stored("raw_scores"), self.stored("handicaps"))
+
     @property
     def places(self):
         return self._once(
             "places",
-            lambda: with_pot_share(score_places(with_adjusted_score(self.raw_scores, self.handicaps)), self.payouts),
+            lambda: with_pot_share(score_places(self.scored), self.payouts),
         )
 
     @property
@@ -76,20 +87,27 @@ class Tables:
         return self._once(
             "adjusted",
             lambda: adjusted_scores(
-                self.raw_scores, self.handicaps, self.payouts, self.events, self.leagues, PAYOUT_FROM_YEAR
+                self.stored("raw_scores"),
+                self.stored("handicaps"),
+                self.payouts,
+                self.stored("events"),
+                self.leagues,
+                PAYOUT_FROM_YEAR,
             ),
         )
 
     @property
     def season_events(self):
         return self._once(
-            "season_events", lambda: season.season_event_summary(self.events, self.adjusted, self.leagues, SEASON)
+            "season_events",
+            lambda: season.season_event_summary(self.stored("events"), self.stored("adjusted"), self.leagues, SEASON),
         )
 
     @property
     def season_players(self):
         return self._once(
-            "season_players", lambda: season.season_players_summary(self.adjusted, self.handicaps, SEASON)
+            "season_players",
+            lambda: season.season_players_summary(self.stored("adjusted"), self.stored("handicaps"), SEASON),
         )
 
     @property
@@ -176,16 +194,14 @@ def scored_rounds(t):
 
 @registered
 def event_placing(t):
-    scored = with_adjusted_score(t.raw_scores, t.handicaps)
-    return join_groups(scored, score_places(scored), SCORE).select(
+    return join_groups(t.scored, score_places(t.scored), SCORE).select(
         "raw_score_id", "adjusted_score", "place", "tie_count", "num_players"
     )
 
 
 @registered
 def payout_shares(t):
-    scored = with_adjusted_score(t.raw_scores, t.handicaps)
-    return join_groups(scored, t.places, SCORE).select("raw_score_id", "split_percentage")
+    return join_groups(t.scored, t.places, SCORE).select("raw_score_id", "split_percentage")
 
 
 @registered
@@ -217,12 +233,12 @@ def season_players_summary(t):
 
 @registered
 def season_log(t):
-    return season.season_log(t.season_players, t.season_events, t.leagues, t.adjusted, SEASON)
+    return season.season_log(t.season_players, t.season_events, t.leagues, t.stored("adjusted"), SEASON)
 
 
 @registered
 def season_hole_scores(t):
-    return season.season_hole_scores(t.adjusted, t.season_events, t.leagues, t.hole_scores, SEASON)
+    return season.season_hole_scores(t.stored("adjusted"), t.season_events, t.leagues, t.hole_scores, SEASON)
 
 
 # --- lookups and intake ------------------------------------------------------

@@ -13,6 +13,7 @@ from tallyboard.operators.placing import (
     with_pot_share,
 )
 from tallyboard.operators.ranking import with_running_total
+from tallyboard.sources.tables import staged
 
 
 def adjusted_scores(
@@ -42,7 +43,8 @@ def adjusted_scores(
             payout(payout_from_year).alias("payout"),
         )
     )
-    rounds = join_groups(scored, results, SCORE)
+    # Both the daily totals and the rows they are joined to start from here.
+    rounds = staged(join_groups(scored, results, SCORE), "placed_rounds")
     season = ["league_id", "division", "player_username", "year"]
     return with_running_total(rounds, season, "event_end_date", "points", "season_points_as_of_event").select(
         "raw_score_id",

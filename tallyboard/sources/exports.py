@@ -205,9 +205,12 @@ def hole_unpivot(rows: DataFrame) -> DataFrame:
         return rows.select(
             "raw_score_id", F.lit(0).cast("bigint").alias("hole_number"), F.lit(0).cast("bigint").alias("hole_score")
         ).limit(0)
+    filled = F.filter(
+        F.array(*[F.struct(F.lit(name).alias("column"), F.col(name).alias("cell")) for name in holes]),
+        lambda hole: hole["cell"].isNotNull(),
+    )
     return (
-        rows.select("raw_score_id", *holes)
-        .unpivot(["raw_score_id"], holes, "column", "cell")
+        rows.select("raw_score_id", F.inline(filled))
         .select(
             "raw_score_id",
             hole_number(F.col("column")).alias("hole_number"),
