@@ -1,10 +1,14 @@
-"""Written intermediate tables."""
+"""Written tables: intermediate ones and the stored ones of the pipeline."""
 
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallyboard.operators.maintain import conform
+from tallyboard.schemas import BASE_TABLES
 from tallyboard.session import staging_folder
 
 
@@ -27,3 +31,51 @@ def staged(table: DataFrame, label: str) -> DataFrame:
     folder = f"{scratch_folder(table.sparkSession)}/{label}-{uuid.uuid4().hex}"
     table.write.parquet(folder)
     return table.sparkSession.read.schema(table.schema).parquet(folder)
+
+
+class Store:
+    """Stored tables as Parquet folders, and which folders make up each table.
+
+    A run writes new folders and becomes visible with one last row in `runs`. A run that dies
+    earlier leaves folders nobody reads, so nothing is overwritten in place and a retry starts
+    from the last complete state. Fact tables grow by one folder per import; small tables are
+    rewritten.
+    """
+
+    LOG = "run_id string, folders map<string, array<string>>"
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def folders(self) -> dict[str, list[str]]:
+        """The folders of each table after the last complete run."""
+        try:
+            last = self.spark.read.schema(self.LOG).json(f"{self.root}/runs").orderBy(F.desc("run_id")).first()
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return {}
+            raise
+        return dict(last["folders"]) if last else {}
+
+    def read(self, name: str, folders: list[str] | None = None) -> DataFrame:
+        """A table, in its declared layout if it has one; empty if nothing is stored."""
+        folders = self.folders().get(name, []) if folders is None else folders
+        declared = BASE_TABLES.get(name)
+        if not folders:
+            if declared is None:
+                raise LookupError(f"{name} has not been built yet")
+            return self.spark.createDataFrame([], declared)
+        table = self.spark.read.option("mergeSchema", "true").parquet(*folders)
+        return table if declared is None or table.schema == declared else conform(table, declared)
+
+    def write(self, table: DataFrame, name: str, run_id: str) -> str:
+        """Write one new folder of a table; it counts once the run is committed."""
+        folder = f"{self.root}/{name}/run-{run_id}-{uuid.uuid4().hex[:8]}"
+        table.write.parquet(folder)
+        return folder
+
+    def commit(self, run_id: str, folders: dict[str, list[str]]) -> None:
+        self.spark.createDataFrame([(run_id, folders)], self.LOG).coalesce(1).write.mode("append").json(
+            f"{self.root}/runs"
+        )
