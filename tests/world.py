@@ -1,0 +1,211 @@
+"""Small made-up competitions, and the same results worked out row by row."""
+
+import random
+from datetime import date, datetime
+from decimal import ROUND_HALF_UP, Decimal
+
+from tallyboard import schemas
+
+NOW = datetime(2026, 6, 1, 12)
+TODAY = NOW.date()
+
+
+def frame(spark, rows, schema):
+    """Rows given as dicts; columns not given are NULL."""
+    return spark.createDataFrame([tuple(row.get(name) for name in schema.names) for row in rows], schema)
+
+
+def league(league_id="L", **settings):
+    return {
+        "league_id": league_id,
+        "league_name": f"{league_id} league",
+        "league_urls": "https://example.org/l",
+        "league_entry_fee": Decimal("4"),
+        "league_cash_percentage": Decimal("10"),
+        "league_is_handicap": True,
+        "handicap_minimum_rounds": 3,
+        "handicap_rounds_considered": 3,
+        "handicap_years_lookback": 1,
+        "handicap_base_score": 49,
+        "handicap_multiplier": Decimal("0.8"),
+        **settings,
+    }
+
+
+def event(event_id, day, league_id="L", **settings):
+    return {
+        "event_id": event_id,
+        "league_id": league_id,
+        "event_name": f"event {event_id}",
+        "event_end_date": day,
+        "export_url": f"https://example.org/events/{event_id}/leaderboard/export",
+        "is_imported": True,
+        "is_excluded_from_handicap": False,
+        "is_excluded_from_points": False,
+        "is_no_handicap_applied": False,
+        **settings,
+    }
+
+
+def score(raw_score_id, event_id, player, raw_score, league_id="L", division="MPO", name=None):
+    return {
+        "raw_score_id": raw_score_id,
+        "event_id": event_id,
+        "league_id": league_id,
+        "division": division,
+        "player_name": name or str(player).title(),
+        "player_username": player,
+        "raw_score": raw_score,
+    }
+
+
+class World:
+    def __init__(self, leagues, events, scores):
+        self.leagues, self.events, self.scores = leagues, events, scores
+
+    def frames(self, spark):
+        return (
+            frame(spark, self.scores, schemas.RAW_SCORES),
+            frame(spark, self.events, schemas.EVENTS),
+            frame(spark, self.leagues, schemas.LEAGUES),
+        )
+
+
+def random_world(seed, rounds=400):
+    """Ties, missing scores and names, several rounds a day, and every flag."""
+    rng = random.Random(seed)
+    leagues = [
+        league("A", handicap_rounds_considered=3),
+        league("B", handicap_rounds_considered=1, handicap_minimum_rounds=1),
+        league("C", handicap_rounds_considered=0),
+        league("D", handicap_rounds_considered=7, handicap_minimum_rounds=None, handicap_years_lookback=2),
+        league("E", league_is_handicap=False),
+    ]
+    flags = (True, False, False, False, False, None)
+    events = [
+        event(
+            f"{one['league_id']}{number}",
+            rng.choice([None] + [date(year, month, 3) for year in (2024, 2025, 2026) for month in (1, 2, 3, 4)]),
+            one["league_id"],
+            is_excluded_from_handicap=rng.choice(flags),
+            is_no_handicap_applied=rng.choice(flags),
+            is_excluded_from_points=rng.choice(flags),
+            points_multiplier=rng.choice([None, None, Decimal("2"), Decimal("1.5")]),
+            buy_in_override_ammt=rng.choice([None, None, Decimal("6")]),
+        )
+        for one in leagues
+        for number in range(9)
+    ]
+    scores = []
+    for number in range(rounds):
+        chosen = rng.choice(events)
+        scores.append(
+            score(
+                f"r{number:04d}",
+                chosen["event_id"],
+                rng.choice(["ann", "bob", "cat", "dan", None]),
+                rng.choice([None] + list(range(44, 62))),
+                chosen["league_id"],
+                rng.choice(["MPO", "FPO", None]),
+            )
+        )
+    return World(leagues, events, scores)
+
+
+def half_up(number, places=0):
+    return Decimal(number).quantize(Decimal(1).scaleb(-places), ROUND_HALF_UP)
+
+
+def slow_handicaps(world, today):
+    """raw_score_id -> (next handicap, its scores, handicap, its scores, rank), by comparing rounds."""
+    events = {e["event_id"]: e for e in world.events}
+    leagues = {one["league_id"]: one for one in world.leagues}
+    scope = []
+    for s in world.scores:
+        e, one = events.get(s["event_id"]), leagues.get(s["league_id"])
+        if not e or not one or not one["league_is_handicap"] or e["event_end_date"] is None:
+            continue
+        if e["event_end_date"].year >= today.year - one["handicap_years_lookback"]:
+            scope.append((s, e, one))
+
+    led = []
+    for s, e, one in scope:
+        if e["is_no_handicap_applied"] is not False or s["player_username"] is None:
+            continue
+        key = (s["league_id"], s["player_username"])
+        pool = [
+            (f["event_end_date"], o["raw_score_id"], o["raw_score"])
+            for o, f, _ in scope
+            if f["is_excluded_from_handicap"] is False and (o["league_id"], o["player_username"]) == key
+        ]
+        earlier = sum(day < e["event_end_date"] for day, _, _ in pool)
+        behind = sorted((p for p in pool if p[0] <= e["event_end_date"]), reverse=True)
+        used = behind[: one["handicap_rounds_considered"] or 0]
+        if not used:
+            continue
+        values = [raw for _, _, raw in used if raw is not None]
+        minimum = one["handicap_minimum_rounds"]
+        if minimum is not None and minimum - 1 > earlier:
+            following = 0
+        elif values:
+            over = (sum(values) / len(values) - one["handicap_base_score"]) * float(one["handicap_multiplier"])
+            following = max(int(half_up(repr(over))), 0)
+        else:
+            following = None
+        led.append((key, e["event_end_date"], s["raw_score_id"], following, ",".join(map(str, values)) or None))
+
+    result = {}
+    led.sort(key=lambda row: row[1:3])
+    for key, day, round_id, following, listed in led:
+        mine = [row for row in led if row[0] == key]
+        place = [row[2] for row in mine].index(round_id)
+        known = [row[3] for row in mine[:place] if row[3] is not None]
+        lists = [row[4] for row in mine[:place] if row[4] is not None]
+        result[round_id] = (
+            following, listed, known[-1] if known else None, lists[-1] if lists else None, len(mine) - place,
+        )
+    return result
+
+
+def slow_adjusted(world, handicap_of, from_year):
+    """raw_score_id -> (adjusted, place, points, payout, running points)."""
+    events = {e["event_id"]: e for e in world.events}
+    leagues = {one["league_id"]: one for one in world.leagues}
+    rows = []
+    for s in world.scores:
+        strokes = handicap_of.get(s["raw_score_id"])
+        raw = s["raw_score"]
+        rows.append((s, raw - strokes if raw is not None and strokes is not None else raw))
+    placed = {}
+    for s, adjusted in rows:
+        field = [a for o, a in rows if all(o[k] == s[k] for k in ("league_id", "division", "event_id"))]
+        low = [a for a in field if adjusted is not None and (a is None or a < adjusted)]
+        place, ties, size = len(low) + 1, field.count(adjusted), len(field)
+        e, one = events[s["event_id"]], leagues[s["league_id"]]
+        points = (size - place + 1) * (e["points_multiplier"] or Decimal(1))
+        if e["is_excluded_from_points"]:
+            points = Decimal(0)
+        winners = -(-size // 3) if size <= 100 else 0
+        total = sum(0.64**i for i in range(winners))
+        pool = sum(
+            (half_up(repr(0.64 ** (p - 1) / total), 9) for p in range(place, min(place + ties - 1, winners) + 1)), Decimal(0)
+        )
+        share = half_up(pool / ties, 9)
+        year = e["event_end_date"].year if e["event_end_date"] else None
+        payout = Decimal(0)
+        if year is not None and year >= from_year:
+            fee = e["buy_in_override_ammt"] or one["league_entry_fee"]
+            payout = half_up(half_up(size * fee * (1 - one["league_cash_percentage"] / 100) * share, 9))
+        placed[s["raw_score_id"]] = (s, e["event_end_date"], adjusted, place, points, payout)
+
+    def season(row):
+        s, day = row[0], row[1]
+        return s["league_id"], s["division"], s["player_username"], day.year if day else None
+
+    result = {}
+    for key, row in placed.items():
+        so_far = sum(
+            (o[4] for o in placed.values() if season(o) == season(row) and (row[1] is None or o[1] <= row[1])), Decimal(0)
+        )
+        result[key] = (*row[2:], so_far)
+    return result
