@@ -51,7 +51,8 @@ class Tables:
 
     def stored(self, name: str) -> DataFrame:
         """A table as later steps find it: written, not described."""
-        return self._once(f"stored {name}", lambda: staged(getattr(self, name), name))
+        partitions = ["year"] if name == "adjusted" else []
+        return self._once(f"stored {name}", lambda: staged(getattr(self, name), name, *partitions))
 
     @property
     def payouts(self):
@@ -291,7 +292,7 @@ def event_rows(t):
         .drop("event_id")
     )
     plan = exports.import_plan(downloads, t.stored_events, PLAN_AS_OF)
-    return exports.event_rows(t.exports, plan, RUN_TIME).select(
+    return exports.event_rows(exports.turnout(t.exports), plan, RUN_TIME).select(
         "event_id",
         "league_id",
         "event_name",

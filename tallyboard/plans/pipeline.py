@@ -31,9 +31,9 @@ class Run:
     def table(self, name: str) -> DataFrame:
         return self.store.read(name, self.folders.get(name, []))
 
-    def replace(self, name: str, table: DataFrame) -> DataFrame:
-        self.folders[name] = [self.store.write(table, name, self.run_id)]
-        return self.table(name)
+    def replace(self, name: str, table: DataFrame, *partitions: str) -> DataFrame:
+        self.folders[name] = [self.store.write(table, name, self.run_id, *partitions)]
+        return self.table(name).select(*table.columns)
 
     def append(self, name: str, table: DataFrame) -> None:
         self.folders[name] = [*self.folders.get(name, []), self.store.write(table, name, self.run_id)]
@@ -46,17 +46,19 @@ def begin(store: Store, run_time: datetime) -> Run:
 
 def _prune(run: Run, name: str, orphans_of, kept_of) -> None:
     """Rewrite the folders that hold orphans; the others stay as they are."""
-    touched, gone = [], 0
-    for folder in run.folders.get(name, []):
-        count = orphans_of(run.store.read(name, [folder])).count()
-        gone += count
-        if count:
-            touched.append(folder)
+    folders = run.folders.get(name, [])
+    if not folders:
+        run.pruned[name] = 0
+        return
+    # One row per folder that holds orphans, so no more than the table has folders.
+    counts = orphans_of(run.store.read_located(name, folders)).groupBy("folder").count().collect()
+    named = {row["folder"]: row["count"] for row in counts}
+    touched = [folder for folder in folders if folder.rsplit("/", 1)[1] in named]
     if touched:
         kept = kept_of(run.store.read(name, touched))
-        untouched = [folder for folder in run.folders[name] if folder not in touched]
+        untouched = [folder for folder in folders if folder not in touched]
         run.folders[name] = [*untouched, run.store.write(kept, name, run.run_id)]
-    run.pruned[name] = gone
+    run.pruned[name] = sum(named.values())
 
 
 def prune(run: Run) -> None:
@@ -94,20 +96,19 @@ def import_exports(run: Run, downloads: DataFrame, rows: DataFrame, as_of: date)
     still run are noted without scores. Files without rows leave no trace.
     """
     events = run.table("events")
+    files = staged(intake.turnout(rows), "export_turnout")
     wanted = one_file_per_url(pending_exports(downloads, events))
-    plan = intake.import_plan(wanted, events, as_of).join(
-        rows.select("file_path").distinct(), "file_path", "left_semi"
-    )
+    plan = intake.import_plan(wanted, events, as_of).join(files, "file_path", "left_semi")
     plan = staged(plan.where(F.col("action") != "skip"), "import_plan")
     scores = staged(intake.identified_rows(rows, plan), "identified_rows")
     run.append("hole_scores", intake.hole_score_rows(scores, run.run_time))
     run.append("raw_scores", intake.raw_score_rows(scores, run.run_time))
 
     loaded = plan.where(F.col("action") == "full")
-    files = loaded.select("event_id", F.substring_index("file_path", "/", -1).alias("file_name"), "file_path")
-    known = events.unionByName(intake.event_rows(rows, plan, run.run_time))
+    names = loaded.select("event_id", F.substring_index("file_path", "/", -1).alias("file_name"), "file_path")
+    known = events.unionByName(intake.event_rows(files, plan, run.run_time))
     marked = maintain.mark_imported(known, loaded.select("event_id"), run.run_time)
-    run.replace("events", maintain.update_file_metadata(marked, files, run.run_time))
+    run.replace("events", maintain.update_file_metadata(marked, names, run.run_time))
 
 
 def rebuild(run: Run, as_of: date, season: int, payout_from_year: int) -> None:
@@ -118,7 +119,7 @@ def rebuild(run: Run, as_of: date, season: int, payout_from_year: int) -> None:
     leagues, payouts, rounds = run.table("leagues"), run.table("payouts"), run.table("raw_scores")
     strokes = run.replace("handicaps", handicaps(rounds, events, leagues, as_of, run.run_time))
     adjusted = run.replace(
-        "adjusted_scores", adjusted_scores(rounds, strokes, payouts, events, leagues, payout_from_year)
+        "adjusted_scores", adjusted_scores(rounds, strokes, payouts, events, leagues, payout_from_year), "year"
     )
     calendar = run.replace(
         "season_event_summary", reports.season_event_summary(events, adjusted, leagues, season)

@@ -1,4 +1,7 @@
-"""Reports on one season: events, players, the season log and hole scores."""
+"""Reports on one season: events, players, the season log and hole scores.
+
+Adjusted scores are stored by year, so each report reads the season's files only.
+"""
 
 from datetime import date
 
@@ -19,7 +22,7 @@ def in_season(day: str, season: int) -> Column:
 def season_event_summary(events: DataFrame, adjusted: DataFrame, leagues: DataFrame, season: int) -> DataFrame:
     """Events of the season with their turnout, newest ranked first in each league."""
     turnout = (
-        adjusted.where(in_season("event_end_date", season))
+        adjusted.where(F.col("year") == season)
         .groupBy("event_id")
         .agg(
             F.count("*").alias("num_players"),
@@ -55,7 +58,7 @@ def season_players_summary(adjusted: DataFrame, handicaps: DataFrame, season: in
         F.col("next_raw_scores_considered").alias("next_handicap_scores"),
     )
     totals = (
-        adjusted.where(in_season("event_end_date", season))
+        adjusted.where(F.col("year") == season)
         .groupBy("player_username", "player_name", "league_id", "league_name", "division")
         .agg(
             F.max("event_end_date").alias("last_played_date"),
@@ -103,7 +106,7 @@ def season_log(
         .join(leagues.select("league_id", "league_name"), "league_id")
         .withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
     )
-    played = adjusted.where(in_season("event_end_date", season)).select(
+    played = adjusted.where(F.col("year") == season).select(
         "event_id",
         "player_username",
         "raw_score_id",
@@ -158,7 +161,7 @@ def season_hole_scores(
     """Hole by hole scores of the season's rounds."""
     calendar = season_events.where(F.col("year") == season).select("event_id", "event_name", "event_end_date", "year")
     rounds = (
-        adjusted.where(in_season("event_end_date", season))
+        adjusted.where(F.col("year") == season)
         .select("raw_score_id", "event_id", "league_id", "player_username", "player_name")
         .join(calendar, "event_id")
         .join(leagues.select("league_id", "league_name"), "league_id")

@@ -60,13 +60,12 @@ def named_export(table: DataFrame, origin: list[str]) -> DataFrame:
 
 
 def _cells(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All lines of all files as arrays of cells, as wide as the widest line needs."""
+    """All lines of all files as arrays of cells, as many as the widest header names."""
     separators = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))
-    widest = spark.read.text(path).agg(F.max(separators)).first()[0]
-    if widest is None:
-        widest = 0
+    like_header = column_key(F.col("value")).rlike("|".join(REQUIRED))
+    widest = spark.read.text(path).where(like_header).agg(F.coalesce(F.max(separators), F.lit(0))).first()[0]
     names = [f"c{i}" for i in range(widest + 1)]
-    lines = spark.read.schema(", ".join(f"{n} string" for n in names)).option("maxColumns", widest + 1).csv(path)
+    lines = spark.read.schema(", ".join(f"{n} string" for n in names)).csv(path)
     return lines.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -80,6 +79,7 @@ def _headers(lines: DataFrame) -> DataFrame:
     return (
         lines.withColumn("keys", F.transform("cells", column_key))
         .withColumn("known", known)
+        .where(F.col("known") > 0)
         .groupBy("file_path")
         .agg(F.max(F.struct("known", "keys", "cells")).alias("best"))
         .select("file_path", "best.known", "best.keys", F.col("best.cells").alias("header"))
@@ -88,8 +88,16 @@ def _headers(lines: DataFrame) -> DataFrame:
 
 def export_faults(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Files that cannot be imported, with the required columns they lack."""
-    lacking = F.array_sort(F.array_except(F.array(*[F.lit(name) for name in REQUIRED]), F.col("keys")))
-    return _headers(_cells(spark, path)).select("file_path", lacking.alias("missing")).where(F.size("missing") > 0)
+    lines = _cells(spark, path)
+    found = F.coalesce("keys", F.array().cast("array<string>"))
+    lacking = F.array_sort(F.array_except(F.array(*[F.lit(name) for name in REQUIRED]), found))
+    return (
+        lines.select("file_path")
+        .distinct()
+        .join(_headers(lines), "file_path", "left")
+        .select("file_path", lacking.alias("missing"))
+        .where(F.size("missing") > 0)
+    )
 
 
 def scan_exports(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -137,9 +145,13 @@ def import_plan(downloads: DataFrame, events: DataFrame, as_of: date) -> DataFra
     )
 
 
-def event_rows(exports: DataFrame, plan: DataFrame, run_time: datetime) -> DataFrame:
-    """Rows for events not stored yet; num_players counts the names that are not NULL."""
-    turnout = exports.groupBy("file_path").agg(F.count("name").alias("num_players"))
+def turnout(exports: DataFrame) -> DataFrame:
+    """One row per export file that has rows; num_players counts the names that are not NULL."""
+    return exports.groupBy("file_path").agg(F.count("name").alias("num_players"))
+
+
+def event_rows(files: DataFrame, plan: DataFrame, run_time: datetime) -> DataFrame:
+    """Rows for events not stored yet, from the turnout of their files."""
     stamp = F.lit(run_time).cast("timestamp")
     fixed = {
         "is_downloaded": F.lit(True),
@@ -151,7 +163,7 @@ def event_rows(exports: DataFrame, plan: DataFrame, run_time: datetime) -> DataF
     }
     return (
         plan.where((F.col("action") != "skip") & F.col("is_new"))
-        .join(turnout, "file_path")
+        .join(files, "file_path")
         .withColumn("event_name", event_name(F.col("file_path")))
         .withColumn("file_name", F.substring_index("file_path", "/", -1))
         .withColumn("download_date", download_time(F.col("file_path")))

@@ -22,15 +22,15 @@ def scratch_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="run-")
 
 
-def staged(table: DataFrame, label: str) -> DataFrame:
+def staged(table: DataFrame, label: str, *partitions: str) -> DataFrame:
     """The table, written once and read back.
 
     For results that several later steps read: they are worked out once, later steps read only
     the columns they need, and a lost executor costs no recomputation of what came before.
     """
     folder = f"{scratch_folder(table.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    table.write.parquet(folder)
-    return table.sparkSession.read.schema(table.schema).parquet(folder)
+    table.write.partitionBy(*partitions).parquet(folder)
+    return table.sparkSession.read.schema(table.schema).parquet(folder).select(*table.columns)
 
 
 class Store:
@@ -69,10 +69,16 @@ class Store:
         table = self.spark.read.option("mergeSchema", "true").parquet(*folders)
         return table if declared is None or table.schema == declared else conform(table, declared)
 
-    def write(self, table: DataFrame, name: str, run_id: str) -> str:
+    def read_located(self, name: str, folders: list[str]) -> DataFrame:
+        """A fact table with the name of the folder each row is in."""
+        table = self.spark.read.option("mergeSchema", "true").parquet(*folders)
+        folder = F.element_at(F.split("_metadata.file_path", "/"), -2)
+        return table.select("*", folder.alias("folder"))
+
+    def write(self, table: DataFrame, name: str, run_id: str, *partitions: str) -> str:
         """Write one new folder of a table; it counts once the run is committed."""
         folder = f"{self.root}/{name}/run-{run_id}-{uuid.uuid4().hex[:8]}"
-        table.write.parquet(folder)
+        table.write.partitionBy(*partitions).parquet(folder)
         return folder
 
     def commit(self, run_id: str, folders: dict[str, list[str]]) -> None:

@@ -182,8 +182,8 @@ def slow_adjusted(world, handicap_of, from_year):
         low = [a for a in field if adjusted is not None and (a is None or a < adjusted)]
         place, ties, size = len(low) + 1, field.count(adjusted), len(field)
         e, one = events[s["event_id"]], leagues[s["league_id"]]
-        points = (size - place + 1) * (e["points_multiplier"] or Decimal(1))
-        if e["is_excluded_from_points"]:
+        points = (size - place + 1) * (e.get("points_multiplier") or Decimal(1))
+        if e.get("is_excluded_from_points"):
             points = Decimal(0)
         winners = -(-size // 3) if size <= 100 else 0
         total = sum(0.64**i for i in range(winners))
@@ -194,7 +194,7 @@ def slow_adjusted(world, handicap_of, from_year):
         year = e["event_end_date"].year if e["event_end_date"] else None
         payout = Decimal(0)
         if year is not None and year >= from_year:
-            fee = e["buy_in_override_ammt"] or one["league_entry_fee"]
+            fee = e.get("buy_in_override_ammt") or one["league_entry_fee"]
             payout = half_up(half_up(size * fee * (1 - one["league_cash_percentage"] / 100) * share, 9))
         placed[s["raw_score_id"]] = (s, e["event_end_date"], adjusted, place, points, payout)
 
