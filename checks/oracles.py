@@ -277,6 +277,12 @@ def oracle_sql() -> dict[str, str]:
             where raw_score_id in (
                 select raw_score_id from raw_scores
                 where event_id in (select event_id from league_events where month(event_end_date) <> 3))""",
+        "conform": _with(ctes("hole_scores")) + """
+            select cast(null as varchar) as hole_score_id, raw_score_id, hole_number,
+                   case when hole_score % 10 <> 0 then hole_score end as hole_score
+            from hole_scores""",
+        "orphan_raw_scores": _with(ctes("raw_scores")) + """
+            select league_id, count(*) as count from raw_scores where event_id like '%-03-01' group by 1""",
         "clean_scores": _with(ctes("exports"), CLEAN) + """
             select raw_score_id, event_id, league_id, nullif(trim(division), '') as division,
                    trim(name) as player_name, nullif(trim(username), '') as player_username, total as raw_score
@@ -296,6 +302,15 @@ def oracle_sql() -> dict[str, str]:
             from league_events e join exports x using (event_id)
             where e.event_end_date >= date '2001-06-01'
             group by 1, 2, 3, 4, 5, 7, 8""",
+        "round_ids": _with(ctes("exports")) + """
+            select file_path, 2 * count(*) as rows, 2 * count(*) as ids from exports
+            where trim(name) <> '' group by 1""",
+        "league_configs": _with(ctes("config_cells")) + """
+            select segment as league_name, 'https://example.org/' || segment || '|x' as league_urls,
+                   cast(players as double) as league_entry_fee, segment > 'B' as league_is_handicap,
+                   0 as handicap_rounds_considered
+            from (select c_mktsegment as segment, count(*) as players from customer group by 1) all_segments
+            where segment not in ('MACHINERY', 'FURNITURE')""",
         "file_name_parts": _with(ctes("exports")) + """
             select distinct file_path, replace(league_id || '-league', '-', ' ') as event_name,
                    regexp_extract(event_id, '[0-9]{4}-[0-9]{2}-[0-9]{2}$') || ' 08:00:00' as download_date
@@ -314,17 +329,29 @@ def oracle_sql() -> dict[str, str]:
                         else false end as flag,
                    case when role = 'user' then true when turn % 2 = 1 then false end as by_user
             from conversations""",
-        "page_links": """
-            with bare as (select page_id, regexp_replace(html, '<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', '', 'gsi') as html from pages),
-            tags as (select page_id, regexp_extract_all(html, '<a\\s[^>]*?href="([^"]*)"', 1, 'si') as hrefs from bare),
+        "page_links": r"""
+            with bare as (select page_id, regexp_replace(html, '<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'gsi') as html from pages),
+            tags as (select page_id, regexp_extract_all(html, '<a\s[^>]*?href="([^"]*)"', 1, 'si') as hrefs from bare),
             links as (select page_id, unnest(hrefs) as link, generate_subscripts(hrefs, 1) - 1 as position from tags)
             select page_id, replace(link, '&amp;', '&') as link, min(position) as position from links
             where link like '/%' group by 1, 2""",
-        "page_links_resolved": """
-            with bare as (select page_id, url, regexp_replace(html, '<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', '', 'gsi') as html from pages),
-            tags as (select page_id, url, regexp_extract_all(html, '<a\\s[^>]*?href="([^"]*)"', 1, 'si') as hrefs from bare),
+        "page_links_resolved": r"""
+            with bare as (select page_id, url, regexp_replace(html, '<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'gsi') as html from pages),
+            tags as (select page_id, url, regexp_extract_all(html, '<a\s[^>]*?href="([^"]*)"', 1, 'si') as hrefs from bare),
             links as (select page_id, url, unnest(hrefs) as link, generate_subscripts(hrefs, 1) - 1 as position from tags)
             select page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') || replace(link, '&amp;', '&') as export_url,
                    min(position) as position
             from links group by 1, 2""",
+        "event_links": r"""
+            with bare as (select page_id, regexp_replace(html, '<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'gsi') as html from pages
+                          where 2020 + page_id % 7 >= 2023),
+            tags as (select page_id, regexp_extract_all(html, '<a\s[^>]*?href="([^"]*)"', 1, 'si') as hrefs from bare),
+            links as (select page_id, unnest(hrefs) as link, generate_subscripts(hrefs, 1) - 1 as position from tags)
+            select page_id, 'https://example.org/events/leaderboard' || replace(link, '&amp;', '&') as url,
+                   min(position) as position
+            from links group by 1, 2""",
+        "page_end_dates": """
+            select page_id, case when page_id % 3 = 0 then '2024-0' || cast(1 + page_id % 9 as varchar) || '-15' end
+                       as event_end_date
+            from pages""",
     }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.standins import AS_OF, PAYOUT_FROM_YEAR, PLAN_AS_OF, RUN_TIME, SEASON, given, standin
+from checks.standins import AS_OF, PAYOUT_FROM_YEAR, PLAN_AS_OF, RUN_TIME, SEASON, SITE, given, standin
 from tallyboard.functions.text import download_time, event_name, join_list, split_list, to_flag
 from tallyboard.operators import handicap, lookups, maintain
 from tallyboard.operators.matching import join_groups
@@ -16,8 +16,10 @@ from tallyboard.operators.placing import SCORE, score_places, with_adjusted_scor
 from tallyboard.plans import season
 from tallyboard.plans.adjusted import adjusted_scores
 from tallyboard.plans.handicaps import handicaps
+from tallyboard.schemas import HOLE_SCORES
 from tallyboard.session import tune
 from tallyboard.sources import exports, pages
+from tallyboard.sources.leagues import league_entries, league_rows
 from tallyboard.sources.payouts import payout_ladder
 from tallyboard.sources.tables import staged
 
@@ -304,6 +306,31 @@ def event_rows(t):
     )
 
 
+@registered
+def round_ids(t):
+    """Rows and distinct round ids of each export."""
+    files = t.exports.select("file_path", "event_id", "league_id").distinct()
+    plan = files.select(
+        "file_path", F.col("file_path").alias("export_url"), "event_id", "league_id", F.lit("full").alias("action")
+    )
+    cells = t.exports.drop("raw_score_id", "event_id", "league_id")
+    # Every row twice: copies are rounds of their own.
+    rows = exports.identified_rows(cells.unionByName(cells), plan)
+    return rows.groupBy("file_path").agg(
+        F.count("*").alias("rows"), F.count_distinct("raw_score_id").alias("ids")
+    )
+
+
+@registered
+def league_configs(t):
+    given_settings = [c for c in t.config_cells.columns if c != "segment"]
+    entry = F.map_from_arrays(F.array(*[F.lit(c) for c in given_settings]), F.array(*given_settings))
+    rows = league_rows(league_entries(t.config_cells.select(entry.alias("entry"))), RUN_TIME)
+    return rows.select(
+        "league_name", "league_urls", "league_entry_fee", "league_is_handicap", "handicap_rounds_considered"
+    )
+
+
 @registered
 def file_name_parts(t):
     path = F.col("file_path")
@@ -368,6 +395,18 @@ def update_league(t):
     )
 
 
+@registered
+def conform(t):
+    """Hole scores in another layout, brought to the declared one."""
+    found = t.hole_scores.select(
+        "raw_score_id",
+        F.concat("hole_number", F.lit("")).alias("hole_number"),
+        F.when(F.col("hole_score") % 10 == 0, "-").otherwise(F.col("hole_score").cast("string")).alias("hole_score"),
+        F.lit(1).alias("extra"),
+    )
+    return maintain.conform(found, HOLE_SCORES).select("hole_score_id", "raw_score_id", "hole_number", "hole_score")
+
+
 def _kept_events(t):
     return t.league_events.where(F.month("event_end_date") != 3)
 
@@ -394,3 +433,18 @@ def page_links(t):
 @registered
 def page_links_resolved(t):
     return pages.resolved_links(t.given("pages"), wanted=F.lit(True))
+
+
+@registered
+def event_links(t):
+    return pages.event_links(t.event_pages, SITE, 2023)
+
+
+@registered
+def page_end_dates(t):
+    return pages.page_end_dates(t.event_pages)
+
+
+@registered
+def orphan_raw_scores(t):
+    return maintain.orphan_raw_scores(t.raw_scores, _kept_events(t)).groupBy("league_id").count()

@@ -151,6 +151,29 @@ STORED_EVENTS = """
 select * from {league_events} where event_end_date < date '2001-06-01'
 """
 
+# League settings as they stand in a config file, in both spellings and with gaps.
+CONFIG_CELLS = """
+select c_mktsegment as segment,
+       case when c_mktsegment < 'F' then ' ' || c_mktsegment || ' ' end as league_name,
+       case when c_mktsegment > 'G' then c_mktsegment end as name,
+       case when c_mktsegment <> 'MACHINERY' then 'https://example.org/' || c_mktsegment || ' | |x' end as urls,
+       cast(players as string) as league_entry_fee,
+       case when c_mktsegment > 'B' then 'true' end as league_is_handicap
+from (select c_mktsegment, count(*) as players from {customer} group by 1) segments
+"""
+
+# Pages whose links lead to leaderboards, with a year label in each link and a date at the end.
+EVENT_PAGES = """
+select page_id, url,
+       replace(replace(html, '<a href="/', '<a href="/events/leaderboard/'), '</a>',
+               ' <span class="ml-2 font-normal text-sm text-subtle"> ' || cast(2020 + page_id % 7 as string)
+               || ' </span></a>')
+           || case when page_id % 3 = 0 then '<time datetime="2024-01-01">start</time><time class="x" datetime="2024-0'
+                        || cast(1 + page_id % 9 as string) || '-15">end</time>'
+                   when page_id % 3 = 1 then '<time datetime="soon">?</time>' else '' end as html
+from {pages}
+"""
+
 TEXTS = {
     "leagues": LEAGUES,
     "league_events": LEAGUE_EVENTS,
@@ -160,6 +183,8 @@ TEXTS = {
     "exports": EXPORTS,
     "candidates": CANDIDATES,
     "stored_events": STORED_EVENTS,
+    "config_cells": CONFIG_CELLS,
+    "event_pages": EVENT_PAGES,
 }
 GIVEN = ("customer", "orders", "lineitem", "pages", "documents")
 
