@@ -1,8 +1,9 @@
 """Handicaps from a player's most recent rounds.
 
 All rounds a player has in a league on one day see the same earlier rounds, so the history
-is worked out on one row per player and day. That keeps every window group no longer than
-the number of days in the lookback, even for a name that thousands of guests share.
+is worked out on one row per player and day. The rounds of a day are first dealt into shares
+and reduced to one row per share. So no group holds more than days times shares rows, even
+for a name that most rounds share, and even if they were all played on one day.
 """
 
 from datetime import date
@@ -20,6 +21,13 @@ RULES = [
     "handicap_multiplier",
 ]
 SLOT = 2**32
+# Rounds of one day are ordered by share, then id. The order is arbitrary but must not change
+# with the cluster, so the number of shares is fixed.
+SHARES = 256
+
+
+def share_of(round_id: str) -> Column:
+    return F.pmod(F.crc32(F.col(round_id).cast("binary")), F.lit(SHARES)).cast("int")
 
 
 def league_rounds(raw_scores: DataFrame, events: DataFrame, leagues: DataFrame, as_of: date) -> DataFrame:
@@ -43,7 +51,7 @@ def league_rounds(raw_scores: DataFrame, events: DataFrame, leagues: DataFrame,
         .join(days.where("counts or receives"), "event_id")
         .join(rules, "league_id")
         .where(F.year("event_end_date") >= first_year)
-        .select("raw_score_id", "raw_score", *PLAYER_DAY, *RULES, "counts", "receives")
+        .select("raw_score_id", "raw_score", *PLAYER_DAY, share_of("raw_score_id").alias("share"), *RULES, "counts", "receives")
     )
 
 
@@ -54,20 +62,36 @@ def player_days(rounds: DataFrame) -> DataFrame:
     considered        the latest counting rounds up to and including the day, newest first,
                       as many as the league considers
     receiving_rounds  rounds of the day that get a handicap
+    shares            how many of them each share of the day has
     """
-    by_day = W.partitionBy(*PLAYER_DAY).orderBy(F.desc("counts"), F.desc("raw_score_id"))
-    wanted = F.col("counts") & (F.col("newest") <= F.col("handicap_rounds_considered"))
-    round_taken = F.struct("raw_score_id", "raw_score", "event_end_date")
+    in_share = W.partitionBy(*PLAYER_DAY, "share").orderBy(F.desc("counts"), F.desc("raw_score_id"))
+    considered = F.col("handicap_rounds_considered")
+    wanted = F.col("counts") & (F.col("newest") <= considered)
+    round_taken = F.struct("share", "raw_score_id", "raw_score", "event_end_date")
+    shares = (
+        rounds.where(F.col("player_username").isNotNull() & (considered > 0))
+        .withColumn("newest", F.row_number().over(in_share))
+        .groupBy(*PLAYER_DAY, "share", *RULES)
+        .agg(
+            F.count_if("counts").alias("counting"),
+            F.count_if("receives").alias("receiving"),
+            F.min(F.when(F.col("receives"), F.col("raw_score_id"))).alias("first_id"),
+            F.collect_list(F.when(wanted, round_taken)).alias("latest"),
+        )
+    )
+    receivers = F.struct("share", "receiving")
+    # Partitioned by player here, so that neither the day totals nor the windows shuffle again.
     days = (
-        rounds.where(F.col("player_username").isNotNull() & (F.col("handicap_rounds_considered") > 0))
-        .withColumn("newest", F.row_number().over(by_day))
+        shares.repartition(*PLAYER)
         .groupBy(*PLAYER_DAY, *RULES)
         .agg(
-            F.count_if("counts").alias("counting_rounds"),
-            F.count_if("receives").alias("receiving_rounds"),
-            F.min(F.when(F.col("receives"), F.col("raw_score_id"))).alias("first_receiver"),
-            F.sort_array(F.collect_list(F.when(wanted, round_taken)), asc=False).alias("latest"),
+            F.sum("counting").alias("counting_rounds"),
+            F.sum("receiving").alias("receiving_rounds"),
+            F.min(F.when(F.col("first_id").isNotNull(), F.struct("share", "first_id"))).alias("first_receiver"),
+            F.sort_array(F.flatten(F.collect_list("latest")), asc=False).alias("latest"),
+            F.collect_list(F.when(F.col("receiving") > 0, receivers)).alias("shares"),
         )
+        .withColumn("latest", F.slice("latest", F.lit(1), considered.cast("int")))
     )
 
     in_order = W.partitionBy(*PLAYER).orderBy("event_end_date")
@@ -110,12 +134,12 @@ def with_next_handicap(days: DataFrame) -> DataFrame:
     )
 
 
-def receiving_rounds(rounds: DataFrame, days: DataFrame) -> DataFrame:
-    """The rounds that get a handicap, next to the history of their day."""
+def receiving_rounds(rounds: DataFrame, history: DataFrame, keys: list[str] = PLAYER_DAY) -> DataFrame:
+    """The rounds that get a handicap, next to the history of their day or share of a day."""
     return (
         rounds.where("receives")
-        .select("raw_score_id", "raw_score", *PLAYER_DAY)
-        .join(days, PLAYER_DAY)
+        .select("raw_score_id", "raw_score", *PLAYER_DAY, *[key for key in keys if key not in PLAYER_DAY])
+        .join(history, keys)
     )
 
 

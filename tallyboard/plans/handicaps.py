@@ -21,8 +21,9 @@ def handicaps(
 ) -> DataFrame:
     """One row per round that gets a handicap and has at least one counting round behind it.
 
-    A round plays with the handicap of the player's previous such round; rounds of one day
-    are ordered by id. The newest round of a player has handicap_rank 1.
+    A round plays with the handicap of the player's previous such round. The newest round of a
+    player has handicap_rank 1. Days pass their results back to the shares of their rounds, so
+    a crowded day is numbered by many tasks.
     """
     rounds = league_rounds(raw_scores, events, leagues, as_of)
     listed = (F.col("taken") > 0) & (F.col("receiving_rounds") > 0)
@@ -40,6 +41,7 @@ def handicaps(
         .select(
             *PLAYER_DAY,
             "first_receiver",
+            "shares",
             "next_handicap",
             "next_raw_scores_considered",
             *carried.values(),
@@ -48,16 +50,25 @@ def handicaps(
         )
         .where("listed")
     )
+    newer_in_day = F.aggregate(
+        F.filter("shares", lambda other: other["share"] > F.col("part.share")),
+        F.lit(0).cast("bigint"),
+        lambda total, other: total + other["receiving"],
+    )
+    day_shares = days.withColumn("part", F.explode("shares")).select(
+        "*", F.col("part.share").alias("share"), (F.col("newer_rounds") + newer_in_day).alias("newer")
+    ).drop("part", "shares", "newer_rounds", "listed")
 
-    newest_first = W.partitionBy(*PLAYER_DAY).orderBy(F.desc("raw_score_id"))
-    first_of_day = F.col("raw_score_id") == F.col("first_receiver")
+    share = [*PLAYER_DAY, "share"]
+    newest_first = W.partitionBy(*share).orderBy(F.desc("raw_score_id"))
+    first_of_day = F.struct("share", "raw_score_id") == F.col("first_receiver")
 
     def played_with(name):
         return F.when(first_of_day, F.col(f"previous_{name}")).otherwise(
             F.coalesce(name, f"previous_{name}")
         )
 
-    return receiving_rounds(rounds, days).select(
+    return receiving_rounds(rounds, day_shares, share).select(
         "raw_score_id",
         "raw_score",
         "next_handicap",
@@ -65,6 +76,6 @@ def handicaps(
         *PLAYER_DAY,
         played_with("next_handicap").alias("handicap"),
         played_with("next_raw_scores_considered").alias("raw_scores_considered"),
-        (F.col("newer_rounds") + F.row_number().over(newest_first)).alias("handicap_rank"),
+        (F.col("newer") + F.row_number().over(newest_first)).alias("handicap_rank"),
         F.lit(run_time).cast("timestamp").alias("create_time"),
     )
