@@ -308,7 +308,7 @@ def oracle_sql() -> dict[str, str]:
         "league_configs": _with(ctes("config_cells")) + """
             select segment as league_name, 'https://example.org/' || segment || '|x' as league_urls,
                    cast(players as double) as league_entry_fee, segment > 'B' as league_is_handicap,
-                   0 as handicap_rounds_considered
+                   cast(0 as bigint) as handicap_rounds_considered
             from (select c_mktsegment as segment, count(*) as players from customer group by 1) all_segments
             where segment not in ('MACHINERY', 'FURNITURE')""",
         "file_name_parts": _with(ctes("exports")) + """

@@ -6,7 +6,7 @@ new ones; the caller writes them to a fresh place.
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,13 +124,18 @@ def schema_drift(found: T.StructType, declared: T.StructType) -> dict[str, list[
     }
 
 
-def conform(table: DataFrame, declared: T.StructType) -> DataFrame:
-    """The table in its declared layout: no row is lost, values that do not fit become NULL."""
-    have = set(table.columns)
-    return table.select(
-        *[
-            (F.col(field.name).try_cast(field.dataType) if field.name in have else F.lit(None).cast(field.dataType))
-            .alias(field.name)
-            for field in declared
-        ]
-    )
+def conform(table: DataFrame, declared: T.StructType, extra: Column | None = None) -> DataFrame:
+    """The table in its declared layout: no row is lost, values that do not fit become NULL.
+
+    `extra` is a further column to keep.
+    """
+    have = {field.name: field.dataType for field in table.schema}
+
+    def fitted(field):
+        if field.name not in have:
+            return F.lit(None).cast(field.dataType).alias(field.name)
+        if have[field.name] == field.dataType:
+            return F.col(field.name)
+        return F.col(field.name).try_cast(field.dataType).alias(field.name)
+
+    return table.select(*[fitted(field) for field in declared], *([] if extra is None else [extra]))

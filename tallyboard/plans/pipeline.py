@@ -51,7 +51,7 @@ def _prune(run: Run, name: str, orphans_of, kept_of) -> None:
         run.pruned[name] = 0
         return
     # One row per folder that holds orphans, so no more than the table has folders.
-    counts = orphans_of(run.store.read_located(name, folders)).groupBy("folder").count().collect()
+    counts = orphans_of(run.store.read(name, folders, located=True)).groupBy("folder").count().collect()
     named = {row["folder"]: row["count"] for row in counts}
     touched = [folder for folder in folders if folder.rsplit("/", 1)[1] in named]
     if touched:

@@ -1,11 +1,14 @@
 """Written tables: intermediate ones and the stored ones of the pipeline."""
 
+import hashlib
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyboard.operators.maintain import conform
 from tallyboard.schemas import BASE_TABLES
@@ -33,6 +36,11 @@ def staged(table: DataFrame, label: str, *partitions: str) -> DataFrame:
     return table.sparkSession.read.schema(table.schema).parquet(folder).select(*table.columns)
 
 
+def layout_mark(schema: T.StructType) -> str:
+    """A short mark that two tables share if their columns have the same names and types."""
+    return hashlib.sha256(schema.simpleString().encode()).hexdigest()[:8]
+
+
 class Store:
     """Stored tables as Parquet folders, and which folders make up each table.
 
@@ -58,26 +66,34 @@ class Store:
             raise
         return dict(last["folders"]) if last else {}
 
-    def read(self, name: str, folders: list[str] | None = None) -> DataFrame:
-        """A table, in its declared layout if it has one; empty if nothing is stored."""
+    def read(self, name: str, folders: list[str] | None = None, located: bool = False) -> DataFrame:
+        """A table, in its declared layout if it has one; empty if nothing is stored.
+
+        Folders carry a mark of the layout they were written in, so only folders of an older
+        layout are opened to see what is in them. `located` adds the name of each row's folder.
+        """
         folders = self.folders().get(name, []) if folders is None else folders
         declared = BASE_TABLES.get(name)
         if not folders:
             if declared is None:
                 raise LookupError(f"{name} has not been built yet")
             return self.spark.createDataFrame([], declared)
-        table = self.spark.read.option("mergeSchema", "true").parquet(*folders)
-        return table if declared is None or table.schema == declared else conform(table, declared)
-
-    def read_located(self, name: str, folders: list[str]) -> DataFrame:
-        """A fact table with the name of the folder each row is in."""
-        table = self.spark.read.option("mergeSchema", "true").parquet(*folders)
-        folder = F.element_at(F.split("_metadata.file_path", "/"), -2)
-        return table.select("*", folder.alias("folder"))
+        if declared is None:
+            return self.spark.read.parquet(*folders)
+        current = [folder for folder in folders if f"/{layout_mark(declared)}/" in folder]
+        parts = [self.spark.read.parquet(folder) for folder in folders if folder not in current]
+        if current:
+            parts.append(self.spark.read.schema(declared).parquet(*current))
+        shaped = [conform(part, declared, self._folder() if located else None) for part in parts]
+        return reduce(DataFrame.unionByName, shaped)
+
+    @staticmethod
+    def _folder() -> Column:
+        return F.element_at(F.split("_metadata.file_path", "/"), -2).alias("folder")
 
     def write(self, table: DataFrame, name: str, run_id: str, *partitions: str) -> str:
         """Write one new folder of a table; it counts once the run is committed."""
-        folder = f"{self.root}/{name}/run-{run_id}-{uuid.uuid4().hex[:8]}"
+        folder = f"{self.root}/{name}/{layout_mark(table.schema)}/run-{run_id}-{uuid.uuid4().hex[:8]}"
         table.write.partitionBy(*partitions).parquet(folder)
         return folder
 

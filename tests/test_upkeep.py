@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tallyboard import schemas
 from tallyboard.operators import lookups, maintain
+from tallyboard.sources.tables import Store
 from tests.world import NOW, event, frame, league, score
 
 OLD = datetime(2020, 1, 1)
@@ -138,3 +139,19 @@ def test_lookups(spark):
     a = lookups.league_by_id(leagues, "A").first()
     assert (a.name, a.url, a.urls, a.entry_fee) == ("A league", "u1", ["u1", "u2"], Decimal(4))
     assert lookups.league_by_id(leagues, "B").first().url == ""
+
+
+def test_older_layouts_are_read_in_the_declared_one(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    new = frame(spark, [score("1", "a", "x", 5)], schemas.RAW_SCORES)
+    old = spark.createDataFrame([("2", "a", "6"), ("3", "b", "?")], "raw_score_id string, event_id string, raw_score string")
+    folders = [store.write(new, "raw_scores", "r1"), store.write(old, "raw_scores", "r0")]
+    store.commit("r1", {"raw_scores": folders})
+    table = store.read("raw_scores")
+    assert [(f.name, f.dataType) for f in table.schema] == [(f.name, f.dataType) for f in schemas.RAW_SCORES]
+    assert sorted((r.raw_score_id, r.raw_score) for r in table.collect()) == [("1", 5), ("2", 6), ("3", None)]
+    located = store.read("raw_scores", located=True).collect()
+    assert {r.raw_score_id: r.folder[:6] for r in located} == {"1": "run-r1", "2": "run-r0", "3": "run-r0"}
+    assert store.read("events").count() == 0
+    with pytest.raises(LookupError):
+        store.read("season_log")
