@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,17 +22,26 @@ from tallyboard.session import tune
 from tallyboard.sources import exports, pages
 from tallyboard.sources.leagues import league_entries, league_rows
 from tallyboard.sources.payouts import payout_ladder
-from tallyboard.sources.tables import staged
+from tallyboard.sources.tables import reread, write_staged
 
 REGISTERED: dict[str, Callable[["Tables"], DataFrame]] = {}
 
 
+# Tables written in this session, by application, input folder and name.
+WRITTEN: dict[tuple[str, str, str], tuple[DataFrame, str, int]] = {}
+
+
 class Tables:
-    """The stand-in tables and the derived tables of one run, each described once."""
+    """The stand-in tables and the derived tables of one run, each described once.
+
+    Tables that others build on are written once per session, as in a rebuild where each
+    table reads the stored ones before it. `fresh` writes them anew.
+    """
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, fresh: bool = False):
         self.spark = tune(spark)
         self.folder = folder
+        self.fresh = fresh
         self._made: dict[str, DataFrame] = {}
 
     def _once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
@@ -53,8 +63,20 @@ class Tables:
 
     def stored(self, name: str) -> DataFrame:
         """A table as later steps find it: written, not described."""
+
         partitions = ["year"] if name == "adjusted" else []
-        return self._once(f"stored {name}", lambda: staged(getattr(self, name), name, *partitions))
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+
+        def find() -> DataFrame:
+            if not self.fresh and key in WRITTEN and still_there(*WRITTEN[key]):
+                return WRITTEN[key][0]
+            made = getattr(self, name)
+            folder = write_staged(made, name, *partitions)
+            table = reread(made, folder)
+            WRITTEN[key] = (table, folder, len(table.inputFiles()))
+            return table
+
+        return self._once(f"stored {name}", find)
 
     @property
     def payouts(self):
@@ -119,6 +141,14 @@ class Tables:
         return exports.import_plan(downloads, self.stored_events, PLAN_AS_OF)
 
 
+def still_there(table: DataFrame, folder: str, files: int) -> bool:
+    """Whether a written table still has all its files; someone may have cleared the folder."""
+    try:
+        return len(reread(table, folder).inputFiles()) == files
+    except AnalysisException:
+        return False
+
+
 def portable(table: DataFrame) -> DataFrame:
     """Types both engines hand over alike: decimals as doubles, dates and times as text."""
 
@@ -147,6 +177,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: runner(make) for name, make in REGISTERED.items()}
 
 
+def rebuild(spark: SparkSession, folder: str) -> None:
+    """Write every derived table anew from the given ones."""
+    tables = Tables(spark, folder, fresh=True)
+    for make in (season_log, season_hole_scores):
+        make(tables).write.format("noop").mode("overwrite").save()
+
+
 # --- handicaps ---------------------------------------------------------------
 
 

@@ -31,8 +31,17 @@ def staged(table: DataFrame, label: str, *partitions: str) -> DataFrame:
     For results that several later steps read: they are worked out once, later steps read only
     the columns they need, and a lost executor costs no recomputation of what came before.
     """
+    return reread(table, write_staged(table, label, *partitions))
+
+
+def write_staged(table: DataFrame, label: str, *partitions: str) -> str:
     folder = f"{scratch_folder(table.sparkSession)}/{label}-{uuid.uuid4().hex}"
     table.write.partitionBy(*partitions).parquet(folder)
+    return folder
+
+
+def reread(table: DataFrame, folder: str) -> DataFrame:
+    """What was written to the folder, in the layout of the table it came from."""
     return table.sparkSession.read.schema(table.schema).parquet(folder).select(*table.columns)
 
 

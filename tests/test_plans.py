@@ -6,11 +6,12 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from checks.registry import Tables, queries
+from checks.registry import Tables, queries, still_there
 from tallyboard.operators.handicap import league_rounds, player_days
 from tallyboard.plans.adjusted import adjusted_scores
 from tallyboard.plans.handicaps import handicaps
 from tallyboard.sources.payouts import payout_ladder
+from tallyboard.sources.tables import write_staged
 from tests.world import NOW, TODAY, World, event, league, random_world, score, slow_adjusted, slow_handicaps
 
 FOLDER = "/root/testdata/sf0.001"
@@ -100,3 +101,14 @@ def test_history_groups_are_days(spark):
     sizes = days.groupBy("league_id", "player_username").count().collect()
     assert [r["count"] for r in sizes] == [9]
     assert days.agg(F.max(F.size("considered"))).first()[0] == 3
+
+
+def test_written_tables_are_reused_while_their_files_last(spark, tmp_path):
+    first = Tables(spark, FOLDER).stored("leagues")
+    assert Tables(spark, FOLDER).stored("leagues") is first
+    assert Tables(spark, FOLDER, fresh=True).stored("leagues") is not first
+    table = spark.range(10).withColumn("year", F.col("id") % 2).repartition(1)
+    folder = write_staged(table, "probe", "year")
+    assert still_there(table, folder, 2)
+    assert not still_there(table, folder, 3)
+    assert not still_there(table, folder + "-gone", 2)
