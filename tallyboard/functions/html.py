@@ -31,26 +31,34 @@ def _unescaped(text: Column) -> Column:
     return text
 
 
+def _links(markup: Column) -> Column:
+    anchors = F.regexp_extract_all(markup, F.lit(ANCHOR), F.lit(0))
+    return F.transform(anchors, lambda tag: _unescaped(_attribute(tag, HREF)))
+
+
 def hrefs(html: Column) -> Column:
     """All link targets of a page in document order."""
-    anchors = F.regexp_extract_all(visible(html), F.lit(ANCHOR), F.lit(0))
-    return F.transform(anchors, lambda tag: _unescaped(_attribute(tag, HREF)))
+    return _links(visible(html))
+
+
+def label_pieces(html: Column) -> Column:
+    """The page cut at its year labels."""
+    return F.split(visible(html), YEAR_LABEL)
 
 
-def dated_hrefs(html: Column) -> Column:
+def dated_hrefs(pieces: Column) -> Column:
     """Link targets with the year label that follows each of them, as an array of structs.
 
-    The page is cut at its year labels, so the label of every link in one piece is what opens
+    `pieces` is a column of label_pieces, so the label of every link in one piece is what opens
     the next piece: one pass over the page, no comparison of links with labels. Links after
-    the last label have no year.
+    the last label have no year. It must be a column of its own, as every piece looks at it.
     """
-    pieces = F.split(visible(html), YEAR_LABEL)
 
     def links_of(piece: Column, index: Column) -> Column:
         after = F.get(pieces, index + 1)
         label = stripped(F.regexp_replace(F.regexp_extract(after, r"(?s)^(.*?)(?:</span|$)", 1), TAG, ""))
         year = F.when(label.rlike(r"^[+-]?\d+$"), label).try_cast("int")
-        return F.transform(hrefs(piece), lambda href: F.struct(href.alias("href"), year.alias("year")))
+        return F.transform(_links(piece), lambda href: F.struct(href.alias("href"), year.alias("year")))
 
     return F.flatten(F.transform(pieces, links_of))
 

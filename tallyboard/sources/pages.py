@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyboard.functions.html import dated_hrefs, hrefs, last_date, resolved
+from tallyboard.functions.html import dated_hrefs, hrefs, label_pieces, last_date, resolved
 
 # Which links lead to events and leaderboards.
 EVENT_PATH = "/events"
@@ -23,7 +23,8 @@ def page_links(pages: DataFrame, prefix: str = EVENT_PATH, part: str = LEADERBOA
 
 def event_links(pages: DataFrame, site: str, first_year: int) -> DataFrame:
     """Event leaderboards on schedule pages whose year label is recent enough, as full URLs."""
-    found = pages.select("page_id", F.posexplode(dated_hrefs(F.col("html"))).alias("position", "found"))
+    cut = pages.select("page_id", label_pieces(F.col("html")).alias("pieces"))
+    found = cut.select("page_id", F.posexplode(dated_hrefs(F.col("pieces"))).alias("position", "found"))
     link = F.col("found.href")
     recent = found.where(
         link.startswith(EVENT_PATH) & F.contains(link, F.lit(LEADERBOARD_PATH)) & (F.col("found.year") >= first_year)
