@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyboard.llm import fingerprints, languages, url_filter
+from tallyboard.llm import fingerprints, languages, quality, url_filter
 from tallyboard.llm.common import given
 
 
@@ -22,5 +22,9 @@ def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.filter_urls(given(spark, folder, "pages"))
 
 
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(given(spark, folder, "documents"), given(spark, folder, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op")}
