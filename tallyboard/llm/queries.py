@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyboard.llm import fingerprints, languages, quality, url_filter
+from tallyboard.llm import bloom_lm, fingerprints, languages, quality, url_filter
 from tallyboard.llm.common import given
 
 
@@ -26,5 +27,10 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(given(spark, folder, "documents"), given(spark, folder, "labels"))
 
 
+def op9_bloom_lm(spark: SparkSession, folder: str) -> DataFrame:
+    documents = given(spark, folder, "documents")
+    return bloom_lm.score(documents, documents.where(~bloom_lm.held_out(F.col("doc_id"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op")}
