@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import bloom_lm, fingerprints, languages, near_duplicates, quality, url_filter
+from tallyboard.llm import bloom_lm, fingerprints, languages, near_duplicates, quality, toxicity, url_filter
 from tallyboard.llm.common import given
 
 
@@ -36,5 +36,9 @@ def op9_bloom_lm(spark: SparkSession, folder: str) -> DataFrame:
     return bloom_lm.score(documents, documents.where(~bloom_lm.held_out(F.col("doc_id"))))
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.severity(given(spark, folder, "documents"), given(spark, folder, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op")}
