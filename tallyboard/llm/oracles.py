@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallyboard.llm.mixing import DIMENSIONS, OTHER, ROUNDS, TEMPER, TOPICS
 from tallyboard.llm.url_filter import RULES, SOFT, SOFT_HITS, STRICT
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -26,8 +27,8 @@ terms AS (
   SELECT *, list_distinct(string_split_regex(translate(url, '{UPPER}', '{LOWER}'), '[^\\p{{L}}\\p{{N}}]+')) AS words
   FROM split),
 counted AS (
-  SELECT *, len(list_filter(words, w -> w IN ({quoted(STRICT)}))) AS hard,
-         len(list_filter(words, w -> w IN ({quoted(SOFT)}))) AS weak
+  SELECT *, len(list_filter(words, lambda w: w IN ({quoted(STRICT)}))) AS hard,
+         len(list_filter(words, lambda w: w IN ({quoted(SOFT)}))) AS weak
   FROM terms)
 SELECT page_id, host, path, CASE {rule} END AS rule,
        CASE {ruled} WHEN hard > 0 OR weak >= {SOFT_HITS} THEN 'block' ELSE 'allow' END AS verdict,
@@ -35,5 +36,44 @@ SELECT page_id, host, path, CASE {rule} END AS rule,
 FROM counted"""
 
 
+def mixing_sql() -> str:
+    """The raking written out, one step per dimension and round."""
+    every = sorted({k for keys in TOPICS.values() for k in keys})
+    counts = ", ".join(
+        f"len(list_distinct(list_filter(met, lambda k: k IN ({quoted(keys)})))) AS n_{t}" for t, keys in TOPICS.items()
+    )
+    most = f"greatest({', '.join(f'n_{t}' for t in TOPICS)}, 1)"
+    topic = " ".join(f"WHEN n_{t} = {most} THEN '{t}'" for t in TOPICS)
+    dims = ", ".join(DIMENSIONS)
+    targets = ", ".join(f"pow(CAST(sum(tokens) OVER (PARTITION BY {d}) AS DOUBLE), {TEMPER}) AS t_{d}" for d in DIMENSIONS)
+    kept = ", ".join(f"t_{d}" for d in DIMENSIONS)
+    steps, last = [], "w"
+    for i in range(ROUNDS):
+        for d in DIMENSIONS:
+            total = f"sum(weight) OVER (PARTITION BY {d})"
+            scaled = f"CASE WHEN {total} > 0 THEN weight * t_{d} / {total} ELSE 0 END AS weight"
+            steps.append(f"w{i}_{d} AS (SELECT {dims}, tokens, {kept}, {scaled} FROM {last})")
+            last = f"w{i}_{d}"
+    same = " AND ".join(f"m.{d} IS NOT DISTINCT FROM p.{d}" for d in DIMENSIONS)
+    white = "[ \\t-\\r]+"
+    return f"""
+WITH found AS (
+  SELECT doc_id, source, lang,
+         list_filter(string_split_regex(lower(coalesce(text, '')), '{white}'), lambda x: x <> '') AS found FROM documents),
+met AS (
+  SELECT doc_id, source, lang, CAST(len(found) AS BIGINT) AS n_tokens,
+         list_filter(found, lambda x: x IN ({quoted(every)})) AS met FROM found),
+counted AS (SELECT *, {counts} FROM met),
+marked AS (SELECT doc_id, source, lang, n_tokens, CASE {topic} ELSE '{OTHER}' END AS topic FROM counted),
+cells AS (SELECT {dims}, sum(n_tokens) AS tokens FROM marked GROUP BY {dims}),
+w AS (SELECT {dims}, tokens, {targets}, CAST(tokens AS DOUBLE) AS weight FROM cells),
+{", ".join(steps)},
+rates AS (SELECT {dims}, CASE WHEN tokens > 0 THEN weight / tokens ELSE 0 END AS rate FROM {last}),
+p AS (SELECT {dims}, round(rate / (SELECT max(rate) FROM rates), 9) AS probability FROM rates)
+SELECT m.doc_id, m.source, m.lang, m.topic, m.n_tokens, p.probability,
+       CAST('0x' || substr(md5(coalesce(CAST(m.doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) / 4294967296.0 < p.probability AS drawn
+FROM marked m JOIN p ON {same}"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_url_filter": url_filter_sql()}
+    return {"op3_mixing": mixing_sql(), "op7_url_filter": url_filter_sql()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import bloom_lm, fingerprints, languages, near_duplicates, quality, toxicity, url_filter
+from tallyboard.llm import bloom_lm, fingerprints, languages, mixing, near_duplicates, quality, toxicity, url_filter
 from tallyboard.llm.common import given
 
 
@@ -19,6 +19,10 @@ def op2_languages(spark: SparkSession, folder: str) -> DataFrame:
     return languages.identify(given(spark, folder, "documents"))
 
 
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.draw(given(spark, folder, "documents"))
+
+
 def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.near_duplicates(given(spark, folder, "documents"), size=4, percent=80)
 
