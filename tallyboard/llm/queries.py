@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import bloom_lm, fingerprints, languages, mixing, near_duplicates, packing, quality, toxicity, url_filter
+from tallyboard.llm import bloom_lm, fingerprints, languages, mixing, near_duplicates, packing, quality, site_style, toxicity, url_filter
 from tallyboard.llm.common import given
 
 
@@ -23,6 +23,10 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.draw(given(spark, folder, "documents"))
 
 
+def op4_site_style(spark: SparkSession, folder: str) -> DataFrame:
+    return site_style.extract(given(spark, folder, "pages"))
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(given(spark, folder, "documents"))
 
