@@ -10,10 +10,12 @@ their sets; groups are the connected components of the links.
    that meets the most others; so a bucket of m classes gives m - 1 pairs.
 3. The bits of a pair's signatures that agree, corrected for chance, estimate its likeness; pairs far
    below the limit go. The others are confirmed on their full sets.
-4. Components are formed. Where a bucket still holds several, the members outside the component of its
-   centre are paired with all members of other components, estimated inside the join, and confirmed.
-   So every candidate pair is either confirmed, refuted or inside one component already: no link that
-   the bands find is lost, and copies are never expanded into all pairs.
+4. Components are formed. Where a bucket still holds several, its members get signatures of `WIDE` minima,
+   and those outside the component of its centre are paired with the members of other components. The
+   join itself estimates a pair and leaves it to the first bucket that both share, so only likely pairs
+   come out, once each; they are confirmed. So every candidate pair is either confirmed, refuted or
+   inside one component already: no link that the bands find is lost, and copies are never expanded
+   into all pairs.
 
 With 32 bands of 4 minima, a pair at the limit of 0.8 shares no band with probability 5e-8.
 
@@ -38,13 +40,15 @@ from tallyboard.llm.components import components
 
 HASHES, BANDS, BITS = 128, 32, 2
 LANES = HASHES * BITS // 64
+WIDE = 1024
+WIDE_LANES = WIDE * BITS // 64
 NO_ID = 2**63 - 1
 # Signatures of two sets with likeness 0.8 agree in fewer places with probability 2e-8 (5.5 deviations).
 DEVIATIONS = 5.5
 
 _RANDOM = np.random.RandomState(77)
-_FACTORS = (_RANDOM.randint(0, 2**63 - 1, HASHES).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
-_SHIFTS = _RANDOM.randint(0, 2**63 - 1, HASHES).astype(np.uint64)
+_FACTORS = (_RANDOM.randint(0, 2**63 - 1, WIDE).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
+_SHIFTS = _RANDOM.randint(0, 2**63 - 1, WIDE).astype(np.uint64)
 _PLACE = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
                                  0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93)]
 
@@ -72,17 +76,18 @@ def sets_of(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
             yield shingle_set(words[a:b], size)
 
 
-def minima(members: np.ndarray) -> np.ndarray:
-    best = np.full(HASHES, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for i in range(0, len(members), 4096):
-        part = members[i : i + 4096]
-        np.minimum(best, (part[None, :] * _FACTORS[:, None] + _SHIFTS[:, None]).min(axis=1), out=best)
+def minima(members: np.ndarray, hashes: int = HASHES) -> np.ndarray:
+    best = np.full(hashes, np.iinfo(np.uint64).max, dtype=np.uint64)
+    factors, shifts = _FACTORS[:hashes, None], _SHIFTS[:hashes, None]
+    for i in range(0, len(members), 2048):
+        part = members[i : i + 2048]
+        np.minimum(best, (part[None, :] * factors + shifts).min(axis=1), out=best)
     return best >> np.uint64(20)
 
 
 def packed(least: np.ndarray) -> np.ndarray:
-    """The low bits of the minima in four longs."""
-    low = (least & np.uint64((1 << BITS) - 1)).reshape(LANES, -1)
+    """The low bits of the minima, 64 / `BITS` of them in a long."""
+    low = (least & np.uint64((1 << BITS) - 1)).reshape(len(least) * BITS // 64, -1)
     places = np.arange(low.shape[1], dtype=np.uint64) * np.uint64(BITS)
     return (low << places).sum(axis=1, dtype=np.uint64).view(np.int64)
 
@@ -122,17 +127,30 @@ def sketches(documents: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def agreeing(a: str, b: str) -> Column:
+def agreeing(a: str, b: str, sign: str = "s", lanes: int = LANES) -> Column:
     """In how many places the packed signatures of two sides agree."""
-    lanes = [F.bitwise_not(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(LANES)]
+    lanes = [F.bitwise_not(F.col(f"{a}.{sign}{i}").bitwiseXOR(F.col(f"{b}.{sign}{i}"))) for i in range(lanes)]
     low = F.lit(0x5555555555555555)
     return reduce(lambda x, y: x + y, [F.bit_count(x.bitwiseAND(F.shiftright(x, 1)).bitwiseAND(low)) for x in lanes])
 
 
-def least_agreeing(percent: int) -> int:
+def least_agreeing(percent: int, hashes: int = HASHES) -> int:
     """Places that must agree: chance makes 2^-b of the others agree, and estimates scatter."""
     share = percent / 100 + (1 - percent / 100) / 2**BITS
-    return int(HASHES * share - DEVIATIONS * (HASHES * share * (1 - share)) ** 0.5)
+    return int(hashes * share - DEVIATIONS * (hashes * share * (1 - share)) ** 0.5)
+
+
+def wide_signatures(texts: DataFrame, size: int) -> DataFrame:
+    """(key, w0, w1, ...) of the classes whose texts (key, text) are given."""
+    names = [f"w{i}" for i in range(WIDE_LANES)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [packed(minima(members, WIDE)) for members in sets_of(batch.column(1).to_pylist(), size)]
+            lanes = [pa.array([r[i] for r in rows], pa.int64()) for i in range(WIDE_LANES)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lanes], names=["key", *names])
+
+    return texts.select("key", "text").mapInArrow(run, "key long, " + ", ".join(f"{n} long" for n in names))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -208,15 +226,23 @@ def groups(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, Da
     label = F.coalesce("v", "key").alias("label")
     named = members.join(parts, F.col("key") == F.col("u"), "left").select("bucket", "key", label)
     split = named.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("bucket")
-    open_ = stage(named.join(split, "bucket").join(centres, "bucket").join(signs, "key"), "open_buckets")
-    main = open_.where("key = centre").select("bucket", F.col("label").alias("main"))
-    outside = open_.join(main, "bucket").where("label <> main")
-    others = open_.where("key <> centre")
+    unsettled = stage(named.join(split, "bucket").join(centres, "bucket"), "unsettled")
+    signed = wide_signatures(texts.join(unsettled.select("key").distinct(), "key"), size)
+    signed = stage(signed.join(classes.select("key", "bands"), "key"), "wide_signatures")
+    main = unsettled.where("key = centre").select("bucket", F.col("label").alias("main"))
+    sides = unsettled.join(main, "bucket").join(signed, "key").withColumn("outside", F.col("label") != F.col("main"))
+    closer = agreeing("a", "b", "w", WIDE_LANES) >= least_agreeing(percent, WIDE)
+    once = F.element_at(F.array_intersect("a.bands", "b.bands"), 1) == F.col("a.bucket")
     rest = (
-        outside.alias("a")
+        sides.where("outside")
+        .alias("a")
         .join(
-            others.alias("b"),
-            (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.label") != F.col("b.label")) & near,
+            sides.where("key <> centre").alias("b"),
+            (F.col("a.bucket") == F.col("b.bucket"))
+            & (F.col("a.label") != F.col("b.label"))
+            & (~F.col("b.outside") | (F.col("a.key") < F.col("b.key")))
+            & closer
+            & once,
         )
         .groupBy(F.least("a.key", "b.key").alias("u"), F.greatest("a.key", "b.key").alias("v"))
         .agg(F.lit(1).alias("one"))
