@@ -206,21 +206,25 @@ def oracle_sql() -> dict[str, str]:
             from season_players""",
         "season_log": _with(*TO_SEASON) + """,
             grid as (
-                select p.player_username, p.player_name, p.league_id, p.league_name, e.event_id, e.event_name,
-                       e.day, e.year, a.division, a.raw_score, a.handicap, a.adjusted, a.place, a.points,
+                select p.player_username, p.player_name, p.division as standing, a.raw_score_id,
+                       p.league_id, p.league_name, e.event_id, e.event_name, e.day, e.year, a.division, a.raw_score, a.handicap, a.adjusted, a.place, a.points,
                        a.payout, a.running
                 from season_players p join season_events e using (league_id)
                 left join adjusted_table a on a.event_id = e.event_id and a.player_username = p.player_username)
             select player_username, player_name, league_id, league_name, event_id, event_name,
                    cast(day as varchar) as event_end_date, year,
-                   first_value(division ignore nulls) over onward as division, raw_score,
+                   last_value(division ignore nulls) over (
+                       partition by player_username, player_name, standing, league_id, year
+                       order by day, event_id, division is null, raw_score_id
+                       rows between unbounded preceding and current row) as division, raw_score,
                    coalesce(handicap, 0) as handicap, adjusted as adjusted_score, place,
                    cast(points as double) as points, cast(payout as double) as payout,
-                   cast(coalesce(first_value(running ignore nulls) over onward, 0) as double)
+                   cast(coalesce(last_value(running ignore nulls) over (
+                       partition by player_username, player_name, standing, league_id, year
+                       order by day, event_id, running is null, raw_score_id
+                       rows between unbounded preceding and current row), 0) as double)
                        as season_points_as_of_event
-            from grid
-            window onward as (partition by player_username, league_id, year order by day desc
-                              rows between current row and unbounded following)""",
+            from grid""",
         "season_hole_scores": _with(ctes("hole_scores"), *TO_SEASON) + """
             select a.player_username, a.player_name,
                    a.player_name || ' (' || a.player_username || ')' as player_display_name,

@@ -76,23 +76,18 @@ from {league_events}
 where month(event_end_date) in (4, 5, 6, 7, 10, 12)
 """
 
-# One round per player and month: the first order, in the division of its priority.
+# Every order is a round, in the division of its priority: players have several a month.
 RAW_SCORES = """
-select cast(first_order as string) as raw_score_id,
-       c_mktsegment || '-' || cast(event_month as string) as event_id,
+select cast(o_orderkey as string) as raw_score_id,
+       c_mktsegment || '-' || cast(cast(date_trunc('month', o_orderdate) as date) as string) as event_id,
        c_mktsegment as league_id,
-       division,
+       'Division ' || substr(o_orderpriority, 1, 1) as division,
        c_name as player_name,
        case when o_custkey % 50 = 7 then cast(null as string) else cast(o_custkey as string) end as player_username,
-       case when first_order % 97 = 5 then cast(null as bigint) else 45 + first_order % 31 end as raw_score,
+       case when o_orderkey % 97 = 5 then cast(null as bigint) else 45 + o_orderkey % 31 end as raw_score,
        timestamp '2001-01-01 00:00:00' as create_time,
        timestamp '2001-01-01 00:00:00' as update_time
-from (select o_custkey, event_month, cast((first_key - first_key % 10) / 10 as bigint) as first_order,
-             'Division ' || cast(first_key % 10 as string) as division
-from (select o_custkey, cast(date_trunc('month', o_orderdate) as date) as event_month,
-             min(o_orderkey * 10 + cast(substr(o_orderpriority, 1, 1) as bigint)) as first_key
-      from {orders} group by 1, 2) keys) firsts
-join {customer} on o_custkey = c_custkey
+from {orders} join {customer} on o_custkey = c_custkey
 """
 
 HOLE_SCORES = """

@@ -21,13 +21,14 @@ RULES = [
     "handicap_multiplier",
 ]
 SLOT = 2**32
-# Rounds of one day are ordered by share, then id. The order is arbitrary but must not change
-# with the cluster, so the number of shares is fixed.
-SHARES = 256
+# Rounds of one day are ordered by id. A share is a range of ids, those with the same first
+# characters, so the shares of a day follow each other as the ids do and no result depends on
+# how many there are. Ids are hashes in hexadecimal: two characters make 256 even shares.
+SHARE_CHARACTERS = 2
 
 
-def share_of(round_id: str) -> Column:
-    return F.pmod(F.crc32(F.col(round_id).cast("binary")), F.lit(SHARES)).cast("int")
+def share_of(round_id: str, characters: int | None = None) -> Column:
+    return F.substring(round_id, 1, SHARE_CHARACTERS if characters is None else characters)
 
 
 def league_rounds(raw_scores: DataFrame, events: DataFrame, leagues: DataFrame, as_of: date) -> DataFrame:
@@ -67,7 +68,7 @@ def player_days(rounds: DataFrame) -> DataFrame:
     in_share = W.partitionBy(*PLAYER_DAY, "share").orderBy(F.desc("counts"), F.desc("raw_score_id"))
     considered = F.col("handicap_rounds_considered")
     wanted = F.col("counts") & (F.col("newest") <= considered)
-    round_taken = F.struct("share", "raw_score_id", "raw_score", "event_end_date")
+    round_taken = F.struct("raw_score_id", "raw_score", "event_end_date")
     shares = (
         rounds.where(F.col("player_username").isNotNull() & (considered > 0))
         .withColumn("newest", F.row_number().over(in_share))
@@ -87,7 +88,7 @@ def player_days(rounds: DataFrame) -> DataFrame:
         .agg(
             F.sum("counting").alias("counting_rounds"),
             F.sum("receiving").alias("receiving_rounds"),
-            F.min(F.when(F.col("first_id").isNotNull(), F.struct("share", "first_id"))).alias("first_receiver"),
+            F.min("first_id").alias("first_receiver"),
             F.sort_array(F.flatten(F.collect_list("latest")), asc=False).alias("latest"),
             F.collect_list(F.when(F.col("receiving") > 0, receivers)).alias("shares"),
         )

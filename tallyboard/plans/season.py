@@ -91,10 +91,13 @@ def season_log(
 ) -> DataFrame:
     """Every player of the season at every event of their league, played or missed.
 
-    Division and season points are carried forward over missed events. Standings of one
-    league meet all its events, so the players of a league are dealt into shares and the
+    Division and season points are carried forward over missed events; a round without its own
+    takes what is known up to its event, of several rounds there the last by id. Standings of
+    one league meet all its events, so the players of a league are dealt into shares and the
     much shorter event list is repeated for each share: a league with a large part of the
-    players does not end up in one task.
+    players does not end up in one task. The carrying runs on one row per player and event;
+    rounds are reduced to that before the shuffle and joined back afterwards, so a name that
+    many rounds share makes no large group.
     """
     shares = shuffle_width(players.sparkSession)
     standing = ["player_username", "player_name", "standing_division"]
@@ -106,36 +109,33 @@ def season_log(
         .join(leagues.select("league_id", "league_name"), "league_id")
         .withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
     )
-    played = adjusted.where(F.col("year") == season).select(
-        "event_id",
-        "player_username",
-        "raw_score_id",
-        "division",
-        "raw_score",
-        "handicap",
-        "adjusted_score",
-        "place",
-        "points",
-        "payout",
-        "season_points_as_of_event",
-    )
-    grid = (
-        entrants.join(calendar, ["league_id", "share"])
-        .withColumn("year", F.year("event_end_date"))
-        .join(played, ["event_id", "player_username"], "left")
+    played = adjusted.where((F.col("year") == season) & F.col("player_username").isNotNull())
+    carried = ["division", "season_points_as_of_event"]
+
+    def newest(name):
+        return F.max_by(name, F.when(F.col(name).isNotNull(), F.col("raw_score_id"))).alias(f"event_{name}")
+
+    per_event = played.groupBy("event_id", "player_username").agg(
+        F.lit(True).alias("took_part"), *[newest(name) for name in carried]
     )
-    # Oldest first with the last known value: the same as newest first looking ahead, but each
-    # row only extends the frame of the row before it.
     until_event = (
         W.partitionBy(*standing, "league_id", "year")
-        .orderBy("event_end_date", "event_id", F.desc_nulls_first("raw_score_id"))
+        .orderBy("event_end_date", "event_id")
         .rowsBetween(W.unboundedPreceding, 0)
     )
-
-    def known(name):
-        return F.last(name, ignorenulls=True).over(until_event)
-
-    return grid.select(
+    grid = (
+        entrants.join(calendar, ["league_id", "share"])
+        .withColumn("year", F.year("event_end_date"))
+        .join(per_event, ["event_id", "player_username"], "left")
+        .withColumns({f"known_{name}": F.last(f"event_{name}", ignorenulls=True).over(until_event) for name in carried})
+    )
+    own = ["raw_score", "handicap", "adjusted_score", "place", "points", "payout"]
+    rounds = played.select("event_id", "player_username", *own, *carried)
+    missing = [F.lit(None).cast(rounds.schema[name].dataType).alias(name) for name in [*own, *carried]]
+    missed = grid.where(F.col("took_part").isNull()).select("*", *missing)
+    # The many rounds of a name and event stand on the left, where skew joins split them.
+    with_rounds = rounds.join(grid.where("took_part"), ["event_id", "player_username"])
+    return missed.unionByName(with_rounds).select(
         "player_username",
         "player_name",
         "league_id",
@@ -144,14 +144,16 @@ def season_log(
         "event_name",
         "event_end_date",
         "year",
-        known("division").alias("division"),
+        F.coalesce("division", "known_division").alias("division"),
         "raw_score",
         F.coalesce("handicap", F.lit(0)).alias("handicap"),
         "adjusted_score",
         "place",
         "points",
         "payout",
-        F.coalesce(known("season_points_as_of_event"), F.lit(0)).alias("season_points_as_of_event"),
+        F.coalesce("season_points_as_of_event", "known_season_points_as_of_event", F.lit(0)).alias(
+            "season_points_as_of_event"
+        ),
     )
 
 

@@ -117,11 +117,6 @@ def half_up(number, places=0):
     return Decimal(number).quantize(Decimal(1).scaleb(-places), ROUND_HALF_UP)
 
 
-def turn(round_id):
-    """The order of rounds played on one day."""
-    return zlib.crc32(round_id.encode()) % 256, round_id
-
-
 def slow_handicaps(world, today):
     """raw_score_id -> (next handicap, its scores, handicap, its scores, rank), by comparing rounds."""
     events = {e["event_id"]: e for e in world.events}
@@ -140,7 +135,7 @@ def slow_handicaps(world, today):
             continue
         key = (s["league_id"], s["player_username"])
         pool = [
-            (f["event_end_date"], turn(o["raw_score_id"]), o["raw_score"])
+            (f["event_end_date"], o["raw_score_id"], o["raw_score"])
             for o, f, _ in scope
             if f["is_excluded_from_handicap"] is False and (o["league_id"], o["player_username"]) == key
         ]
@@ -161,7 +156,7 @@ def slow_handicaps(world, today):
         led.append((key, e["event_end_date"], s["raw_score_id"], following, ",".join(map(str, values)) or None))
 
     result = {}
-    led.sort(key=lambda row: (row[1], turn(row[2])))
+    led.sort(key=lambda row: (row[1], row[2]))
     for key, day, round_id, following, listed in led:
         mine = [row for row in led if row[0] == key]
         place = [row[2] for row in mine].index(round_id)
