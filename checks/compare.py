@@ -1,6 +1,7 @@
 """Run registered queries next to their oracles: python -m checks.compare [folder] [query ...]"""
 
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -37,6 +38,7 @@ def session() -> SparkSession:
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
         .getOrCreate()
     )
 

@@ -153,6 +153,9 @@ EVENT_COLUMNS = """
 
 
 def oracle_sql() -> dict[str, str]:
+    given = ["division", "name", "username", "round_total_score", *[f"hole_{n}" for n in range(1, 8)]]
+    cells = [f"coalesce(length({name}) || ':' || {name}, '-')" for name in given]
+    said = ", ".join([*cells, *["'-'"] * 29])  # the exports have 7 of 36 holes
     return {
         "eligible_rounds": _with(*TO_SCOPE) + """
             select raw_score_id, league_id, raw_score, player as player_username,
@@ -186,7 +189,7 @@ def oracle_sql() -> dict[str, str]:
         "payout_table": _with(*TO_ADJUSTED) + """
             select n as n_players, p as position, round(weight, 9) as weight, billionths / 1e9 as percentage,
                    round(share * 100, 4) as payout_percent
-            from ladder where n in (select field from ranked)""",
+            from ladder""",
         "adjusted_scores": _with(*TO_ADJUSTED) + """
             select raw_score_id, event_id, league_id, league_name, cast(day as varchar) as event_end_date,
                    year, division, player_name, player_username, raw_score, handicap,
@@ -306,9 +309,20 @@ def oracle_sql() -> dict[str, str]:
             from league_events e join exports x using (event_id)
             where e.event_end_date >= date '2001-06-01'
             group by 1, 2, 3, 4, 5, 7, 8""",
-        "round_ids": _with(ctes("exports")) + """
-            select file_path, 2 * count(*) as rows, 2 * count(*) as ids from exports
-            where trim(name) <> '' group by 1""",
+        "event_by_url": _with(ctes("league_events")) + """
+            select event_id, is_imported from league_events
+            where export_url = 'https://example.org/events/BUILDING-2001-03-01/leaderboard/export'""",
+        "league_urls": _with(ctes("leagues")) + """
+            select 'https://example.org/leagues/building' as url union all
+            select 'https://example.org/more/building'""",
+        "scanned_exports": _with(ctes("exports")) + f"""
+            select {", ".join(f"nullif({name}, '') as {name}" for name in given)} from exports""",
+        "round_ids": _with(ctes("exports")) + f""",
+            counted as (select file_path, concat_ws('|', {said}) as content, 2 * count(*) as copies
+                        from exports where trim(name) <> '' group by all)
+            select file_path, sha256(concat_ws('|', file_path, cast(unnest(range(1, copies + 1)) as varchar), content))
+                       as raw_score_id
+            from counted""",
         "league_configs": _with(ctes("config_cells")) + """
             select segment as league_name, 'https://example.org/' || segment || '|x' as league_urls,
                    cast(players as double) as league_entry_fee, segment > 'B' as league_is_handicap,
@@ -328,24 +342,22 @@ def oracle_sql() -> dict[str, str]:
                    || lower(league_id) as league_urls
             from leagues""",
         "parse_flags": """
-            select conv_id, turn, case when lower(split_part(text, ' ', 1)) in ('1', 'true', 'yes', 'y', 'on') then true
-                        when lower(split_part(text, ' ', 1)) in ('0', 'false', 'no', 'n', 'off') then false
-                        else false end as flag,
+            select conv_id, turn, coalesce(lower(trim(text)) in ('1', 'true', 'yes', 'y', 'on'), false) as flag,
                    case when role = 'user' then true when turn % 2 = 1 then false end as by_user
             from conversations""",
-        "page_links": r"""
-            with bare as (select page_id, regexp_replace(html, '<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'gsi') as html from pages),
+        "page_links": _with(ctes("mixed_pages")) + r""",
+            bare as (select page_id, regexp_replace(html, '<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'gsi') as html from mixed_pages),
             tags as (select page_id, regexp_extract_all(html, '<a\s[^>]*?href="([^"]*)"', 1, 'si') as hrefs from bare),
             links as (select page_id, unnest(hrefs) as link, generate_subscripts(hrefs, 1) - 1 as position from tags)
             select page_id, replace(link, '&amp;', '&') as link, min(position) as position from links
-            where link like '/%' group by 1, 2""",
-        "page_links_resolved": r"""
-            with bare as (select page_id, url, regexp_replace(html, '<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'gsi') as html from pages),
+            where link like '/events%' and contains(link, '/leaderboard') group by 1, 2""",
+        "page_links_resolved": _with(ctes("mixed_pages")) + r""",
+            bare as (select page_id, url, regexp_replace(html, '<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'gsi') as html from mixed_pages),
             tags as (select page_id, url, regexp_extract_all(html, '<a\s[^>]*?href="([^"]*)"', 1, 'si') as hrefs from bare),
             links as (select page_id, url, unnest(hrefs) as link, generate_subscripts(hrefs, 1) - 1 as position from tags)
             select page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') || replace(link, '&amp;', '&') as export_url,
                    min(position) as position
-            from links group by 1, 2""",
+            from links where contains(link, '/events') and contains(link, '/leaderboard') group by 1, 2""",
         "event_links": r"""
             with bare as (select page_id, regexp_replace(html, '<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'gsi') as html from pages
                           where 2020 + page_id % 7 >= 2023),

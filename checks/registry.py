@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -22,7 +23,9 @@ from tallyboard.session import tune
 from tallyboard.sources import exports, pages
 from tallyboard.sources.leagues import league_entries, league_rows
 from tallyboard.sources.payouts import payout_ladder
-from tallyboard.sources.tables import reread, write_staged
+from tallyboard.sources.tables import reread, scratch_folder, write_staged
+
+SCANNED = [*exports.REQUIRED, *exports.HOLES[:7]]  # the columns of the export stand-in
 
 REGISTERED: dict[str, Callable[["Tables"], DataFrame]] = {}
 
@@ -246,9 +249,8 @@ def payout_shares(t):
 
 @registered
 def payout_table(t):
-    """The ladder of the field sizes that occur."""
-    sizes = t.places.select(F.col("num_players").alias("n_players")).distinct()
-    return t.payouts.join(sizes, "n_players", "left_semi").drop("create_time")
+    """The ladder of all field sizes."""
+    return t.payouts.drop("create_time")
 
 
 def _adjusted(t):
@@ -311,6 +313,26 @@ def import_plan(t):
     return t.plan.select("export_url", "is_new", "action", "event_id")
 
 
+@registered
+def event_by_url(t):
+    url = f"{SITE}/events/BUILDING-2001-03-01/leaderboard/export"
+    return lookups.event_by_url(t.league_events, url)
+
+
+@registered
+def league_urls(t):
+    return lookups.league_urls(t.leagues, "BUILDING")
+
+
+@registered
+def scanned_exports(t):
+    """All export rows, written as CSV files in a folder with blanks in its name and scanned."""
+    cells = t.exports.select(*SCANNED)
+    folder = f"{scratch_folder(t.spark)}/exports of {uuid.uuid4().hex}"
+    cells.write.csv(folder, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return exports.scan_exports(t.spark, folder).select(*SCANNED)
+
+
 @registered
 def clean_scores(t):
     return exports.clean_scores(t.exports)
@@ -345,17 +367,14 @@ def event_rows(t):
 
 @registered
 def round_ids(t):
-    """Rows and distinct round ids of each export."""
+    """The round ids of all export rows."""
     files = t.exports.select("file_path", "event_id", "league_id").distinct()
     plan = files.select(
         "file_path", F.col("file_path").alias("export_url"), "event_id", "league_id", F.lit("full").alias("action")
     )
     cells = t.exports.drop("raw_score_id", "event_id", "league_id")
     # Every row twice: copies are rounds of their own.
-    rows = exports.identified_rows(cells.unionByName(cells), plan)
-    return rows.groupBy("file_path").agg(
-        F.count("*").alias("rows"), F.count_distinct("raw_score_id").alias("ids")
-    )
+    return exports.identified_rows(cells.unionByName(cells), plan).select("file_path", "raw_score_id")
 
 
 @registered
@@ -387,14 +406,13 @@ def format_url_list(t):
 
 @registered
 def parse_flags(t):
-    word = F.substring_index("text", " ", 1)
     spelled = (
         F.when(F.col("role") == "user", F.lit(" Yes "))
         .when(F.col("turn") % 2 == 1, F.lit("OFF"))
         .otherwise(F.col("role"))
     )
     return t.given("conversations").select(
-        "conv_id", "turn", to_flag(word).alias("flag"), to_flag(spelled, None).alias("by_user")
+        "conv_id", "turn", to_flag(F.col("text")).alias("flag"), to_flag(spelled, None).alias("by_user")
     )
 
 
@@ -464,12 +482,12 @@ def prune_hole_scores(t):
 
 @registered
 def page_links(t):
-    return pages.page_links(t.given("pages"), prefix="/", part="")
+    return pages.page_links(t.mixed_pages)
 
 
 @registered
 def page_links_resolved(t):
-    return pages.resolved_links(t.given("pages"), wanted=F.lit(True))
+    return pages.resolved_links(t.mixed_pages)
 
 
 @registered

@@ -104,7 +104,6 @@ from {lineitem}
 EXPORTS = """
 select '/exports/' || c_mktsegment || '-league-' || cast(event_month as string) || '_'
            || replace(cast(event_month as string), '-', '') || '_080000.csv' as file_path,
-       cast(0 as bigint) as block,
        cast(o_orderkey as string) as raw_score_id,
        c_mktsegment || '-' || cast(event_month as string) as event_id,
        c_mktsegment as league_id,
@@ -169,6 +168,11 @@ select page_id, url,
 from {pages}
 """
 
+# Pages with links to leaderboards and with others.
+MIXED_PAGES = """
+select page_id, url, replace(html, '<a href="/', '<a href="/events/leaderboard/') || html as html from {pages}
+"""
+
 TEXTS = {
     "leagues": LEAGUES,
     "league_events": LEAGUE_EVENTS,
@@ -180,6 +184,7 @@ TEXTS = {
     "stored_events": STORED_EVENTS,
     "config_cells": CONFIG_CELLS,
     "event_pages": EVENT_PAGES,
+    "mixed_pages": MIXED_PAGES,
 }
 GIVEN = ("customer", "orders", "lineitem", "pages", "documents")
 

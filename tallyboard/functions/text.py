@@ -57,6 +57,16 @@ def join_list(parts: Column) -> Column:
     return F.when(parts.isNotNull(), F.array_join(kept, LIST_SEPARATOR))
 
 
+def plain_path(path: Column, is_uri: Column | None = None) -> Column:
+    """One form for the paths of files: URIs decoded, local ones without their scheme.
+
+    Without `is_uri` a path counts as URI if it begins with a scheme. A plus stays a plus.
+    """
+    has_scheme = path.rlike("^[A-Za-z][A-Za-z0-9+.-]*:/") if is_uri is None else is_uri
+    decoded = F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(F.when(has_scheme, F.coalesce(decoded, path)).otherwise(path), "^file:/+", "/")
+
+
 def file_stem(path: Column) -> Column:
     """Last path segment without its extension."""
     name = F.substring_index(path, "/", -1)

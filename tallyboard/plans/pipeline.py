@@ -6,6 +6,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyboard.functions.text import plain_path
 from tallyboard.operators import maintain
 from tallyboard.operators.lookups import pending_exports
 from tallyboard.plans import season as reports
@@ -15,7 +16,7 @@ from tallyboard.session import tune
 from tallyboard.sources import exports as intake
 from tallyboard.sources.leagues import seeded_leagues
 from tallyboard.sources.payouts import payout_ladder
-from tallyboard.sources.tables import Store, staged
+from tallyboard.sources.tables import Store, reread, staged
 
 
 @dataclass
@@ -25,6 +26,7 @@ class Run:
     store: Store
     run_id: str
     run_time: datetime
+    number: int = 1
     folders: dict[str, list[str]] = field(default_factory=dict)
     pruned: dict[str, int] = field(default_factory=dict)
 
@@ -33,7 +35,7 @@ class Run:
 
     def replace(self, name: str, table: DataFrame, *partitions: str) -> DataFrame:
         self.folders[name] = [self.store.write(table, name, self.run_id, *partitions)]
-        return self.table(name).select(*table.columns)
+        return reread(table, self.folders[name][0])
 
     def append(self, name: str, table: DataFrame) -> None:
         self.folders[name] = [*self.folders.get(name, []), self.store.write(table, name, self.run_id)]
@@ -41,7 +43,8 @@ class Run:
 
 def begin(store: Store, run_time: datetime) -> Run:
     tune(store.spark)
-    return Run(store, run_time.strftime("%Y%m%dT%H%M%S%f"), run_time, store.folders())
+    number, folders = store.last()
+    return Run(store, run_time.strftime("%Y%m%dT%H%M%S%f"), run_time, number + 1, folders)
 
 
 def _prune(run: Run, name: str, orphans_of, kept_of) -> None:
@@ -62,8 +65,17 @@ def _prune(run: Run, name: str, orphans_of, kept_of) -> None:
 
 
 def prune(run: Run) -> None:
-    """Drop rounds without an event, then hole scores without a round."""
+    """Drop rounds without an event, then hole scores without a round.
+
+    Rounds come with their events, so there is nothing to drop unless an event has vanished
+    since the last run; then only the small lists of event ids are read.
+    """
     events = run.table("events")
+    if run.folders.get("known_events"):
+        known = run.store.spark.read.schema("event_id string").parquet(*run.folders["known_events"])
+        if known.join(events, "event_id", "left_anti").isEmpty():
+            run.pruned.update(raw_scores=0, hole_scores=0)
+            return
     _prune(
         run,
         "raw_scores",
@@ -89,15 +101,28 @@ def one_file_per_url(downloads: DataFrame) -> DataFrame:
     )
 
 
-def import_exports(run: Run, downloads: DataFrame, rows: DataFrame, as_of: date) -> None:
+def import_exports(
+    run: Run,
+    downloads: DataFrame,
+    rows: DataFrame,
+    as_of: date,
+    present: DataFrame | None = None,
+    faults: DataFrame | None = None,
+) -> None:
     """Load the downloaded exports that are new.
 
     `downloads` says which file came from which URL, `rows` holds their cells. Events that
-    still run are noted without scores. Files without rows leave no trace.
+    still run are noted without scores. A file without rows imports nothing; it goes to the
+    table `import_faults` with the reason. With the files that are `present` given, a note
+    without its file ends the run.
     """
     events = run.table("events")
     files = staged(intake.turnout(rows), "export_turnout")
-    wanted = one_file_per_url(pending_exports(downloads, events))
+    notes = downloads.withColumn("file_path", plain_path(F.col("file_path")))
+    wanted = one_file_per_url(pending_exports(notes, events))
+    if present is not None:
+        intake.check_files(wanted, present)
+    run.append("import_faults", intake.import_faults(wanted, files, faults, run.run_time))
     plan = intake.import_plan(wanted, events, as_of).join(files, "file_path", "left_semi")
     plan = staged(plan.where(F.col("action") != "skip"), "import_plan")
     scores = staged(intake.identified_rows(rows, plan), "identified_rows")
@@ -138,11 +163,17 @@ def run_pipeline(
     run_time: datetime,
     downloads: DataFrame | None = None,
     export_rows: DataFrame | None = None,
+    export_files: DataFrame | None = None,
+    export_faults: DataFrame | None = None,
     league_configs: DataFrame | None = None,
     season: int | None = None,
     payout_from_year: int = 2016,
+    derive: bool = True,
 ) -> Run:
-    """The whole run, committed at the end. The run's date decides what is over and in season."""
+    """The whole run, committed at the end. The run's date decides what is over and in season.
+
+    Without `derive` it stops after the import; the derived tables stay as they are.
+    """
     run = begin(Store(spark, root), run_time)
     prune(run)
     if not run.folders.get("payouts"):
@@ -152,7 +183,9 @@ def run_pipeline(
         if stored.isEmpty():
             run.replace("leagues", seeded_leagues(stored, league_configs, run_time))
     if downloads is not None and export_rows is not None:
-        import_exports(run, downloads, export_rows, run_time.date())
-    rebuild(run, run_time.date(), season or run_time.year, payout_from_year)
-    run.store.commit(run.run_id, run.folders)
+        import_exports(run, downloads, export_rows, run_time.date(), export_files, export_faults)
+    if derive:
+        rebuild(run, run_time.date(), season or run_time.year, payout_from_year)
+    run.replace("known_events", run.table("events").select("event_id").distinct())
+    run.store.commit(run.number, run.run_id, run.run_time, run.folders)
     return run

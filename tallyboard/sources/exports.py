@@ -9,7 +9,6 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from tallyboard.functions.text import (
     LAST_HOLE,
@@ -17,6 +16,7 @@ from tallyboard.functions.text import (
     download_time,
     event_name,
     hole_number,
+    plain_path,
     to_int,
     to_text,
 )
@@ -67,8 +67,7 @@ def _cells(spark: SparkSession, path: str | list[str]) -> DataFrame:
     names = [f"c{i}" for i in range(widest + 1)]
     lines = spark.read.schema(", ".join(f"{n} string" for n in names)).csv(path)
     return lines.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("block"),
+        plain_path(F.col("_metadata.file_path"), F.lit(True)).alias("file_path"),
         F.array(*names).alias("cells"),
     )
 
@@ -117,7 +116,44 @@ def scan_exports(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return (
         lines.join(layouts, "file_path")
         .where(~F.col("cells").eqNullSafe(F.col("header")))
-        .select("file_path", "block", *[cell(name) for name in CELLS])
+        .select("file_path", *[cell(name) for name in CELLS])
+    )
+
+
+def export_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The files at a place, none of them opened."""
+    files = spark.read.format("binaryFile").load(path).select("path")
+    return files.select(plain_path(F.col("path"), F.lit(True)).alias("file_path"))
+
+
+class MissingFiles(LookupError):
+    """Notes name files that are not there."""
+
+
+def check_files(downloads: DataFrame, files: DataFrame) -> None:
+    """Fail if a note's file is not among the files found."""
+    lost = downloads.select("file_path").join(files, "file_path", "left_anti")
+    shown = [row.file_path for row in lost.limit(5).collect()]
+    if shown:
+        raise MissingFiles(f"{lost.count()} notes without their file, such as {', '.join(map(str, shown))}")
+
+
+def import_faults(downloads: DataFrame, files: DataFrame, faults: DataFrame | None, run_time: datetime) -> DataFrame:
+    """Notes whose file gave no rows, with the columns it lacks if that is the reason.
+
+    `files` is the turnout of the exports. Such a note may come again once the file is mended.
+    """
+    without = downloads.select("export_url", "file_path").join(files.select("file_path"), "file_path", "left_anti")
+    if faults is None:
+        marked = without.withColumn("missing", F.lit(None).cast("array<string>"))
+    else:
+        marked = without.join(faults.select("file_path", "missing"), "file_path", "left")
+    reason = F.when(F.size("missing") > 0, F.concat(F.lit("lacks "), F.array_join("missing", ", ")))
+    return marked.select(
+        "export_url",
+        "file_path",
+        F.coalesce(reason, F.lit("no rows")).alias("reason"),
+        F.lit(run_time).cast("timestamp").alias("create_time"),
     )
 
 
@@ -172,23 +208,42 @@ def event_rows(files: DataFrame, plan: DataFrame, run_time: datetime) -> DataFra
     )
 
 
+COPIES = 1000  # equal rows that are numbered in one step
+
+
+def row_content(present: list[str]) -> Column:
+    """A text that says what is in all cells of a row; the same whatever other columns there are."""
+
+    def said(name: str) -> Column:
+        cell = F.col(name) if name in present else F.lit(None).cast("string")
+        return F.coalesce(F.concat(F.length(cell).cast("string"), F.lit(":"), cell), F.lit("-"))
+
+    return F.concat_ws("|", *[said(name) for name in CELLS])
+
+
 def identified_rows(exports: DataFrame, plan: DataFrame) -> DataFrame:
-    """Export rows that name a player, with a round id that a rerun gives again.
+    """Export rows that name a player, with a round id that every reading of the file gives again.
 
-    The id hashes the export URL and the row's cells. Equal rows of one file are numbered;
-    the numbering runs within one file block, which bounds the group whatever repeats.
+    The id hashes the export URL, the row's cells and, among equal rows, the number of the copy.
+    Equal rows are counted and written out again in bounded steps, so they make no large group.
     """
     cells = [name for name in CELLS if name in exports.columns]
-    content = F.sha2(F.to_json(F.struct(*cells), {"ignoreNullFields": "false"}), 256)
-    copies = W.partitionBy("file_path", "block", "content").orderBy("content")
-    return (
+    others = ["file_path", "export_url", "event_id", "league_id"]
+    counted = (
         exports.where(to_text(F.col("name")).isNotNull())
-        .join(plan.select("file_path", "export_url", "event_id", "league_id", "action"), "file_path")
-        .where(F.col("action") == "full")
-        .withColumn("content", content)
-        .withColumn("copy", F.row_number().over(copies))
-        .withColumn("raw_score_id", F.sha2(F.concat_ws("|", "export_url", "block", "content", "copy"), 256))
-        .drop("content", "copy", "action", "block", "export_url")
+        .join(plan.where(F.col("action") == "full").select(*others), "file_path")
+        .groupBy(*others, *cells)
+        .agg(F.count("*").alias("copies"))
+    )
+    first = F.sequence(F.lit(1).cast("bigint"), F.col("copies"), F.lit(COPIES).cast("bigint"))
+    few = counted.where(F.col("copies") <= COPIES).withColumn("first", F.lit(1).cast("bigint"))
+    many = counted.where(F.col("copies") > COPIES).withColumn("first", F.explode(first))
+    spread = few.unionByName(many.repartition("file_path", "first", *cells))
+    last = F.least(F.col("first") + (COPIES - 1), "copies")
+    return (
+        spread.withColumn("copy", F.explode(F.sequence("first", last)))
+        .withColumn("raw_score_id", F.sha2(F.concat_ws("|", "export_url", "copy", row_content(cells)), 256))
+        .select("file_path", "event_id", "league_id", "raw_score_id", *cells)
     )
 
 

@@ -1,8 +1,8 @@
 """Written tables: intermediate ones and the stored ones of the pipeline."""
 
 import hashlib
-import tempfile
 import uuid
+from datetime import datetime
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -16,13 +16,12 @@ from tallyboard.session import staging_folder
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """Where intermediate tables go: the folder the cluster names, a temporary one only locally."""
+    """Where intermediate tables go: `spark.checkpoint.dir`, or else beside the session's tables.
+
+    Both are places that all executors share.
+    """
     folder = staging_folder(spark)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
-    return tempfile.mkdtemp(prefix="run-")
+    return folder.rstrip("/") if folder else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/staged"
 
 
 def staged(table: DataFrame, label: str, *partitions: str) -> DataFrame:
@@ -53,27 +52,33 @@ def layout_mark(schema: T.StructType) -> str:
 class Store:
     """Stored tables as Parquet folders, and which folders make up each table.
 
-    A run writes new folders and becomes visible with one last row in `runs`. A run that dies
-    earlier leaves folders nobody reads, so nothing is overwritten in place and a retry starts
-    from the last complete state. Fact tables grow by one folder per import; small tables are
-    rewritten.
+    A run writes new folders and becomes visible with one last row in `runs`, numbered one above
+    the run it began from; the run's own date plays no part. A second writer that began from the
+    same run finds the number taken and fails. A run that dies earlier leaves folders nobody
+    reads, so nothing is overwritten in place and a retry starts from the last complete state.
+    Fact tables grow by one folder per import; small tables are rewritten.
     """
 
-    LOG = "run_id string, folders map<string, array<string>>"
+    LOG = "number long, run_id string, run_time timestamp, folders map<string, array<string>>"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def folders(self) -> dict[str, list[str]]:
-        """The folders of each table after the last complete run."""
+    def last(self) -> tuple[int, dict[str, list[str]]]:
+        """Number and folders of the last complete run; 0 and none before the first."""
+        log = self.spark.read.schema(self.LOG).option("recursiveFileLookup", "true")
         try:
-            last = self.spark.read.schema(self.LOG).json(f"{self.root}/runs").orderBy(F.desc("run_id")).first()
+            last = log.json(f"{self.root}/runs").orderBy(F.desc("number")).first()
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return {}
+                return 0, {}
             raise
-        return dict(last["folders"]) if last else {}
+        return (last["number"], dict(last["folders"])) if last else (0, {})
+
+    def folders(self) -> dict[str, list[str]]:
+        """The folders of each table after the last complete run."""
+        return self.last()[1]
 
     def read(self, name: str, folders: list[str] | None = None, located: bool = False) -> DataFrame:
         """A table, in its declared layout if it has one; empty if nothing is stored.
@@ -106,7 +111,10 @@ class Store:
         table.write.partitionBy(*partitions).parquet(folder)
         return folder
 
-    def commit(self, run_id: str, folders: dict[str, list[str]]) -> None:
-        self.spark.createDataFrame([(run_id, folders)], self.LOG).coalesce(1).write.mode("append").json(
-            f"{self.root}/runs"
-        )
+    def commit(self, number: int, run_id: str, run_time: datetime, folders: dict[str, list[str]]) -> None:
+        """Make a run visible. Fails if another run has the number."""
+        row = self.spark.createDataFrame([(number, run_id, run_time, folders)], self.LOG)
+        place = f"{self.root}/runs/{number:012d}"
+        row.coalesce(1).write.mode("error").json(place)
+        if self.spark.read.schema(self.LOG).json(place).count() != 1:
+            raise RuntimeError(f"two runs took the number {number}")

@@ -30,41 +30,42 @@ def urls(table):
 def test_recent_event_links(spark, inside):
     found = schedule(
         spark,
-        ("/events/abc/leaderboard", 2026),
-        ("/events/def/leaderboard", " 2025 "),
-        ("/events/old/leaderboard", 2010),
-        ("/blog/post", 2026),
-        ("/events/abc/leaderboard", 2026),
-        ("/events/noyear/leaderboard", "soon"),
+        ("/about", 2031),
+        ("/events/spring-open/leaderboard", 2030),
+        ("/events/spring-open", 2030),
+        ("/events/winter-cup/leaderboard", 2028),
+        ("/events/no-label/leaderboard", "TBA"),
+        ("/events/night-round/leaderboard", "\n2029\t"),
+        ("/events/spring-open/leaderboard", 2030),
         inside=inside,
     )
-    links = pages.event_links(found, "https://example.org", 2025)
+    links = pages.event_links(found, "https://site.example", 2029)
     assert urls(links) == [
-        "https://example.org/events/abc/leaderboard",
-        "https://example.org/events/def/leaderboard",
+        "https://site.example/events/spring-open/leaderboard",
+        "https://site.example/events/night-round/leaderboard",
     ]
 
 
 def test_link_without_a_following_label_is_skipped(spark):
-    assert urls(pages.event_links(page(spark, '<a href="/events/abc/leaderboard">x</a>'), "s", 2000)) == []
+    before = f'{LABEL.format(2030)}<a href="/events/lonely/leaderboard">x</a>'
+    assert urls(pages.event_links(page(spark, before), "s", 2000)) == []
 
 
 def test_the_label_is_the_next_one_in_the_document(spark):
-    html = f'<a href="/events/a/leaderboard">a</a><a href="/events/b/leaderboard">b</a>{LABEL.format(2026)}'
-    html += f'<a href="/events/c/leaderboard">c</a>{LABEL.format(1999)}'
-    assert urls(pages.event_links(page(spark, html), "", 2026)) == ["/events/a/leaderboard", "/events/b/leaderboard"]
+    html = f'<a href="/events/p/leaderboard">p</a><a href="/events/q/leaderboard">q</a>{LABEL.format(2030)}'
+    html += f'<a href="/events/r/leaderboard">r</a>{LABEL.format(2011)}'
+    assert urls(pages.event_links(page(spark, html), "", 2030)) == ["/events/p/leaderboard", "/events/q/leaderboard"]
 
 
 def test_leaderboard_links_are_resolved_and_distinct(spark):
-    html = """<a href="/events/abc/leaderboard/export">E</a> <a class='x' href='/events/abc/leaderboard'>V</a>
-      <A HREF=https://other.example/events/z/leaderboard>Z</A> <a href="/events/abc/leaderboard/export">again</a>
-      <a href='/unrelated'>no</a> <!-- <a href="/events/no/leaderboard">no</a> -->
-      <a data-href="/events/no/leaderboard">no</a>"""
+    html = """<A HREF='/events/dusk/leaderboard'>D</A> <a id=1 href=https://else.example/events/k/leaderboard>K</a>
+      <a href="/shop">no</a> <a href="/events/dusk/leaderboard/export">E</a> <!-- <a href="/events/x/leaderboard"> -->
+      <a data-href="/events/x/leaderboard">no</a> <a href="/events/dusk/leaderboard">again</a>"""
     found = pages.resolved_links(page(spark, html)).orderBy("position").collect()
     assert [r["export_url"] for r in found] == [
-        "https://example.org/events/abc/leaderboard/export",
-        "https://example.org/events/abc/leaderboard",
-        "https://other.example/events/z/leaderboard",
+        "https://example.org/events/dusk/leaderboard",
+        "https://else.example/events/k/leaderboard",
+        "https://example.org/events/dusk/leaderboard/export",
     ]
 
 
@@ -89,21 +90,21 @@ def test_urls_resolve_as_in_the_standard_library(spark, base):
 def test_end_dates(spark):
     table = page(
         spark,
-        '<time datetime="2024-06-10"></time><time class="x" datetime="2024-06-15"></time>',
-        "<html></html>",
-        '<time datetime="not-a-date"></time>',
-        '<time datetime="2024-06-10"></time><time>no</time>',
-        '<time datetime="2024-13-45"></time>',
+        '<time datetime="2030-02-28">a</time> to <time datetime="2030-03-01" class="y">b</time>',
+        "<p>no times here</p>",
+        '<time datetime="in spring">x</time>',
+        '<time datetime="2031-12-31"></time><time>later</time>',
+        '<time datetime="2030-02-30"></time>',
     )
     dates = [r["event_end_date"] for r in pages.page_end_dates(table).orderBy("page_id").collect()]
-    assert dates == [date(2024, 6, 15), None, None, date(2024, 6, 10), None]
+    assert dates == [date(2030, 3, 1), None, None, date(2031, 12, 31), None]
 
 
 def test_page_links_keep_the_first_place(spark):
-    html = '<a href="/events/b/leaderboard">1</a><a href="/x">2</a><a href="/events/a/leaderboard?x=1&amp;y=2">3</a>'
-    html += '<a href="/events/b/leaderboard">4</a>'
+    html = '<a href="/events/m/leaderboard?a=1&amp;b=2">1</a><a href="/faq">2</a><a href="/events/n/leaderboard">3</a>'
+    html += '<a href="/events/m/leaderboard?a=1&amp;b=2">4</a>'
     found = pages.page_links(page(spark, html)).orderBy("position").collect()
     assert [(r["link"], r["position"]) for r in found] == [
-        ("/events/b/leaderboard", 0),
-        ("/events/a/leaderboard?x=1&y=2", 2),
+        ("/events/m/leaderboard?a=1&b=2", 0),
+        ("/events/n/leaderboard", 2),
     ]

@@ -146,7 +146,7 @@ def test_older_layouts_are_read_in_the_declared_one(spark, tmp_path):
     new = frame(spark, [score("1", "a", "x", 5)], schemas.RAW_SCORES)
     old = spark.createDataFrame([("2", "a", "6"), ("3", "b", "?")], "raw_score_id string, event_id string, raw_score string")
     folders = [store.write(new, "raw_scores", "r1"), store.write(old, "raw_scores", "r0")]
-    store.commit("r1", {"raw_scores": folders})
+    store.commit(1, "r1", NOW, {"raw_scores": folders})
     table = store.read("raw_scores")
     assert [(f.name, f.dataType) for f in table.schema] == [(f.name, f.dataType) for f in schemas.RAW_SCORES]
     assert sorted((r.raw_score_id, r.raw_score) for r in table.collect()) == [("1", 5), ("2", 6), ("3", None)]

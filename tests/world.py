@@ -1,7 +1,6 @@
 """Small made-up competitions, and the same results worked out row by row."""
 
 import random
-import zlib
 from datetime import date, datetime
 from decimal import ROUND_HALF_UP, Decimal
 
