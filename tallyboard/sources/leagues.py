@@ -41,14 +41,14 @@ def scan_league_configs(spark: SparkSession, path: str) -> DataFrame:
 def league_entries(entries: DataFrame) -> DataFrame:
     """Normalised league settings from a column `entry` of text maps."""
 
-    def given(name):
-        return to_text(F.col("entry")[name])
+    def either(first, second):
+        # An empty text or list makes room for the other spelling; a blank one does not.
+        cell = F.col("entry")[first]
+        empty = (cell == "") | (F.regexp_replace(cell, r"\s", "") == "[]")
+        return F.coalesce(F.when(~empty, cell), F.col("entry")[second])
 
-    def url_list(name):
-        text = F.col("entry")[name]
-        parsed = F.from_json(F.when(F.ltrim(text).startswith("["), text), T.ArrayType(T.StringType()))
-        urls = split_list(join_list(F.coalesce(parsed, split_list(text))))
-        return F.when(F.size(urls) > 0, urls)
+    urls = either("league_urls", "urls")
+    parsed = F.from_json(F.when(F.ltrim(urls).startswith("["), urls), T.ArrayType(T.StringType()))
 
     settings = [
         F.coalesce(F.col("entry")[name].try_cast(LEAGUES[name].dataType), F.lit(value).cast(LEAGUES[name].dataType))
@@ -56,8 +56,8 @@ def league_entries(entries: DataFrame) -> DataFrame:
         for name, value in DEFAULTS.items()
     ]
     return entries.select(
-        F.coalesce(given("league_name"), given("name")).alias("league_name"),
-        join_list(F.coalesce(url_list("league_urls"), url_list("urls"))).alias("league_urls"),
+        to_text(either("league_name", "name")).alias("league_name"),
+        join_list(F.coalesce(parsed, split_list(urls))).alias("league_urls"),
         *settings,
     ).where(F.col("league_name").isNotNull() & (F.col("league_urls") != ""))
 
