@@ -183,8 +183,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def rebuild(spark: SparkSession, folder: str) -> None:
     """Write every derived table anew from the given ones."""
     tables = Tables(spark, folder, fresh=True)
-    for make in (season_log, season_hole_scores):
-        make(tables).write.format("noop").mode("overwrite").save()
+    for make in (season_event_summary, season_players_summary, season_log, season_hole_scores):
+        write_staged(make(tables), make.__name__)
 
 
 # --- handicaps ---------------------------------------------------------------
