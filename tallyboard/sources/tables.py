@@ -35,10 +35,15 @@ def staged(table: DataFrame, label: str, *partitions: str) -> DataFrame:
 
 def write_staged(table: DataFrame, label: str, *partitions: str) -> str:
     folder = f"{scratch_folder(table.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    table.write.partitionBy(*partitions).parquet(folder)
+    gathered(table, *partitions).write.partitionBy(*partitions).parquet(folder)
     return folder
 
 
+def gathered(table: DataFrame, *partitions: str) -> DataFrame:
+    """The rows of a partition together, large partitions split: few files of even size."""
+    return table.hint("rebalance", *partitions) if partitions else table
+
+
 def reread(table: DataFrame, folder: str) -> DataFrame:
     """What was written to the folder, in the layout of the table it came from."""
     return table.sparkSession.read.schema(table.schema).parquet(folder).select(*table.columns)
@@ -108,7 +113,7 @@ class Store:
     def write(self, table: DataFrame, name: str, run_id: str, *partitions: str) -> str:
         """Write one new folder of a table; it counts once the run is committed."""
         folder = f"{self.root}/{name}/{layout_mark(table.schema)}/run-{run_id}-{uuid.uuid4().hex[:8]}"
-        table.write.partitionBy(*partitions).parquet(folder)
+        gathered(table, *partitions).write.partitionBy(*partitions).parquet(folder)
         return folder
 
     def commit(self, number: int, run_id: str, run_time: datetime, folders: dict[str, list[str]]) -> None:
