@@ -1,18 +1,20 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
 Tokens are the words of a text (A-Z lower-cased) and one end. The base score is a smoothed unigram
-model over exact counts. The model is a bigram model over classes: the `CLASSES` most frequent tokens
-are a class each, all others share one. Class pairs are counted over the whole training text, their
-counts are quantised to levels (1 + floor(2 log2 count)), and a pair of level q is put into a Bloom
-filter q times, with its level numbers. The filter is broadcast; a count is read back by probing level
-after level until one is missing. The probability of a token mixes the pair's share with the class's
-own one, times the token's share of its class:
+model over exact counts. The model is a bigram model over all tokens that backs off to classes: the
+`CLASSES` most frequent tokens are a class each, all others share one. Pairs of following tokens and
+of following classes are counted over the whole training text (a pair of two tokens with a class of
+their own is its class pair), the counts are quantised to levels (1 + floor(2 log2 count)), and a pair
+of level q is put into a Bloom filter q times, with its level numbers. The filter is broadcast; a
+count is read back by probing level after level until one is missing:
 
-    p(t | h) = (a c(h, class) / c(h) + (1 - a) p(class)) p(t | class)
+    p(t | h) = a c(h, t) / c(h) + (1 - a) p(class | class of h) p(t | class)
+    p(class | x) = a c(x, class) / c(x) + (1 - a) p(class)
 
-Counts are exact for every word: the `FREQUENT` most frequent ones are broadcast (a fixed bound), the
-words of a document beyond them meet their counts in a shuffled join on the word's hash and come back
-as one sum per document.
+The filter takes `BITS_PER_ENTRY` bits an entry up to `MOST_BITS`; if there are more pairs, the most
+frequent levels are put in. Word counts are exact: the `FREQUENT` most frequent ones are broadcast (a
+fixed bound). All that the broadcasts lack, rarer words and the other pairs, a document's tokens meet
+in one shuffled join on the key; the probabilities come back as one sum per document.
 
 Defined cases: a null or empty text is the end alone. Without training rows all counts are 0. Repeated
 rows are scored alike, very long texts are read in full; extra columns are ignored; a null doc_id is
@@ -25,7 +27,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,8 +41,10 @@ PROBES = 4
 BITS_PER_ENTRY = 12
 MOST_BITS = 1 << 30
 BLOCK_BITS = 1 << 19
+MOST_BLOCKS = 1 << 11
 
 END = np.int64(-0x5EED0E5EED0E5EED)  # the hash that stands for the end of a text
+START = np.int64(0x57A2757A2757A275)  # and for what stands before the first token
 
 
 def held_out(doc_id: Column, folds: int = 7, fold: int = 2) -> Column:
@@ -62,7 +65,7 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def counted(texts: DataFrame, classes: np.ndarray | None = None) -> DataFrame:
-    """(key, n) over all texts: counts of tokens or, with the classes given, of class pairs.
+    """(key, n) over all texts: counts of tokens or, with the classes given, of their pairs and class pairs.
 
     Each task adds up its counts before they are shuffled, in pieces of bounded size.
     """
@@ -79,7 +82,8 @@ def counted(texts: DataFrame, classes: np.ndarray | None = None) -> DataFrame:
             for _, step in text_steps(texts_of(batch)):
                 found, starts = tokens(step)
                 if sent.value is not None:
-                    found = pairs(class_of(found, sent.value), starts)
+                    by_class, by_token = pair_keys(found, starts, class_of(found, sent.value))
+                    found = np.concatenate([by_class, by_token[by_token != by_class]])
                 parts.append(np.unique(found, return_counts=True))
             if sum(len(k) for k, _ in parts) > 4_000_000:
                 parts = [_merged(parts)]
@@ -88,7 +92,12 @@ def counted(texts: DataFrame, classes: np.ndarray | None = None) -> DataFrame:
         if parts:
             yield from out(*_merged(parts))
 
-    return texts.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    found = texts.select("text").mapInArrow(run, "key long, n long")
+    if classes is None:
+        return found.groupBy("key").agg(F.sum("n").alias("n"))
+    # Dealt by the blocks of the largest filter, so that later each block is made by few tasks.
+    dealt = found.withColumn("part", F.col("key").bitwiseAND(MOST_BLOCKS - 1)).repartition("part")
+    return dealt.groupBy("part", "key").agg(F.sum("n").alias("n")).select("key", "n")
 
 
 def class_of(found: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -107,11 +116,39 @@ def pairs(numbers: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return before * (CLASSES + 2) + numbers
 
 
+def histories(found: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The token before each token."""
+    before = np.empty_like(found)
+    before[1:] = found[:-1]
+    before[starts[:-1]] = START
+    return before
+
+
+def pair_keys(found: np.ndarray, starts: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of class pairs and of token pairs, the same where both tokens are a class of their own."""
+    by_class = pairs(numbers, starts)
+    before = histories(found, starts).view(np.uint64)
+    by_token = mix(before * np.uint64(0x9E3779B97F4A7C15) + found.view(np.uint64)).view(np.int64)
+    return by_class, np.where((numbers > 0) & (by_class >= CLASSES + 2), by_class, by_token)
+
+
 def level(n: np.ndarray) -> np.ndarray:
     """Quantised counts, 0 for none."""
     return np.where(n > 0, 1 + np.floor(LEVELS_PER_DOUBLING * np.log2(np.maximum(n, 1)) + 1e-9), 0).astype(np.int64)
 
 
+def level_column(n: str = "n") -> Column:
+    """`level` of a column of counts above 0."""
+    return F.lit(1) + F.floor(LEVELS_PER_DOUBLING * F.log2(F.col(n)) + 1e-9)
+
+
+def quantised(n: str = "n") -> Column:
+    """`count_of` the level of a column of counts above 0."""
+    low = F.pow(F.lit(2.0), (level_column(n) - 1) / LEVELS_PER_DOUBLING)
+    following = F.pow(F.lit(2.0), level_column(n) / LEVELS_PER_DOUBLING)
+    return F.greatest(F.ceil(low).cast("double"), (low + following - 1) / 2)
+
+
 def count_of(levels: np.ndarray) -> np.ndarray:
     """The count a level stands for: the middle of those that have it."""
     low = 2.0 ** ((levels - 1) / LEVELS_PER_DOUBLING)
@@ -130,12 +167,12 @@ def positions(keys: np.ndarray, levels: np.ndarray, bits: int) -> list[np.ndarra
 
 
 def block_of(keys: np.ndarray, bits: int) -> np.ndarray:
-    return (mix(keys.view(np.uint64) + np.uint64(7)) % np.uint64(max(1, bits // BLOCK_BITS))).astype(np.int64)
+    return keys & np.int64(max(1, bits // BLOCK_BITS) - 1)
 
 
 @dataclass
 class Model:
-    """What the workers need: exact counts of frequent tokens, class shares and the filter."""
+    """What the workers need: exact counts of frequent tokens, class shares and the filter of pairs."""
 
     total: int  # training tokens
     distinct: int
@@ -145,6 +182,7 @@ class Model:
     class_counts: np.ndarray  # by class number; the last is the number of texts
     filter: np.ndarray  # bytes
     bits: int
+    whole: bool = True  # whether the filter holds all pairs
 
     def exact(self, found: np.ndarray) -> np.ndarray:
         """Counts of frequent tokens, -1 for all others."""
@@ -154,18 +192,17 @@ class Model:
         return np.where(self.frequent[at] == found, self.counts[at], -1)
 
     def pair_counts(self, keys: np.ndarray) -> np.ndarray:
-        """Counts of class pairs, read back from the filter level by level."""
-        unique, back = np.unique(keys, return_inverse=True)
-        levels = np.zeros(len(unique), dtype=np.int64)
-        open_ = np.arange(len(unique))
+        """Counts of pairs, read back from the filter level by level."""
+        levels = np.zeros(len(keys), dtype=np.int64)
+        open_ = np.arange(len(keys))
         while len(open_) and self.bits:
             seen = np.ones(len(open_), dtype=bool)
-            for at in positions(unique[open_], levels[open_] + 1, self.bits):
+            for at in positions(keys[open_], levels[open_] + 1, self.bits):
                 seen &= (self.filter[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
             open_ = open_[seen]
             levels[open_] += 1
             open_ = open_[levels[open_] < 63]
-        return count_of(levels)[back]
+        return count_of(levels)
 
     def smoothed(self, n: np.ndarray) -> np.ndarray:
         """The base model's log10 probability of tokens seen so often."""
@@ -173,10 +210,11 @@ class Model:
 
 
 def learn(training: DataFrame) -> tuple[Model, DataFrame]:
-    """The model of the training texts, and the exact counts of the words beyond the frequent ones.
+    """The model of the training texts, and the counts (key, n) of the words and pairs it does not hold.
 
     Which count makes a word frequent follows from a histogram in eighths of a doubling, so that the
-    frequent ones are never more than `FREQUENT`.
+    frequent ones are never more than `FREQUENT`; which level puts a pair into the filter, from a
+    histogram of the levels.
     """
     words = stage(counted(training), "token_counts")
     eighth = F.floor(8 * F.log2(F.col("n")) + 1e-9)
@@ -199,78 +237,103 @@ def learn(training: DataFrame) -> tuple[Model, DataFrame]:
     class_counts[0] = total - class_counts.sum()
     ends = words.where(F.col("key") == int(END)).first()
     class_counts[-1] = ends.n if ends else 0
-    bits, made = build_filter(counted(training, keys[own]))
-    model = Model(total, distinct, keys, n, keys[own], class_counts, made, bits)
-    return model, words.where(eighth < least)
+    pair_counts = stage(counted(training, keys[own]), "pair_counts")
+    levels = pair_counts.groupBy(level_column().alias("level")).agg(F.count("*").alias("pairs")).collect()
+    least_level, room = 1, MOST_BITS // BITS_PER_ENTRY
+    for row in sorted(levels, key=lambda r: -r.level):
+        room -= row.level * row.pairs
+        if room < 0:
+            least_level = row.level + 1
+            break
+    bits, made = build_filter(pair_counts.where(level_column() >= least_level))
+    model = Model(total, distinct, keys, n, keys[own], class_counts, made, bits, room >= 0)
+    rest = words.where(eighth < least).select("key", F.col("n").cast("double").alias("n"))
+    other = pair_counts.where(level_column() < least_level).select("key", quantised().alias("n"))
+    return model, rest if model.whole else rest.unionByName(other)
 
 
-def rare_words(found: np.ndarray, common: np.ndarray, texts: np.ndarray, rows: int) -> tuple[np.ndarray, ...]:
-    """Per text the distinct tokens that are not frequent: tokens, how often, and where each text begins."""
-    if common.all():
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32), np.zeros(rows + 1, dtype=np.int64)
-    text, key = texts[~common], found[~common]
-    order = np.lexsort((key, text))
-    text, key = text[order], key[order]
-    new = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (key[1:] != key[:-1])]))
-    times = np.diff(np.append(new, len(key))).astype(np.int32)
-    return key[new], times, np.searchsorted(text[new], np.arange(rows + 1))
+def distinct_pairs(keys: np.ndarray, texts: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per text the distinct keys: where one stands, how often it does, and where each text begins."""
+    order = np.lexsort((keys, texts))
+    text, key = texts[order], keys[order]
+    new = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (key[1:] != key[:-1])])[: len(key)])
+    times = np.diff(np.append(new, len(key)))
+    return order[new], times, np.searchsorted(text[new], np.arange(rows + 1))
 
 
 def build_filter(counts: DataFrame) -> tuple[int, np.ndarray]:
-    """The filter of the pair counts: its size follows the entries, each block is made by one group."""
-    counts = stage(counts, "pair_counts")
-
-    @F.pandas_udf("long")
-    def levels(n: pd.Series) -> pd.Series:
-        return pd.Series(level(n.to_numpy()))
-
-    entries = counts.agg(F.sum(levels("n")).alias("entries")).first().entries if not counts.isEmpty() else 0
+    """The filter of the pair counts: its size follows the entries; tasks make blocks, which are put together."""
+    entries = counts.agg(F.sum(level_column())).first()[0]
     if not entries:
         return 0, np.zeros(0, dtype=np.uint8)
     bits = min(MOST_BITS, 1 << int(np.ceil(np.log2(entries * BITS_PER_ENTRY))))
 
-    @F.pandas_udf("long")
-    def block(key: pd.Series) -> pd.Series:
-        return pd.Series(block_of(key.to_numpy(), bits))
+    size = min(bits, BLOCK_BITS) // 8
 
-    def fill(part: pd.DataFrame) -> pd.DataFrame:
-        size = min(bits, BLOCK_BITS)
-        keys, most = part.key.to_numpy(), level(part.n.to_numpy())
-        made = np.zeros(size, dtype=bool)
-        for q in range(1, int(most.max()) + 1):
-            for at in positions(keys[most >= q], np.full(int((most >= q).sum()), q), bits):
-                made[at % size] = True
-        return pd.DataFrame({"block": [part.block.iloc[0]], "made": [np.packbits(made, bitorder="little").tobytes()]})
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, met, held = np.zeros(bits // 8, dtype=np.uint8), set(), []
 
-    blocks = counts.withColumn("block", block("key")).groupBy("block").applyInPandas(fill, "block long, made binary")
+        def put() -> None:
+            part = pa.Table.from_batches(held)
+            keys, most = part.column("key").to_numpy(), level(part.column("n").to_numpy())
+            for q in range(1, int(most.max(initial=0)) + 1):
+                keys, most = keys[most >= q], most[most >= q]
+                for at in positions(keys, np.full(len(keys), q), bits):
+                    np.bitwise_or.at(made, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+            met.update(np.unique(block_of(part.column("key").to_numpy(), bits)).tolist())
+            held.clear()
+
+        for batch in batches:
+            held.append(batch)
+            if len(held) * batch.num_rows > 200_000:
+                put()
+        if held:
+            put()
+        for block in sorted(met):
+            yield pa.RecordBatch.from_pydict({"block": [block], "made": [made[block * size : (block + 1) * size].tobytes()]})
+
+    blocks = stage(counts.select("key", "n").mapInArrow(fill, "block long, made binary"), "blocks")
     made = np.zeros(bits // 8, dtype=np.uint8)
-    size = min(bits, BLOCK_BITS) // 8
     for row in blocks.toLocalIterator():
-        made[row.block * size : (row.block + 1) * size] = np.frombuffer(row.made, dtype=np.uint8)
+        made[row.block * size : (row.block + 1) * size] |= np.frombuffer(row.made, dtype=np.uint8)
     return bits, made
 
 
-RESULT = (
-    "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-)
+# What the probability of a token depends on. Each has a key; its value is null until the join gives it.
+PARTS = ("pair", "class_pair", "history", "token")
+# Besides: how often the pair stands in the text, the count and share that its classes have, and whether the token shares its class.
+OPEN = {
+    **{f"{part}_key": pa.int64() for part in PARTS},
+    **{part: pa.float64() for part in PARTS},
+    "times": pa.float64(), "class_history": pa.float64(), "class_share": pa.float64(), "shared": pa.bool_(),
+}
+
+
+def probability(pair, class_pair, history, base, class_history, class_share, shared, shared_share, choose, least):
+    """p(t | h) as in the head of this module, of arrays or columns. `base`: the token's own probability."""
+    of_class = HISTORY_SHARE * least(class_pair / class_history) + (1 - HISTORY_SHARE) * class_share
+    of_class = choose(class_history > 0, of_class, class_share)
+    back = choose(shared, of_class * base / shared_share, of_class)
+    return choose(history > 0, HISTORY_SHARE * least(pair / history) + (1 - HISTORY_SHARE) * back, back)
 
 
 def score(documents: DataFrame, training: DataFrame) -> DataFrame:
     """One row per document: exact counts, the base score and the model's log10 probability.
 
-    Every row gets a number of its own, so that the sums of its rare words come back to it. A row with
-    no rare word takes no part in the join.
+    Every row gets a number of its own, so that the sums of its open tokens, those with a part that the
+    broadcasts lack, come back to it. A row with no open token takes no part in the join.
     """
     spark = prepare(documents.sparkSession)
     model, rest = learn(training)
     sent = spark.sparkContext.broadcast(model)
+    open_type = pa.list_(pa.struct(list(OPEN.items())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         class_share = (m.class_counts + 1) / (m.total + len(m.class_counts))
         for batch in batches:
             at = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-            columns: list[list] = [[], [], [], [], [], []]
+            columns: list[list] = [[], [], [], [], []]
             for _, step in text_steps(at["text"].to_pylist()):
                 found, starts = tokens(step)
                 texts = np.repeat(np.arange(len(step)), np.diff(starts))
@@ -278,24 +341,50 @@ def score(documents: DataFrame, training: DataFrame) -> DataFrame:
                 common = exact >= 0
                 base = np.where(common, m.smoothed(np.maximum(exact, 0)), 0.0)
                 numbers = class_of(found, m.classes)
-                key = pairs(numbers, starts)
-                history = m.class_counts[key // (CLASSES + 2)]
-                share = np.where(history > 0, m.pair_counts(key) / np.maximum(history, 1), class_share[numbers])
-                p = HISTORY_SHARE * np.minimum(share, 1.0) + (1 - HISTORY_SHARE) * class_share[numbers]
-                # A token of the shared class takes its part of that class by the base model.
-                own = np.log10(p) + np.where(numbers == 0, base - np.log10(class_share[0]), 0.0)
+                by_class, by_token = pair_keys(found, starts, numbers)
+                different, back = np.unique(by_class, return_inverse=True)
+                class_pair = m.pair_counts(different)[back]
+                pair = class_pair.copy()
+                mixed = np.flatnonzero(by_token != by_class)
+                pair[mixed] = m.pair_counts(by_token[mixed])
+                before = histories(found, starts)
+                history = np.append(0.0, exact[:-1])
+                history[starts[:-1]] = m.class_counts[-1]
+                class_history = m.class_counts[by_class // (CLASSES + 2)]
+                lacking = {
+                    "pair": (pair == 0) & (not m.whole),
+                    "class_pair": (class_pair == 0) & (not m.whole),
+                    "history": history < 0,
+                    "token": ~common,
+                }
+                is_open = np.logical_or.reduce(list(lacking.values()))
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    p = probability(
+                        pair, class_pair, history, 10.0**base, class_history, class_share[numbers], numbers == 0,
+                        class_share[0], np.where, lambda x: np.minimum(x, 1.0),
+                    )
+                own = np.where(is_open, 0.0, np.log10(np.where(is_open, 1.0, p)))
                 add = lambda values, n=len(step), t=texts: np.bincount(t, weights=values, minlength=n)
-                rare, times, begins = rare_words(found, common, texts, len(step))
+                places = np.flatnonzero(is_open)
+                first, times, begins = distinct_pairs(by_token[places], texts[places], len(step))
+                places = places[first]
+                keys = {"pair": by_token, "class_pair": by_class, "history": before, "token": found}
+                values = {"pair": pair, "class_pair": class_pair, "history": history, "token": exact}
+                sent_parts = [pa.array(keys[x][places], mask=~lacking[x][places]) for x in PARTS]
+                sent_parts += [pa.array(values[x][places].astype(float), mask=lacking[x][places]) for x in PARTS]
+                sent_parts += [pa.array(times.astype(float)), pa.array(class_history[places]), pa.array(class_share[numbers[places]])]
+                sent_parts.append(pa.array(numbers[places] == 0))
                 columns[0] += np.diff(starts).tolist()
                 columns[1] += add((exact > 0).astype(float)).astype(np.int64).tolist()
                 columns[2] += add(base).tolist()
                 columns[3] += add(own).tolist()
-                columns[4] += [rare[a:b] for a, b in zip(begins[:-1], begins[1:], strict=True)]
-                columns[5] += [times[a:b] for a, b in zip(begins[:-1], begins[1:], strict=True)]
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32()))
+                inside = pa.StructArray.from_arrays(sent_parts, names=list(OPEN))
+                columns[4].append(pa.ListArray.from_arrays(pa.array(begins, pa.int32()), inside))
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
+            opened = pa.concat_arrays(columns.pop()) if columns[4] else pa.array([], open_type)
             yield pa.RecordBatch.from_arrays(
-                [at["row"], at["doc_id"], at["held_out"], *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]],
-                names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "own", "rare", "times"],
+                [at["row"], at["doc_id"], at["held_out"], *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], opened],
+                names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "own", "open"],
             )
 
     rows = documents.select(
@@ -304,29 +393,48 @@ def score(documents: DataFrame, training: DataFrame) -> DataFrame:
         held_out(F.col("doc_id")).alias("held_out"),
         "text",
     )
+    names = {pa.int64(): "bigint", pa.float64(): "double", pa.bool_(): "boolean"}
+    inside = ", ".join(f"{name}: {names[kind]}" for name, kind in OPEN.items())
     scored = stage(
         rows.mapInArrow(
             run,
             "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, own double, "
-            "rare array<long>, times array<int>",
+            f"open array<struct<{inside}>>",
         ),
         "scored",
     )
-    rare = scored.select("row", F.inline(F.arrays_zip(F.col("rare").alias("key"), F.col("times").alias("times"))))
-    counts = rest.select("key", "n")
-    unseen = F.log10(1.0 / F.lit(model.total + 1.0 * (model.distinct + 1)))
-    one = F.coalesce(F.log10((F.col("n") + 1.0) / F.lit(model.total + 1.0 * (model.distinct + 1))), unseen)
-    sums = (
-        rare.join(counts, "key", "left")
-        .groupBy("row")
-        .agg(F.sum(F.col("times") * one).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("times"))).alias("known"))
+    # One row for each part that an open token lacks; then the token is put together again.
+    opened = scored.select("row", F.posexplode("open").alias("slot", "o")).select("row", "slot", "o.*")
+    asked = F.array(*[F.struct(F.lit(i).alias("part"), F.col(f"{part}_key").alias("key")) for i, part in enumerate(PARTS)])
+    wanted = opened.withColumn("ask", F.explode(F.filter(asked, lambda x: x.key.isNotNull())))
+    wanted = wanted.withColumns({"part": F.col("ask.part"), "key": F.col("ask.key")}).drop("ask", *[f"{x}_key" for x in PARTS])
+    given = {x: F.when(F.col("part") == i, F.coalesce("n", F.lit(0.0))).otherwise(F.col(x)) for i, x in enumerate(PARTS)}
+    put = (
+        wanted.join(rest, "key", "left")
+        .groupBy("row", "slot")
+        .agg(
+            *[F.max(value).alias(x) for x, value in given.items()],
+            *[F.max(x).alias(x) for x in ("times", "class_history", "class_share", "shared")],
+            F.max(F.col("part") == PARTS.index("token")).alias("rare"),
+        )
+    )
+    base = (F.col("token") + 1.0) / F.lit(model.total + 1.0 * (model.distinct + 1))
+    shared_share = float((model.class_counts[0] + 1) / (model.total + len(model.class_counts)))
+    p = probability(
+        *[F.col(x) for x in ("pair", "class_pair", "history")], base, F.col("class_history"), F.col("class_share"), F.col("shared"),
+        F.lit(shared_share), lambda test, a, b: F.when(test, a).otherwise(b), lambda x: F.least(x, F.lit(1.0)),
+    )
+    sums = put.groupBy("row").agg(
+        F.sum(F.when(F.col("rare"), F.col("times") * F.log10(base))).alias("more_base"),
+        F.sum(F.when(F.col("rare") & (F.col("token") > 0), F.col("times"))).cast("long").alias("known"),
+        F.sum(F.col("times") * F.log10(p)).alias("more"),
     )
-    return scored.drop("rare", "times").join(sums, "row", "left").select(
+    return scored.drop("open").join(sums, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
+        (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
         (F.col("own") + F.coalesce("more", F.lit(0.0))).alias("score"),
     )

@@ -68,3 +68,36 @@ def test_filter_reads_counts_back(spark):
     absent = model.pair_counts(np.arange(1 << 24, (1 << 24) + 20_000))
     assert np.mean(absent > 0) < 0.02
     assert (np.abs(np.log2(exact / counts)) < 0.6).all()
+
+
+def rare_phrases(spark):
+    """Frequent words that fill the classes, and rare ones that always stand in the same order."""
+    common = [f"c{i}" for i in range(bloom_lm.CLASSES + 20)]
+    rows = [(i, " ".join(common), "en", "a") for i in range(12)]
+    rows += [(100 + i, " ".join(f"rare{j}" for j in range(40)), "en", "a") for i in range(4)]
+    order = np.random.RandomState(1).permutation(40)
+    asked = [(1, " ".join(f"rare{j}" for j in range(40)), "en", "a"), (2, " ".join(f"rare{j}" for j in order), "en", "a")]
+    return documents(spark, asked), documents(spark, rows)
+
+
+@pytest.mark.parametrize("frequent, bits", [(1 << 20, 1 << 30), (300, 1 << 30), (1 << 20, 1 << 12), (300, 1 << 12)])
+def test_phrases_of_rare_words_are_known(spark, frequent, bits, monkeypatch):
+    monkeypatch.setattr(bloom_lm, "FREQUENT", frequent)
+    monkeypatch.setattr(bloom_lm, "MOST_BITS", bits)
+    asked, training = rare_phrases(spark)
+    found = {r.doc_id: r for r in bloom_lm.score(asked, training).collect()}
+    assert found[1].base_score == pytest.approx(found[2].base_score)
+    # Of 40 words 39 always follow the same one: 0.7 of their probability is sure.
+    assert found[1].score / 40 > math.log10(0.5) and found[2].score < 2 * found[1].score
+
+
+def test_scores_do_not_depend_on_what_is_broadcast(spark, monkeypatch):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    training = table.where(~bloom_lm.held_out(F.col("doc_id")))
+    whole = {r.doc_id: r for r in bloom_lm.score(table, training).collect()}
+    # The frequent words are still more than the classes; no pair is broadcast, so none is met by chance.
+    monkeypatch.setattr(bloom_lm, "FREQUENT", 15_000)
+    monkeypatch.setattr(bloom_lm, "MOST_BITS", 0)
+    found = {r.doc_id: r for r in bloom_lm.score(table, training).collect()}
+    apart = sum(abs(found[doc].score - whole[doc].score) for doc in whole)
+    assert apart < 0.005 * sum(abs(r.score) for r in whole.values())
