@@ -29,7 +29,7 @@ from tallyboard.llm.common import BYTES_PER_STEP, mix, prepare, texts_of
 
 PROBES = 3
 SLOTS_PER_GRAM = 12
-# About so many documents are learned from, dealt by a hash of doc_id; then so many n-grams a language.
+# About so many documents of each language are learned from, dealt by a hash of doc_id; then so many n-grams a language.
 LEARN_FROM = 24_000
 GRAMS = 200_000
 # An n-gram counts for a language if it is seen so often there, and not much rarer than elsewhere.
@@ -119,17 +119,21 @@ class Model:
 
 
 def learn(documents: DataFrame, lang: str = "lang", learn_from: int = LEARN_FROM) -> Model | None:
-    """The filters of the languages of the given rows, learned from about `learn_from` of them.
+    """The filters of the languages of the given rows, learned from about `learn_from` rows of each.
 
+    A language with fewer rows is learned from all of them, however many rows the others have.
     Counting is spread over the tasks and reduced per n-gram; the driver gets at most `GRAMS`
     n-grams of each language.
     """
     usable = documents.where(F.col(lang).isNotNull() & F.col("text").isNotNull())
-    rows = usable.count()
-    if not rows:
+    sizes = {r.lang: r["count"] for r in usable.groupBy(F.col(lang).alias("lang")).count().collect()}
+    if not sizes:
         return None
-    share = min(1.0, learn_from / rows)
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)) if share < 1 else F.lit(True)
+    parts = {code: int(learn_from / n * (1 << 40)) for code, n in sizes.items() if n > learn_from}
+    chosen = F.lit(True)
+    if parts:
+        limit = F.create_map(*[F.lit(x) for code in sorted(parts) for x in (code, parts[code])])[F.col(lang)]
+        chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < F.coalesce(limit, F.lit(1 << 40))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}

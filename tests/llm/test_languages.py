@@ -76,3 +76,12 @@ def test_keeping_keeps_columns_and_rows(spark):
     assert kept.schema == table.schema
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id) == [1, 2, 2, 7, 8, 8, 9, 10, 11]
     assert languages.keep_known(empty(spark)).count() == 0
+
+
+def test_a_rare_language_is_learned_from_all_its_rows(spark):
+    rows = [(i, f"the keeper wrote down the weather of morning {i}", "en", "a") for i in range(3000)]
+    rows += [(9000 + i, "zvon kdysi hlasil pristav za mlhy", "cs", "a") for i in range(8)]
+    model = languages.learn(documents(spark, rows), learn_from=100)
+    ((code, _, known),) = languages.judge(model, ["zvon kdysi hlasil pristav za mlhy"])
+    assert code == "cs" and known > 0.99
+    assert languages.judge(model, ["the keeper wrote down the weather"])[0][0] == "en"
