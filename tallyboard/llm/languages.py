@@ -17,7 +17,7 @@ full. Extra columns are kept out; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from tallyboard.llm.common import BYTES_PER_STEP, mix, prepare, texts_of
 
 PROBES = 3
+MASK_BITS = 64
 SLOTS_PER_GRAM = 12
 # About so many documents of each language are learned from, dealt by a hash of doc_id; then so many n-grams a language.
 LEARN_FROM = 24_000
@@ -86,10 +87,18 @@ def steps(texts: list[str | None]) -> Iterator[tuple[int, list[str | None]]]:
 
 @dataclass
 class Model:
-    """Languages in order and the table of their masks."""
+    """Languages in order and the table of their masks; beyond 64, `more` has one for each further 64."""
 
     languages: list[str]
     table: np.ndarray
+    more: list[np.ndarray] = field(default_factory=list)
+
+    def bits(self) -> Iterator[tuple[int, np.ndarray, np.generic]]:
+        """Per language: its number, its table and its place in a mask."""
+        tables = [self.table, *self.more]
+        for i in range(len(self.languages)):
+            table = tables[i // MASK_BITS]
+            yield i, table, table.dtype.type(i % MASK_BITS)
 
     def slots(self, hashes: np.ndarray) -> list[np.ndarray]:
         size = np.uint64(len(self.table) - 1)
@@ -98,21 +107,19 @@ class Model:
 
     def chance(self) -> np.ndarray:
         """Per language, how likely a look-up of a foreign n-gram hits."""
-        bits = np.arange(len(self.languages), dtype=np.uint64)
-        fill = np.array([np.mean((self.table >> b.astype(self.table.dtype)) & self.table.dtype.type(1)) for b in bits])
+        fill = np.array([np.mean((table >> place) & table.dtype.type(1)) for _, table, place in self.bits()])
         return fill**PROBES
 
     def counts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Corrected hits per text and language, and the number of n-grams per text."""
         hashes, begins = grams(texts)
         total = np.diff(begins)
-        masks = np.full(len(hashes), np.iinfo(self.table.dtype).max, dtype=self.table.dtype)
-        for slots in self.slots(hashes):
-            masks &= self.table[slots]
+        at = self.slots(hashes)
         hits = np.zeros((len(texts), len(self.languages)))
-        for i in range(len(self.languages)):
-            bits = (masks >> self.table.dtype.type(i)) & self.table.dtype.type(1)
-            run = np.concatenate([[0], np.cumsum(bits, dtype=np.int64)])
+        for i, table, place in self.bits():
+            if place == 0:
+                masks = np.bitwise_and.reduce([table[slots] for slots in at])
+            run = np.concatenate([[0], np.cumsum((masks >> place) & table.dtype.type(1), dtype=np.int64)])
             hits[:, i] = run[begins[1:]] - run[begins[:-1]]
         chance = self.chance()
         return np.maximum(0, (hits - total[:, None] * chance) / np.maximum(1e-9, 1 - chance)), total
@@ -177,7 +184,8 @@ def learn(documents: DataFrame, lang: str = "lang", learn_from: int = LEARN_FROM
         per_lang = counted.select(F.explode("langs").alias("l")).groupBy("l.lang").agg(F.sum("l.n").alias("n"))
         totals = {r.lang: r.n for r in per_lang.collect()}
         if not totals:  # texts without letters only
-            return Model(sorted(r[0] for r in usable.select(lang).distinct().collect()), np.zeros(2, dtype=np.uint64))
+            first, *more = [np.zeros(2, dtype=np.uint64) for _ in range(0, len(sizes), MASK_BITS)]
+            return Model(sorted(sizes), first, more)
         total = F.create_map(*[x for lang in sorted(totals) for x in (F.lit(lang), F.lit(float(totals[lang])))])
         rated = counted.select("gram", F.transform("langs", lambda l: F.struct(
             l.lang.alias("lang"), l.n.alias("n"), (l.n / total[l.lang]).alias("rate"))).alias("langs"))
@@ -193,11 +201,12 @@ def learn(documents: DataFrame, lang: str = "lang", learn_from: int = LEARN_FROM
         counted.unpersist()
     most = max((len(keys) for _, keys in found), default=0)
     slots = 1 << max(10, int(np.ceil(np.log2(max(1, most) * SLOTS_PER_GRAM))))
-    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if len(languages) <= np.iinfo(k).bits)
-    model = Model(languages, np.zeros(slots, dtype=kind))
-    for i, keys in found:
+    kind = next((k for k in (np.uint8, np.uint16, np.uint32) if len(languages) <= np.iinfo(k).bits), np.uint64)
+    first, *more = [np.zeros(slots, dtype=kind) for _ in range(0, len(languages), MASK_BITS)]
+    model = Model(languages, first, more)
+    for (_, table, place), (_, keys) in zip(model.bits(), found, strict=True):
         for at in model.slots(np.array(keys, dtype=np.int64).view(np.uint64)):
-            np.bitwise_or.at(model.table, at, kind(1 << i))
+            np.bitwise_or.at(table, at, kind(1) << place)
     return model
 
 

@@ -85,3 +85,11 @@ def test_a_rare_language_is_learned_from_all_its_rows(spark):
     ((code, _, known),) = languages.judge(model, ["zvon kdysi hlasil pristav za mlhy"])
     assert code == "cs" and known > 0.99
     assert languages.judge(model, ["the keeper wrote down the weather"])[0][0] == "en"
+
+
+def test_more_languages_than_a_mask_has_bits(spark):
+    own = [f"{a}{b}{a}{b}ka {b}{a}{a}mo" for a in "abcdefghi" for b in "klmnopqr"]
+    rows = [(100 * i + k, text, f"l{i:02}", "a") for i, text in enumerate(own) for k in range(8)]
+    model = languages.learn(documents(spark, rows))
+    assert len(model.languages) == 72
+    assert [lang for lang, _, _ in languages.judge(model, own)] == [f"l{i:02}" for i in range(72)]
