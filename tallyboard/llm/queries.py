@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import bloom_lm, fingerprints, languages, mixing, near_duplicates, packing, quality, site_style, toxicity, url_filter
+from tallyboard.llm import (
+    bloom_lm,
+    clusters,
+    divergence,
+    fingerprints,
+    heavy_light,
+    languages,
+    mixing,
+    near_duplicates,
+    packing,
+    quality,
+    site_style,
+    toxicity,
+    url_filter,
+)
 from tallyboard.llm.common import given
 
 
@@ -52,5 +66,17 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.severity(given(spark, folder, "documents"), given(spark, folder, "labels"))
 
 
+def op11_heavy_light(spark: SparkSession, folder: str) -> DataFrame:
+    return heavy_light.linked(given(spark, folder, "documents"), size=4, percent=85)
+
+
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(given(spark, folder, "documents"))
+
+
+def op13_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return clusters.cluster(given(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op")}
