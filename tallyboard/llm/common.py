@@ -74,7 +74,17 @@ def stage(table: DataFrame, name: str, *partitions: str) -> DataFrame:
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.parquet(folder)
-    return spark.read.schema(table.schema).parquet(folder)
+    staged = spark.read.schema(table.schema).parquet(folder)
+    staged.staged_in = folder
+    return staged
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove tables that `stage` wrote and that nothing will read again."""
+    for table in tables:
+        jvm = table.sparkSession.sparkContext._jvm
+        place = jvm.org.apache.hadoop.fs.Path(table.staged_in)
+        place.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def mix(values: np.ndarray) -> np.ndarray:

@@ -4,12 +4,15 @@ A document's set holds its distinct shingles of `size` words (A-Z lower-cased);
 sequence is the one shingle. Two documents link if 100 * intersection >= `percent` * union. Every document
 gets the least doc_id that links lead to. All filters below are exact, so no link is lost.
 
-1. **Order.** All shingles are counted in a table of `SLOTS` slots, by hash, in documents; the table is summed on
-   the executors and sent back as one byte a slot (the logarithm), whatever the input. Shingles are ordered by that
-   byte and by hash: any fixed order gives right results, and this one puts passages that many documents share last.
+1. **Order.** All shingles are counted in a table of `SLOTS` slots, by hash, in documents. The table is summed on
+   the executors and sent back as a level of two bits a slot (32 MB, whatever the input): in one document at most, and
+   three degrees of sharing, told by the slot's own load. Shingles are ordered by level and by hash. Any fixed order
+   gives right results; this one puts passages that many documents share last.
 2. **Classes.** Documents with equal sets (size and two hashes of 64 bits) are one class.
 3. **Inverted lists.** Two linked sets share one of the first n - ceil(percent n / 100) + 1 shingles, in that order, of
-   either. These prefixes are the inverted lists; lists of one class go.
+   either. These prefixes are the inverted lists. Entries of the lowest level have no other document. Those of
+   the middle levels, whose lists the level bounds, are sorted by shingle once and lone ones leave; those of the highest
+   are taken as they are. So no list is gathered in one task before its size is bounded.
 4. **Boundary.** A set of n shingles is linked with one of m if they share a subset of c(n, m) shingles, the overlap
    that the limit asks for. Where n is small these subsets are few. For every boundary up to `LARGEST_SMALL` the
    subsets of the smaller sets and the list entries that the larger sets scan are added up from the counted sets;
@@ -39,15 +42,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyboard.llm.common import mix, prepare, stage
+from tallyboard.llm.common import mix, prepare, release, stage
 from tallyboard.llm.components import components
 from tallyboard.llm.near_duplicates import NO_ID, confirmed, row_id, sets_of
 from tallyboard.session import shuffle_width
 
-SLOT_BITS, RANGE_BITS = 25, 16
+SLOT_BITS, RANGE_BITS = 27, 16
 SLOTS, RANGES = 1 << SLOT_BITS, 1 << (SLOT_BITS - RANGE_BITS)
 # Shingles that a task gathers before it counts them.
 GATHERED = 4_000_000
+# The levels: more than one document, and more than these numbers beyond what a slot holds by chance.
+SHARED, HOT = 15, 255
 LARGEST_SMALL = 24
 LANES = 16
 _SECOND = np.uint64(0xA0761D6478BD642F)
@@ -79,8 +84,20 @@ def texts_in(documents: DataFrame) -> DataFrame:
     return documents.select(row_id(F.col("doc_id")).alias("id"), F.xxhash64("text").alias("h"), "text")
 
 
+def levels(table: np.ndarray) -> np.ndarray:
+    """How widely the shingles of each slot are shared, 0 to 3, packed four to a byte, from the documents per slot."""
+    load = table.mean()
+    level = (table > 1).astype(np.uint8) + (table > SHARED + 4 * load) + (table > HOT + 8 * load)
+    return (level.reshape(-1, 4).astype(np.uint8) << np.array([0, 2, 4, 6], dtype=np.uint8)).sum(axis=1, dtype=np.uint8)
+
+
+def level_of(packed: np.ndarray, members: np.ndarray) -> np.ndarray:
+    slots = slots_of(members)
+    return (packed[slots >> 2] >> ((slots & 3) * 2).astype(np.uint8)) & 3
+
+
 def frequencies(documents: DataFrame, size: int) -> np.ndarray:
-    """For every slot the logarithm of the number of documents with a shingle there, one byte each."""
+    """The packed levels of all slots."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered, held = [], 0
@@ -103,7 +120,7 @@ def frequencies(documents: DataFrame, size: int) -> np.ndarray:
                 table[np.frombuffer(low, dtype=np.uint16)] += np.frombuffer(counts, dtype=np.uint32)
         for place, table in tables.items():
             at = np.flatnonzero(table)
-            low, counts = (b"", np.log2(np.maximum(table, 1)).astype(np.uint8)) if last else (at.astype(np.uint16).tobytes(), table[at])
+            low, counts = (b"", levels(table)) if last else (at.astype(np.uint16).tobytes(), table[at])
             columns = [pa.array([place], pa.int32()), pa.array([low], pa.binary()), pa.array([counts.tobytes()], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["place", "low", "counts"])
 
@@ -113,7 +130,7 @@ def frequencies(documents: DataFrame, size: int) -> np.ndarray:
     if width > 1:  # a range is summed in several tasks first
         salted = parts.withColumn("salt", F.spark_partition_id() % width).repartition("place", "salt").drop("salt")
         parts = salted.mapInArrow(lambda batches: add(batches, False), kind)
-    table = np.zeros((RANGES, 1 << RANGE_BITS), dtype=np.uint8)
+    table = np.zeros((RANGES, 1 << (RANGE_BITS - 2)), dtype=np.uint8)
     for row in parts.repartition("place").mapInArrow(lambda batches: add(batches, True), kind).select("place", "counts").collect():
         table[row.place] = np.frombuffer(row.counts, dtype=np.uint8)
     return table.reshape(-1)
@@ -133,24 +150,53 @@ def _counted(gathered: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def sketches(documents: DataFrame, size: int, percent: int, held) -> DataFrame:
-    """One row per document: id, hash of the text, size and two hashes of the set, its prefix in the common order."""
+    """One row per document: id, hash of the text, size and two hashes of the set, its prefix in the common order.
+
+    The prefix comes without shingles that no other document has; `hot` says how many at its end are of the highest level.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = held.value
         for batch in batches:
-            sizes, one, two, prefixes = [], [], [], []
+            sizes, one, two, hot, prefixes = [], [], [], [], []
             for members in sets_of(batch.column(2).to_pylist(), size):
                 n = len(members)
-                order = np.lexsort((members, table[slots_of(members)]))
+                level = level_of(table, members)
+                order = np.lexsort((members, level))[: prefix_length(n, percent) if n else 0]
+                order = order[level[order] > 0]
                 sizes.append(n)
                 one.append(int(members.sum(dtype=np.uint64).view(np.int64)))
                 two.append(int(mix(members * _SECOND).sum(dtype=np.uint64).view(np.int64)))
-                prefixes.append(members[order[: prefix_length(n, percent)]].view(np.int64) if n else [])
-            columns = [pa.array(x, pa.int64()) for x in (sizes, one, two)] + [pa.array(prefixes, pa.list_(pa.int64()))]
+                hot.append(int((level[order] == 3).sum()))
+                prefixes.append(members[order].view(np.int64))
+            columns = [pa.array(x, pa.int64()) for x in (sizes, one, two, hot)] + [pa.array(prefixes, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=names)
 
-    names = ["id", "h", "n", "k1", "k2", "prefix"]
-    return texts_in(documents).mapInArrow(run, "id long, h long, n long, k1 long, k2 long, prefix array<long>")
+    names = ["id", "h", "n", "k1", "k2", "hot", "prefix"]
+    return texts_in(documents).mapInArrow(run, "id long, h long, n long, k1 long, k2 long, hot long, prefix array<long>")
+
+
+def shared_entries(classes: DataFrame) -> DataFrame:
+    """(g, key, n): the list entries of the classes without those that are alone on their list."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows come sorted by g. The last row of a batch waits for the next one.
+        waiting, before = None, None
+        for batch in batches:
+            batch = pa.Table.from_batches([waiting, batch] if waiting is not None else [batch]).combine_chunks().to_batches()[0]
+            g = batch.column(0).to_numpy()
+            same = g[1:] == g[:-1]
+            first = before is not None and before == g[0]
+            keep = np.concatenate([[first], same]) | np.concatenate([same, [False]])
+            yield batch.slice(0, len(g) - 1).filter(pa.array(keep[:-1]))
+            waiting, before = batch.slice(len(g) - 1), (g[-2] if len(g) > 1 else before)
+        if waiting is not None and before is not None and before == waiting.column(0)[0].as_py():
+            yield waiting
+
+    cold = F.slice("prefix", F.lit(1), (F.size("prefix") - F.col("hot")).cast("int"))
+    hot = F.slice("prefix", (F.size("prefix") - F.col("hot") + 1).cast("int"), F.col("hot").cast("int"))
+    bounded = classes.select(F.explode(cold).alias("g"), "key", "n").repartition("g").sortWithinPartitions("g")
+    return bounded.mapInArrow(run, "g long, key long, n long").union(classes.where("hot > 0").select(F.explode(hot).alias("g"), "key", "n"))
 
 
 def choose_boundary(spread: DataFrame, percent: int) -> int:
@@ -231,18 +277,30 @@ def may_link(a: str, b: str, percent: int) -> Column:
 
 def large_links(members: DataFrame, classes: DataFrame, texts: DataFrame, linked: DataFrame, size: int, percent: int) -> DataFrame:
     """(u, v) of `linked` and of lists `members` (g, key, n, degree): confirmed links that give all components."""
-    centres = stage(members.groupBy("g").agg(F.max(F.struct("degree", "key", "n")).alias("c")).select("g", F.col("c.key").alias("centre"), F.col("c.n").alias("m")), "centres")
-    near = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-    stars = members.join(centres, "g").where((F.col("key") != F.col("centre")) & near)
-    stars = stars.groupBy(F.col("key").alias("u"), F.col("centre").alias("v")).agg(F.lit(1).alias("one"))
-    links = stage(linked.union(confirmed(stars, texts, size, percent)), "confirmed")
+    best = members.groupBy("g").agg(F.max(F.struct("degree", "key")).getField("key").alias("centre"))
+    centres = stage(best, "centres")
+    kept = members.select("key").distinct()
+    signed = stage(bitmaps(texts.join(kept, "key"), size).join(classes.select("key", "n", "prefix"), "key"), "bitmaps")
+    stars = (
+        members.join(centres, "g")
+        .where("key <> centre")
+        .groupBy(F.col("key").alias("u"), F.col("centre").alias("v"))
+        .agg(F.lit(1).alias("one"))
+    )
+    signs = signed.drop("prefix")
+    likely = (
+        stars.join(signs.withColumnRenamed("key", "u").alias("a"), "u")
+        .join(signs.withColumnRenamed("key", "v").alias("b"), "v")
+        .where(may_link("a", "b", percent))
+        .select("u", "v")
+    )
+    links = stage(linked.union(confirmed(likely, texts, size, percent)), "confirmed")
     parts = components(links)
 
     label = F.coalesce("v", "key").alias("label")
-    named = members.join(parts, F.col("key") == F.col("u"), "left").select("g", "key", "n", label)
+    named = members.join(parts, F.col("key") == F.col("u"), "left").select("g", "key", label)
     split = named.groupBy("g").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("g")
-    unsettled = stage(named.join(split, "g").join(centres.drop("m"), "g"), "unsettled")
-    signed = stage(bitmaps(texts.join(unsettled.select("key").distinct(), "key"), size).join(classes.select("key", "prefix"), "key"), "bitmaps")
+    unsettled = stage(named.join(split, "g").join(centres, "g"), "unsettled")
     main = unsettled.where("key = centre").select("g", F.col("label").alias("main"))
     sides = unsettled.join(main, "g").join(signed, "key").withColumn("outside", F.col("label") != F.col("main"))
     first = F.element_at(F.array_intersect("a.prefix", "b.prefix"), 1) == F.col("a.g")
@@ -267,18 +325,20 @@ def groups(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, Da
     """(id, n, k1, k2) of all documents and (n, k1, k2, head), the least id that a class leads to."""
     spark = documents.sparkSession
     held = spark.sparkContext.broadcast(frequencies(documents, size))
-    every = stage(sketches(documents, size, percent, held), "sketches")
+    sketched = stage(sketches(documents, size, percent, held), "sketches")
+    every = stage(sketched.select("id", "n", "k1", "k2"), "sizes")
     classes = stage(
-        every.where("n > 0")
+        sketched.where("n > 0")
         .groupBy("n", "k1", "k2")
-        .agg(F.min(F.struct("id", "h")).alias("first"), F.first("prefix").alias("prefix"))
+        .agg(F.min(F.struct("id", "h")).alias("first"), F.first("prefix").alias("prefix"), F.first("hot").alias("hot"))
         # Fixed by being written.
         .withColumn("key", F.monotonically_increasing_id()),
         "classes",
     )
-    spread = classes.select("key", "n", F.explode("prefix").alias("g"))
-    lengths = spread.groupBy("g").agg(F.count("*").alias("length")).where("length > 1")
-    shared = stage(spread.join(lengths, "g"), "lists")
+    release(sketched)
+    entries = stage(shared_entries(classes), "entries")
+    lengths = entries.groupBy("g").agg(F.count("*").alias("length")).where("length > 1")
+    shared = entries.join(lengths, "g")
     scanned = shared.groupBy("key", "n").agg(F.sum("length").alias("scanned"))
     degrees = stage(scanned, "degrees")
     small = classes.where(F.col("n") <= LARGEST_SMALL).select("key", "n")
@@ -291,14 +351,14 @@ def groups(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, Da
 
     # A list matters if it has a set beyond the boundary; smaller sets can only be partners down to this size.
     least = partner_sizes(boundary + 1, percent).start
-    lists = shared.where(F.col("n") >= least)
+    lists = entries.where(F.col("n") >= least)
     beyond = lists.groupBy("g").agg(F.max("n").alias("most"), F.count("*").alias("length")).where((F.col("most") > boundary) & (F.col("length") > 1))
     members = lists.select("g", "key", "n").join(beyond.select("g"), "g").join(degrees.select("key", F.col("scanned").alias("degree")), "key")
     links = large_links(stage(members, "members"), classes, texts, linked, size, percent)
     parts = components(links)
     named = classes.join(parts, F.col("key") == F.col("u"), "left").select("n", "k1", "k2", "first", F.coalesce("v", "key").alias("label"))
     heads = named.groupBy("label").agg(F.min("first").getField("id").alias("head"))
-    return every.select("id", "n", "k1", "k2"), named.join(heads, "label").select("n", "k1", "k2", "head")
+    return every, named.join(heads, "label").select("n", "k1", "k2", "head")
 
 
 def linked(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
