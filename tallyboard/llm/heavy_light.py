@@ -22,8 +22,8 @@ gets the least doc_id that links lead to. All filters below are exact, so no lin
 6. **Large sets** scan the lists for partners of any size. In each list, all are paired with the member that meets
    most others. Then components are formed, and in lists that still hold several, members of different
    components are paired; the join itself refutes pairs whose sizes or parity bitmaps (whose differing bits never
-   outnumber the differing shingles) rule a link out, and leaves a pair to the first shingle they share. All pairs are
-   confirmed on the full sets. So a group of copies is never expanded into all its pairs.
+   outnumber the differing shingles) rule a link out. Wider bitmaps refute more, and the others are confirmed on
+   the full sets. So a group of copies is never expanded into all its pairs.
 
 Defined cases: a text without words (or null) has the empty set and links with nothing. Repeated rows are copies
 of each other; a null doc_id counts as the largest; very long texts are read in full. Extra columns are ignored.
@@ -54,7 +54,8 @@ GATHERED = 4_000_000
 # The levels: more than one document, and more than these numbers beyond what a slot holds by chance.
 SHARED, HOT = 15, 255
 LARGEST_SMALL = 24
-LANES = 16
+# Longs of a parity bitmap, and of the one it is folded to while lists are scanned.
+LANES, NARROW = 16, 8
 _SECOND = np.uint64(0xA0761D6478BD642F)
 
 
@@ -111,6 +112,15 @@ def frequencies(documents: DataFrame, size: int) -> np.ndarray:
         if held:
             yield _counted(gathered)
 
+    return slot_table(documents.select("text").mapInArrow(count, COUNTS), levels)
+
+
+COUNTS = "place int, low binary, counts binary"
+
+
+def slot_table(parts: DataFrame, finish) -> np.ndarray:
+    """Counts per slot, summed over all parts on the executors; `finish` makes bytes of the sums of a range."""
+
     def add(batches: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.RecordBatch]:
         """Sums the counts of each range; the partition's rows come in any order."""
         tables: dict[int, np.ndarray] = {}
@@ -120,22 +130,46 @@ def frequencies(documents: DataFrame, size: int) -> np.ndarray:
                 table[np.frombuffer(low, dtype=np.uint16)] += np.frombuffer(counts, dtype=np.uint32)
         for place, table in tables.items():
             at = np.flatnonzero(table)
-            low, counts = (b"", levels(table)) if last else (at.astype(np.uint16).tobytes(), table[at])
+            low, counts = (b"", finish(table)) if last else (at.astype(np.uint16).tobytes(), table[at])
             columns = [pa.array([place], pa.int32()), pa.array([low], pa.binary()), pa.array([counts.tobytes()], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["place", "low", "counts"])
 
-    kind = "place int, low binary, counts binary"
-    parts = documents.select("text").mapInArrow(count, kind)
-    width = shuffle_width(documents.sparkSession) // RANGES
+    width = shuffle_width(parts.sparkSession) // RANGES
     if width > 1:  # a range is summed in several tasks first
         salted = parts.withColumn("salt", F.spark_partition_id() % width).repartition("place", "salt").drop("salt")
-        parts = salted.mapInArrow(lambda batches: add(batches, False), kind)
-    table = np.zeros((RANGES, 1 << (RANGE_BITS - 2)), dtype=np.uint8)
-    for row in parts.repartition("place").mapInArrow(lambda batches: add(batches, True), kind).select("place", "counts").collect():
+        parts = salted.mapInArrow(lambda batches: add(batches, False), COUNTS)
+    blank = finish(np.zeros(1 << RANGE_BITS, dtype=np.uint32))
+    table = np.tile(blank, (RANGES, 1))
+    for row in parts.repartition("place").mapInArrow(lambda batches: add(batches, True), COUNTS).select("place", "counts").collect():
         table[row.place] = np.frombuffer(row.counts, dtype=np.uint8)
     return table.reshape(-1)
 
 
+def texts_of(documents: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(key, text) of the rows `firsts` (id, h, key).
+
+    A table of one bit a slot (16 MB, whatever the input) says which hashes of texts are wanted, so that
+    other texts are not shuffled; the join decides.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield _counted([slots_of(mix(batch.column(0).to_numpy().view(np.uint64)))])
+
+    bits = lambda table: np.packbits(table > 0, bitorder="little")
+    wanted = documents.sparkSession.sparkContext.broadcast(slot_table(firsts.select("h").mapInArrow(count, COUNTS), bits))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = wanted.value
+        for batch in batches:
+            slots = slots_of(mix(batch.column(1).to_numpy().view(np.uint64)))
+            yield batch.filter(pa.array((table[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)))
+
+    some = texts_in(documents).mapInArrow(choose, "id long, h long, text string")
+    return some.join(firsts, ["id", "h"]).dropDuplicates(["key"]).select("key", "text")
+
+
 def _counted(gathered: list[np.ndarray]) -> pa.RecordBatch:
     slots, counts = np.unique(np.concatenate(gathered), return_counts=True)
     cuts = np.searchsorted(slots, np.arange(RANGES + 1, dtype=np.uint64) << np.uint64(RANGE_BITS))
@@ -266,10 +300,16 @@ def bitmaps(texts: DataFrame, size: int) -> DataFrame:
     return texts.select("key", "text").mapInArrow(run, "key long, " + ", ".join(f"{n} long" for n in names))
 
 
-def may_link(a: str, b: str, percent: int) -> Column:
+def folded(bitmap: DataFrame) -> DataFrame:
+    """(key, n, b0, ...) with bitmaps of `NARROW` longs; parities add up when halves are laid over each other."""
+    lanes = [F.col(f"b{i}").bitwiseXOR(F.col(f"b{i + NARROW}")).alias(f"b{i}") for i in range(NARROW)]
+    return bitmap.select("key", "n", *lanes)
+
+
+def may_link(a: str, b: str, percent: int, lanes: int = LANES) -> Column:
     """Whether sizes and bitmaps of two sides leave a link possible."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    differing = reduce(lambda x, y: x + y, [F.bit_count(F.col(f"{a}.b{i}").bitwiseXOR(F.col(f"{b}.b{i}"))) for i in range(LANES)])
+    differing = reduce(lambda x, y: x + y, [F.bit_count(F.col(f"{a}.b{i}").bitwiseXOR(F.col(f"{b}.b{i}"))) for i in range(lanes)])
     sizes = (100 * F.least(n, m) >= percent * F.greatest(n, m))
     # intersection = (n + m - differing shingles) / 2
     return sizes & ((100 + percent) * (n + m - differing) >= 2 * percent * (n + m))
@@ -280,21 +320,19 @@ def large_links(members: DataFrame, classes: DataFrame, texts: DataFrame, linked
     best = members.groupBy("g").agg(F.max(F.struct("degree", "key")).getField("key").alias("centre"))
     centres = stage(best, "centres")
     kept = members.select("key").distinct()
-    signed = stage(bitmaps(texts.join(kept, "key"), size).join(classes.select("key", "n", "prefix"), "key"), "bitmaps")
+    signs = stage(bitmaps(texts.join(kept, "key"), size).join(classes.select("key", "n"), "key"), "bitmaps")
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        left, right = signs.withColumnRenamed("key", "u").alias("a"), signs.withColumnRenamed("key", "v").alias("b")
+        return pairs.join(left, "u").join(right, "v").where(may_link("a", "b", percent)).select("u", "v")
+
     stars = (
         members.join(centres, "g")
         .where("key <> centre")
         .groupBy(F.col("key").alias("u"), F.col("centre").alias("v"))
         .agg(F.lit(1).alias("one"))
     )
-    signs = signed.drop("prefix")
-    likely = (
-        stars.join(signs.withColumnRenamed("key", "u").alias("a"), "u")
-        .join(signs.withColumnRenamed("key", "v").alias("b"), "v")
-        .where(may_link("a", "b", percent))
-        .select("u", "v")
-    )
-    links = stage(linked.union(confirmed(likely, texts, size, percent)), "confirmed")
+    links = stage(linked.union(confirmed(possible(stars), texts, size, percent)), "confirmed")
     parts = components(links)
 
     label = F.coalesce("v", "key").alias("label")
@@ -302,8 +340,7 @@ def large_links(members: DataFrame, classes: DataFrame, texts: DataFrame, linked
     split = named.groupBy("g").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("g")
     unsettled = stage(named.join(split, "g").join(centres, "g"), "unsettled")
     main = unsettled.where("key = centre").select("g", F.col("label").alias("main"))
-    sides = unsettled.join(main, "g").join(signed, "key").withColumn("outside", F.col("label") != F.col("main"))
-    first = F.element_at(F.array_intersect("a.prefix", "b.prefix"), 1) == F.col("a.g")
+    sides = unsettled.join(main, "g").join(folded(signs), "key").withColumn("outside", F.col("label") != F.col("main"))
     rest = (
         sides.where("outside")
         .alias("a")
@@ -312,13 +349,12 @@ def large_links(members: DataFrame, classes: DataFrame, texts: DataFrame, linked
             (F.col("a.g") == F.col("b.g"))
             & (F.col("a.label") != F.col("b.label"))
             & (~F.col("b.outside") | (F.col("a.key") < F.col("b.key")))
-            & may_link("a", "b", percent)
-            & first,
+            & may_link("a", "b", percent, NARROW),
         )
         .groupBy(F.least("a.key", "b.key").alias("u"), F.greatest("a.key", "b.key").alias("v"))
         .agg(F.lit(1).alias("one"))
     )
-    return links.union(stage(confirmed(rest, texts, size, percent), "confirmed"))
+    return links.union(stage(confirmed(possible(rest), texts, size, percent), "confirmed"))
 
 
 def groups(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -346,7 +382,7 @@ def groups(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, Da
 
     wanted = degrees.select("key").union(small.where(F.col("n") <= boundary).select("key")).distinct()
     firsts = classes.select("key", F.col("first.id").alias("id"), F.col("first.h").alias("h")).join(wanted, "key")
-    texts = stage(texts_in(documents).join(firsts, ["id", "h"]).dropDuplicates(["key"]).select("key", "text"), "candidate_texts")
+    texts = stage(texts_of(documents, firsts), "candidate_texts")
     linked = small_links(small.where(F.col("n") <= boundary), texts, size, percent, boundary)
 
     # A list matters if it has a set beyond the boundary; smaller sets can only be partners down to this size.
