@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyboard.functions.html import dated_hrefs, hrefs, label_pieces, last_date, resolved
+from tallyboard.functions.html import dated_hrefs, hrefs, iso_date, label_places, last_time, resolved, schedule_marks
 
 # Which links lead to events and leaderboards.
 EVENT_PATH = "/events"
@@ -23,8 +23,10 @@ def page_links(pages: DataFrame, prefix: str = EVENT_PATH, part: str = LEADERBOA
 
 def event_links(pages: DataFrame, site: str, first_year: int) -> DataFrame:
     """Event leaderboards on schedule pages whose year label is recent enough, as full URLs."""
-    cut = pages.select("page_id", label_pieces(F.col("html")).alias("pieces"))
-    found = cut.select("page_id", F.posexplode(dated_hrefs(F.col("pieces"))).alias("position", "found"))
+    marked = pages.select("page_id", schedule_marks(F.col("html")).alias("marks"))
+    placed = marked.select("page_id", "marks", label_places(F.col("marks")).alias("places"))
+    dated = dated_hrefs(F.col("marks"), F.col("places"))
+    found = placed.select("page_id", F.posexplode(dated).alias("position", "found"))
     link = F.col("found.href")
     recent = found.where(
         link.startswith(EVENT_PATH) & F.contains(link, F.lit(LEADERBOARD_PATH)) & (F.col("found.year") >= first_year)
@@ -43,4 +45,5 @@ def resolved_links(pages: DataFrame, wanted: Column | None = None) -> DataFrame:
 
 def page_end_dates(pages: DataFrame) -> DataFrame:
     """End date of the event each page shows."""
-    return pages.select("page_id", last_date(F.col("html")).alias("event_end_date"))
+    found = pages.select("page_id", last_time(F.col("html")).alias("told"))
+    return found.select("page_id", iso_date(F.col("told")).alias("event_end_date"))
