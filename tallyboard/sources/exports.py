@@ -1,11 +1,14 @@
 """Leaderboard exports: scan the files and shape them into event, round and hole rows.
 
-Exports differ in their columns (9, 18 or more holes, extra columns in any order), so one
-read cannot take its column names from the first file. All files are read as cells; the
-header row of each file says which cell is which.
+Exports differ in their columns (9, 18 or more holes, extra columns in any order), so one read cannot take its
+column names from the first file. All files are read as lines; the header row of each file says which cell is
+which. A first scan gives one row per file: its header, and whether a quoted cell of it breaks a line. Whole files
+are read in one piece only where that is so; all others are read line by line, however large.
 """
 
+import re
 from datetime import date, datetime
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +26,7 @@ from tallyboard.functions.text import (
 from tallyboard.operators.lookups import is_finished
 from tallyboard.operators.maintain import CLEARED
 from tallyboard.schemas import EVENTS, HOLE_SCORES, RAW_SCORES
+from tallyboard.sources.tables import reread, write_staged
 
 # The columns an export must have.
 REQUIRED = ["division", "name", "username", "round_total_score"]
@@ -34,23 +38,18 @@ class MissingColumns(ValueError):
     """An export lacks columns it must have."""
 
 
-def normalised_headers(names: list[str]) -> list[str]:
-    """Header names in their normalised form, for a frame whose columns are already named."""
-    keys = []
-    for name in names:
-        kept = [c for c in str(name).lower() if c == "_" or (c.isascii() and c.isalnum())]
-        keys.append("".join(kept))
-    return keys
-
-
 def named_export(table: DataFrame, origin: list[str]) -> DataFrame:
     """An export that comes as a table with named columns (Parquet, JSON lines).
 
     `origin` names the columns that say which file a row is from; they are kept as they are.
     """
+    spark = table.sparkSession
+    # One rule for header names, wherever they come from.
+    names = spark.createDataFrame([(name,) for name in table.columns], "name string")
+    keys = dict(names.select("name", column_key(F.col("name"))).collect())
     kept = {}
     for name in table.columns:
-        key = normalised_headers([name])[0]
+        key = keys[name]
         if name not in origin and key in CELLS and key not in kept:
             kept[key] = F.col(f"`{name}`").cast("string").alias(key)
     missing = sorted(set(REQUIRED) - kept.keys())
@@ -59,24 +58,53 @@ def named_export(table: DataFrame, origin: list[str]) -> DataFrame:
     return table.select(*origin, *[kept[c] for c in CELLS if c in kept])
 
 
-def _cells(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All lines of all files as arrays of cells, as many as the widest header names."""
-    separators = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))
-    like_header = column_key(F.col("value")).rlike("|".join(REQUIRED))
-    widest = spark.read.text(path).where(like_header).agg(F.coalesce(F.max(separators), F.lit(0))).first()[0]
-    names = [f"c{i}" for i in range(widest + 1)]
-    lines = spark.read.schema(", ".join(f"{n} string" for n in names)).csv(path)
-    return lines.select(
-        plain_path(F.col("_metadata.file_path"), F.lit(True)).alias("file_path"),
-        F.array(*names).alias("cells"),
+# A cell is quoted, with quotes inside it doubled, or runs to the next comma or line end.
+QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'
+RECORD = rf"(?:{QUOTED}[^,\r\n]*+|[^,\r\n]*+)(?:,(?:{QUOTED}[^,\r\n]*+|[^,\r\n]*+))*+"
+CELL = r',(?:"([^"]*+(?:""[^"]*+)*+)"[^,]*+|([^,]*+))'
+
+
+def record_cells(record: Column) -> Column:
+    """The cells of one record; empty ones are NULL."""
+    # Every cell begins with a comma then.
+    led = F.concat(F.lit(","), record)
+    quoted, plain = (F.regexp_extract_all(led, F.lit(CELL), F.lit(group)) for group in (1, 2))
+    # At most one of the two is not empty.
+    taken = F.zip_with(quoted, plain, lambda a, b: F.concat(F.replace(a, F.lit('""'), F.lit('"')), b))
+    cells = F.when(F.contains(record, F.lit('"')), taken).otherwise(F.split(record, ",", -1))
+    return F.transform(cells, lambda cell: F.nullif(cell, F.lit("")))
+
+
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """All lines that are not blank, with their file and whether they are of its first block."""
+    return (
+        spark.read.text(path)
+        .where(F.col("value").rlike(r"\S"))
+        .select(_origin(), "value", (F.col("_metadata.file_block_start") == 0).alias("early"))
     )
 
 
-def _headers(lines: DataFrame) -> DataFrame:
-    """The header of each file: the row that names most of the required columns."""
-    known = F.size(F.array_intersect("keys", F.array(*[F.lit(name) for name in REQUIRED])))
+def _origin() -> Column:
+    return plain_path(F.col("_metadata.file_path"), F.lit(True)).alias("file_path")
+
+
+def _torn_records(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The records of files in which cells break lines, each file read in one piece: (file_path, place, cells)."""
+    if not paths:
+        return spark.createDataFrame([], "file_path string, place int, cells array<string>")
+    # A mark of byte order is no part of the first cell.
+    text = F.regexp_replace("value", "^\ufeff", "")
+    records = F.regexp_extract_all(text, F.lit(RECORD), F.lit(0))
+    found = spark.read.text([re.sub(r"([\\\[\]{}*?])", r"\\\1", path) for path in paths], wholetext=True).select(_origin(), F.posexplode(records).alias("place", "record"))
+    return found.where(F.col("record").rlike(r"\S")).select("file_path", "place", record_cells(F.col("record")).alias("cells"))
+
+
+def _headers(rows: DataFrame) -> DataFrame:
+    """The header of each file: of its candidate rows, the one that names most of the required columns."""
+    required = F.array(*[F.lit(name) for name in REQUIRED])
+    known = F.size(F.array_intersect("keys", required))
     return (
-        lines.withColumn("keys", F.transform("cells", column_key))
+        rows.withColumn("keys", F.transform("cells", column_key))
         .withColumn("known", known)
         .where(F.col("known") > 0)
         .groupBy("file_path")
@@ -85,39 +113,75 @@ def _headers(lines: DataFrame) -> DataFrame:
     )
 
 
-def export_faults(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def _written(table: DataFrame, name: str) -> DataFrame:
+    return reread(table, write_staged(table, name))
+
+
+class ExportLayouts(NamedTuple):
+    """What a first scan tells of the exports at a place."""
+
+    path: str | list[str]
+    # (file_path, known, keys, header, torn), one row per file with rows.
+    files: DataFrame
+    # Paths of the files in which cells break lines, as the file system names them.
+    torn: list[str]
+
+
+def export_layouts(spark: SparkSession, path: str | list[str]) -> ExportLayouts:
+    """Scan the exports for their headers, once for rows and faults.
+
+    A line with an odd number of quotes opens or ends a cell that goes on in another line. Paths of such files
+    come to the driver, which has listed all files anyway.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = _lines(spark, path)
+    # Only lines that name a required column are taken apart.
+    candidate = F.col("early") & column_key(F.col("value")).rlike("|".join(REQUIRED))
+    cells = F.when(candidate, record_cells(F.col("value")))
+    keys = F.transform(cells, column_key)
+    known = F.size(F.array_intersect(keys, F.array(*[F.lit(name) for name in REQUIRED])))
+    marked = lines.select("file_path", (quotes % 2 == 1).alias("odd"), cells.alias("cells"), keys.alias("keys"), known.alias("known"))
+    best = F.max(F.when(F.col("known") > 0, F.struct("known", "keys", "cells")))
+    files = _written(marked.groupBy("file_path").agg(F.max("odd").alias("torn"), best.alias("best")), "export_layouts")
+    torn = [row.file_path for row in files.where("torn").select("file_path").collect()]
+    whole = _headers(_torn_records(spark, torn)).withColumn("torn", F.lit(True))
+    sound = files.where("not torn").select("file_path", "best.known", "best.keys", F.col("best.cells").alias("header"), "torn")
+    lost = files.where("torn").select("file_path").join(whole, "file_path", "left").withColumn("torn", F.lit(True))
+    return ExportLayouts(path, sound.unionByName(lost) if torn else sound, torn)
+
+
+def export_faults(spark: SparkSession, path: str | list[str], layouts: ExportLayouts | None = None) -> DataFrame:
     """Files that cannot be imported, with the required columns they lack."""
-    lines = _cells(spark, path)
+    layouts = layouts or export_layouts(spark, path)
     found = F.coalesce("keys", F.array().cast("array<string>"))
     lacking = F.array_sort(F.array_except(F.array(*[F.lit(name) for name in REQUIRED]), found))
-    return (
-        lines.select("file_path")
-        .distinct()
-        .join(_headers(lines), "file_path", "left")
-        .select("file_path", lacking.alias("missing"))
-        .where(F.size("missing") > 0)
-    )
+    return layouts.files.select("file_path", lacking.alias("missing")).where(F.size("missing") > 0)
 
 
-def scan_exports(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def scan_exports(spark: SparkSession, path: str | list[str], layouts: ExportLayouts | None = None) -> DataFrame:
     """All rows of all sound CSV exports with their cells under normalised names.
 
+    Cells may hold commas, quotes and line breaks if they are quoted; empty ones are NULL, blank lines are no rows.
     Files that lack a required column are left out; export_faults lists them. A file without
-    rows gives no rows.
+    rows gives no rows. `layouts` saves the first scan where it was made already.
     """
-    lines = _cells(spark, path)
+    layouts = layouts or export_layouts(spark, path)
     places = [F.array_position("keys", name).alias(f"at_{name}") for name in CELLS]
-    layouts = _headers(lines).where(F.col("known") == len(REQUIRED)).select("file_path", "header", *places)
+    wanted = layouts.files.where(F.col("known") == len(REQUIRED))
+    rows = (
+        _lines(spark, path)
+        .join(wanted.where("not torn").select("file_path", "header", *places), "file_path")
+        .select("file_path", "header", record_cells(F.col("value")).alias("cells"), *[f"at_{name}" for name in CELLS])
+    )
+    if layouts.torn:
+        torn = _torn_records(spark, layouts.torn).drop("place")
+        rows = rows.unionByName(torn.join(wanted.where("torn").select("file_path", "header", *places), "file_path"))
 
     def cell(name: str) -> Column:
         # array_position counts from 1 and gives 0 for a column the file does not have.
         return F.get("cells", (F.col(f"at_{name}") - 1).cast("int")).alias(name)
 
-    return (
-        lines.join(layouts, "file_path")
-        .where(~F.col("cells").eqNullSafe(F.col("header")))
-        .select("file_path", *[cell(name) for name in CELLS])
-    )
+    return rows.where(~F.col("cells").eqNullSafe(F.col("header"))).select("file_path", *[cell(name) for name in CELLS])
 
 
 def export_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
