@@ -187,9 +187,22 @@ def oracle_sql() -> dict[str, str]:
         "payout_shares": _with(*TO_ADJUSTED) + """
             select raw_score_id, share / 1e9 as split_percentage from shared""",
         "payout_table": _with(*TO_ADJUSTED) + """
-            select n as n_players, p as position, round(weight, 9) as weight, billionths / 1e9 as percentage,
+            select field as n_players, p as position, round(weight, 9) as weight, billionths / 1e9 as percentage,
                    round(share * 100, 4) as payout_percent
-            from ladder""",
+            from (select distinct field from ranked) fields left join ladder on n = field""",
+        "payout_large_fields": _with(ctes("raw_scores", "league_events")) + """,
+            counted as (select r.league_id, year(event_end_date) as year, raw_score, count(*) as tie_count
+                        from raw_scores r join league_events using (event_id) where raw_score is not null group by all),
+            placed as (select *, 1 + coalesce(sum(tie_count) over (partition by league_id, year order by raw_score
+                                  rows between unbounded preceding and 1 preceding), 0) as place,
+                              sum(tie_count) over (partition by league_id, year) as group_size from counted),
+            shared as (select *, (select coalesce(sum(pow(0.64, i)), 0) from range(cast(ceil(group_size / 3.0) as bigint)) t(i)
+                                  where i >= place - 1 and i < place - 1 + tie_count)
+                                 / (select sum(pow(0.64, i)) from range(cast(ceil(group_size / 3.0) as bigint)) t(i)) / tie_count as part
+                       from placed)
+            select league_id, year, raw_score, cast(place as bigint) as place, tie_count, cast(group_size as bigint) as group_size,
+                   round(part, 9) as share, case when group_size <= 3000 then round(part, 9) else 0.0 end as limited_share
+            from shared""",
         "adjusted_scores": _with(*TO_ADJUSTED) + """
             select raw_score_id, event_id, league_id, league_name, cast(day as varchar) as event_end_date,
                    year, division, player_name, player_username, raw_score, handicap,
@@ -315,8 +328,8 @@ def oracle_sql() -> dict[str, str]:
         "league_urls": _with(ctes("leagues")) + """
             select 'https://example.org/leagues/building' as url union all
             select 'https://example.org/more/building'""",
-        "scanned_exports": _with(ctes("exports")) + f"""
-            select {", ".join(f"nullif({name}, '') as {name}" for name in given)} from exports""",
+        "scanned_exports": _with(ctes("awkward_exports")) + f"""
+            select league_id, {", ".join(f"nullif({name}, '') as {name}" for name in given)} from awkward_exports""",
         "round_ids": _with(ctes("exports")) + f""",
             counted as (select file_path, concat_ws('|', {said}) as content, 2 * count(*) as copies
                         from exports where trim(name) <> '' group by all)
@@ -351,6 +364,15 @@ def oracle_sql() -> dict[str, str]:
             links as (select page_id, unnest(hrefs) as link, generate_subscripts(hrefs, 1) - 1 as position from tags)
             select page_id, replace(link, '&amp;', '&') as link, min(position) as position from links
             where link like '/events%' and contains(link, '/leaderboard') group by 1, 2""",
+        "awkward_links": """
+            select page_id, '/events/' || page_id || unnest(['/leaderboard', '/leaderboard?a=1&b=23&copy=4é<', '/leaderboard/last'])
+                       as link,
+                   cast(unnest([0, 1, 2]) as bigint) as position
+            from pages""",
+        "iso_end_dates": """
+            select page_id, cast(case page_id % 6 when 4 then date_trunc('week', day) when 5 then null else day end as date)::varchar
+                       as event_end_date
+            from (select page_id, cast(date '1999-12-25' + cast(page_id % 4000 as integer) as date) as day from pages) days""",
         "page_links_resolved": _with(ctes("mixed_pages")) + r""",
             bare as (select page_id, url, regexp_replace(html, '<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'gsi') as html from mixed_pages),
             tags as (select page_id, url, regexp_extract_all(html, '<a\s[^>]*?href="([^"]*)"', 1, 'si') as hrefs from bare),
@@ -370,4 +392,18 @@ def oracle_sql() -> dict[str, str]:
             select page_id, case when page_id % 3 = 0 then '2024-0' || cast(1 + page_id % 9 as varchar) || '-15' end
                        as event_end_date
             from pages""",
+        "misfits": _with(ctes("raw_scores", "league_events")) + """,
+            older as (select *, event_id in (select event_id from league_events where month(event_end_date) <> 3) as stays
+                      from raw_scores where league_id <> 'BUILDING')
+            select 'note' as "column", 'unknown column' as reason, count(*) as cells, count(*) filter (stays) as "left",
+                   count(*) as noted
+            from older where division = 'Division 1' and player_name is not null
+            union all
+            select 'raw_score', 'no bigint', count(*), count(*) filter (stays), count(*) from older where raw_score % 10 = 3""",
+        "pruned_counts": _with(ctes("raw_scores", "hole_scores", "league_events")) + """,
+            kept as (select raw_score_id from raw_scores
+                     where event_id in (select event_id from league_events where month(event_end_date) <> 3))
+            select 'raw_scores' as table_name, (select count(*) from raw_scores) - (select count(*) from kept) as pruned
+            union all
+            select 'hole_scores', count(*) from hole_scores where raw_score_id not in (select raw_score_id from kept)""",
     }

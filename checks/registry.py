@@ -15,15 +15,16 @@ from tallyboard.functions.text import download_time, event_name, join_list, spli
 from tallyboard.operators import handicap, lookups, maintain
 from tallyboard.operators.matching import join_groups
 from tallyboard.operators.placing import SCORE, score_places, with_adjusted_score, with_pot_share
-from tallyboard.plans import season
+from tallyboard.operators.ranking import value_ranks
+from tallyboard.plans import pipeline, season
 from tallyboard.plans.adjusted import adjusted_scores
 from tallyboard.plans.handicaps import handicaps
-from tallyboard.schemas import HOLE_SCORES
+from tallyboard.schemas import BASE_TABLES, HOLE_SCORES
 from tallyboard.session import tune
 from tallyboard.sources import exports, pages
 from tallyboard.sources.leagues import league_entries, league_rows
-from tallyboard.sources.payouts import payout_ladder
-from tallyboard.sources.tables import reread, scratch_folder, write_staged
+from tallyboard.sources.payouts import field_ladders, payout_ladder, pot_share
+from tallyboard.sources.tables import Store, reread, scratch_folder, write_staged
 
 SCANNED = [*exports.REQUIRED, *exports.HOLES[:7]]  # the columns of the export stand-in
 
@@ -249,8 +250,22 @@ def payout_shares(t):
 
 @registered
 def payout_table(t):
-    """The ladder of all field sizes."""
-    return t.payouts.drop("create_time")
+    """The rungs of every field size that occurs; fields that the ladder does not know are there without any."""
+    fields = t.places.select(F.col("num_players").alias("n_players"))
+    return field_ladders(fields, t.payouts).select("n_players", "position", "weight", "percentage", "payout_percent")
+
+
+@registered
+def payout_large_fields(t):
+    """Pot shares where all rounds of a league and year are one field, beyond the ladder's limit and below it."""
+    days = t.league_events.select("event_id", F.year("event_end_date").alias("year"))
+    rounds = t.raw_scores.where("raw_score is not null").join(days, "event_id")
+    places = value_ranks(rounds, ["league_id", "year"], "raw_score")
+    shares = {
+        "share": pot_share(F.col("place"), F.col("tie_count"), F.col("group_size"), None),
+        "limited_share": pot_share(F.col("place"), F.col("tie_count"), F.col("group_size"), 3000),
+    }
+    return places.select("league_id", "year", "raw_score", "place", "tie_count", "group_size", *[c.alias(n) for n, c in shares.items()])
 
 
 def _adjusted(t):
@@ -326,11 +341,18 @@ def league_urls(t):
 
 @registered
 def scanned_exports(t):
-    """All export rows, written as CSV files in a folder with blanks in its name and scanned."""
-    cells = t.exports.select(*SCANNED)
+    """All export rows, written as CSV files with quotes, commas and line breaks in cells, and scanned.
+
+    The folder's name has blanks; that of each file's own folder comes back in `file_path`.
+    """
+    cells = t.awkward_exports.select("league_id", *SCANNED)
     folder = f"{scratch_folder(t.spark)}/exports of {uuid.uuid4().hex}"
-    cells.write.csv(folder, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    return exports.scan_exports(t.spark, folder).select(*SCANNED)
+    cells.write.partitionBy("league_id").csv(
+        folder, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    found = exports.scan_exports(t.spark, f"{folder}/*")
+    league = F.regexp_extract("file_path", "exports of [0-9a-f]+/league_id=([^/]*)/[^/]*$", 1)
+    return found.select(league.alias("league_id"), *SCANNED)
 
 
 @registered
@@ -485,6 +507,30 @@ def page_links(t):
     return pages.page_links(t.mixed_pages)
 
 
+@registered
+def awkward_links(t):
+    """Links whose tags have attributes that look like others, and what only looks like a link."""
+    return pages.page_links(t.awkward_pages)
+
+
+@registered
+def iso_end_dates(t):
+    """End dates in all forms that are taken, and a near miss, one page each."""
+    day = F.date_add(F.lit("1999-12-25").cast("date"), (F.col("page_id") % 4000).cast("int"))
+    year, week, weekday = F.extract(F.lit("YEAROFWEEK"), "day"), F.weekofyear("day"), F.weekday("day") + 1
+    forms = [
+        F.date_format("day", "yyyy-MM-dd"),
+        F.date_format("day", "yyyyMMdd"),
+        F.format_string("%d-W%02d-%d", year, week, weekday),
+        F.format_string("%dW%02d%d", year, week, weekday),
+        F.format_string("%d-W%02d", year, week),
+        F.date_format("day", "yyyy-MMdd"),
+    ]
+    told = F.get(F.array(*forms), (F.col("page_id") % 6).cast("int"))
+    html = F.concat(F.lit('<time datetime="1990-01-01"></time><time title="datetime=2" datetime='), told, F.lit(">x</time>"))
+    return pages.page_end_dates(t.pages.select("page_id", day.alias("day")).select("page_id", html.alias("html")))
+
+
 @registered
 def page_links_resolved(t):
     return pages.resolved_links(t.mixed_pages)
@@ -503,3 +549,42 @@ def page_end_dates(t):
 @registered
 def orphan_raw_scores(t):
     return maintain.orphan_raw_scores(t.raw_scores, _kept_events(t)).groupBy("league_id").count()
+
+
+def _older_run(t) -> pipeline.Run:
+    """A store whose rounds have an older layout: scores as text, some unreadable, and a column unknown today."""
+    store = Store(t.spark, f"{scratch_folder(t.spark)}/store-{uuid.uuid4().hex}")
+    run = pipeline.Run(store, "first", RUN_TIME)
+    score = F.when(F.col("raw_score") % 10 == 3, F.concat(F.col("raw_score").cast("string"), F.lit(" shots")))
+    older = t.raw_scores.withColumn("raw_score", F.coalesce(score, F.col("raw_score").cast("string")))
+    note = F.when(F.col("division") == "Division 1", F.concat(F.lit("of "), "player_name"))
+    run.append("raw_scores", older.withColumn("note", note).where("league_id <> 'BUILDING'"))
+    run.append("raw_scores", t.raw_scores.select(*BASE_TABLES["raw_scores"].names).where("league_id = 'BUILDING'"))
+    run.append("hole_scores", t.hole_scores)
+    run.replace("events", _kept_events(t))
+    return run
+
+
+@registered
+def misfits(t):
+    """Cells of stored folders that today's layout does not keep, by column, before and after a prune."""
+    run = _older_run(t)
+    pipeline.inspect(run)
+    noted = t.spark.read.parquet(*run.folders["misfits"]).groupBy("column", "reason").agg(F.count("value").alias("cells"))
+    pipeline.prune(run)
+    pipeline.inspect(run)  # finds nothing new
+    stored = [folder for folder in run.folders["raw_scores"] if "note" in t.spark.read.parquet(folder).columns]
+    rounds = t.spark.read.parquet(*stored)
+    still = rounds.select(
+        F.count("note").alias("note"), F.count_if(F.col("raw_score").endswith("shots")).alias("raw_score")
+    ).select(F.explode(F.create_map(F.lit("note"), "note", F.lit("raw_score"), "raw_score")).alias("column", "left"))
+    rows = t.spark.read.parquet(*run.folders["misfits"]).groupBy("column").agg(F.count("*").alias("noted"))
+    return noted.join(still, "column").join(rows, "column")
+
+
+@registered
+def pruned_counts(t):
+    """How many rows a prune of the stored tables takes."""
+    run = _older_run(t)
+    pipeline.prune(run)
+    return t.spark.createDataFrame(sorted(run.pruned.items()), "table_name string, pruned long")

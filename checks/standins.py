@@ -132,6 +132,32 @@ left join (
     from {lineitem} group by l_orderkey) lines on l_orderkey = o_orderkey
 """
 
+# The same rows with commas and quotes in cells, and in two leagues with line breaks and blank lines too.
+AWKWARD_EXPORTS = """
+select league_id, division, name,
+       case when league_id not in ('BUILDING', 'MACHINERY') or cast(raw_score_id as bigint) % 3 > 0 then username
+            when cast(raw_score_id as bigint) % 2 = 0 then 'two' || chr(10) || 'lines' || chr(10) || chr(10) || 'more, "' || username || '"'
+            else '"' || username || chr(10) || '"' end as username,
+       case when cast(raw_score_id as bigint) % 4 = 0 then 'say "' || round_total_score || '", so' else round_total_score end
+           as round_total_score,
+       hole_1, hole_2, hole_3, hole_4, hole_5, hole_6, hole_7
+from {exports}
+"""
+
+# Links as pages write them: attributes that look like others, every way to quote, character references,
+# and what only looks like a link.
+AWKWARD_PAGES = """
+select page_id, url,
+       '<a title="see href=''/events/0' || cast(page_id as string) || '/leaderboard''" href="/events/'
+           || cast(page_id as string) || '/leaderboard">a</a>'
+           || '<a data-href="/events/no/leaderboard" rel=x' || chr(10) || 'HREF=''/events/' || cast(page_id as string)
+           || '/leaderboard?a=1&amp;b=&#50;&#x33;&copy=4&eacute;&lt;''>b</a>'
+           || '<img alt="<a href=''/events/no/leaderboard''>"><!-- <a href="/events/no/leaderboard"> -->'
+           || '<script>x = "<a href=/events/no/leaderboard>"</script><a class=">" title=''"'' href = /events/'
+           || cast(page_id as string) || '/leaderboard/last>c</a>' || html as html
+from {pages}
+"""
+
 # Every export link, the page it hangs on, and the file it was saved to.
 CANDIDATES = """
 select export_url, league_id, event_end_date, file_name as file_path from {league_events}
@@ -183,6 +209,8 @@ TEXTS = {
     "candidates": CANDIDATES,
     "stored_events": STORED_EVENTS,
     "config_cells": CONFIG_CELLS,
+    "awkward_exports": AWKWARD_EXPORTS,
+    "awkward_pages": AWKWARD_PAGES,
     "event_pages": EVENT_PAGES,
     "mixed_pages": MIXED_PAGES,
 }

@@ -139,3 +139,27 @@ def conform(table: DataFrame, declared: T.StructType, extra: Column | None = Non
         return F.col(field.name).try_cast(field.dataType).alias(field.name)
 
     return table.select(*[fitted(field) for field in declared], *([] if extra is None else [extra]))
+
+
+def misfit_cells(table: DataFrame, declared: T.StructType) -> DataFrame:
+    """The cells that `conform` cannot keep: (row_id, column, reason, value), one row each.
+
+    Values of columns that the layout does not know, and values that its types cannot hold. `row_id` is the first
+    declared column, NULL if the table has none of that name.
+    """
+    drift = schema_drift(table.schema, declared)
+    cells = []
+    for name in [*drift["unknown"], *drift["retyped"]]:
+        value = F.col(f"`{name}`")
+        lost, reason = value.isNotNull(), "unknown column"
+        if name in drift["retyped"]:
+            kind = declared[name].dataType
+            lost, reason = lost & value.try_cast(kind).isNull(), f"no {kind.simpleString()}"
+        cell = F.struct(F.lit(name).alias("column"), F.lit(reason).alias("reason"), value.cast("string").alias("value"))
+        cells.append(F.when(lost, cell))
+    first = declared.fieldNames()[0]
+    row_id = (F.col(f"`{first}`") if first in table.columns else F.lit(None)).cast("string").alias("row_id")
+    if not cells:
+        return table.select(row_id, *[F.lit(None).cast("string").alias(c) for c in ("column", "reason", "value")]).limit(0)
+    found = table.select(row_id, F.explode(F.filter(F.array(*cells), lambda cell: cell.isNotNull())).alias("cell"))
+    return found.select("row_id", "cell.*")

@@ -2,9 +2,11 @@
 
 from dataclasses import dataclass, field
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyboard.functions.text import plain_path
 from tallyboard.operators import maintain
@@ -12,11 +14,12 @@ from tallyboard.operators.lookups import pending_exports
 from tallyboard.plans import season as reports
 from tallyboard.plans.adjusted import adjusted_scores
 from tallyboard.plans.handicaps import handicaps
+from tallyboard.schemas import BASE_TABLES
 from tallyboard.session import tune
 from tallyboard.sources import exports as intake
 from tallyboard.sources.leagues import seeded_leagues
 from tallyboard.sources.payouts import payout_ladder
-from tallyboard.sources.tables import Store, reread, staged
+from tallyboard.sources.tables import Store, layout_mark, reread, staged
 
 
 @dataclass
@@ -47,21 +50,69 @@ def begin(store: Store, run_time: datetime) -> Run:
     return Run(store, run_time.strftime("%Y%m%dT%H%M%S%f"), run_time, number + 1, folders)
 
 
+DRIFT = "table_name string, folder string, missing array<string>, unknown array<string>, retyped array<string>, create_time timestamp"
+
+
+def _drift_row(run: Run, name: str, folder: str, schema: StructType) -> tuple:
+    drift = maintain.schema_drift(schema, BASE_TABLES[name])
+    return (name, folder, drift["missing"], drift["unknown"], drift["retyped"], run.run_time)
+
+
+def inspect(run: Run) -> None:
+    """Note what folders of an older layout hold that the declared one does not keep, once per folder.
+
+    `schema_drift` gets a row per folder, `misfits` a row per cell with its folder and the reason. The folders
+    stay as they are; only how they are read leaves such cells out.
+    """
+    spark = run.store.spark
+    seen: set[tuple[str, str]] = set()
+    if run.folders.get("schema_drift"):
+        noted = spark.read.schema(DRIFT).parquet(*run.folders["schema_drift"])
+        seen = {tuple(row) for row in noted.select("table_name", "folder").collect()}
+    rows, parts = [], []
+    for name, declared in BASE_TABLES.items():
+        for folder in run.folders.get(name, []):
+            if f"/{layout_mark(declared)}/" in folder or (name, folder) in seen:
+                continue
+            table = spark.read.parquet(folder)
+            rows.append(_drift_row(run, name, folder, table.schema))
+            origin = [F.lit(name).alias("table_name"), F.lit(folder).alias("folder")]
+            parts.append(maintain.misfit_cells(table, declared).select(*origin, "*"))
+    if rows:
+        run.append("schema_drift", spark.createDataFrame(rows, DRIFT))
+        run.append("misfits", reduce(DataFrame.unionByName, parts))
+
+
 def _prune(run: Run, name: str, orphans_of, kept_of) -> None:
-    """Rewrite the folders that hold orphans; the others stay as they are."""
+    """Rewrite the folders that hold orphans, each in its own layout; the others stay as they are.
+
+    How many rows went is what the old folders held more than the new ones; both counts come from the
+    files' footers.
+    """
+    run.pruned[name] = 0
     folders = run.folders.get(name, [])
     if not folders:
-        run.pruned[name] = 0
         return
-    # One row per folder that holds orphans, so no more than the table has folders.
-    counts = orphans_of(run.store.read(name, folders, located=True)).groupBy("folder").count().collect()
-    named = {row["folder"]: row["count"] for row in counts}
-    touched = [folder for folder in folders if folder.rsplit("/", 1)[1] in named]
-    if touched:
-        kept = kept_of(run.store.read(name, touched))
-        untouched = [folder for folder in folders if folder not in touched]
-        run.folders[name] = [*untouched, run.store.write(kept, name, run.run_id)]
-    run.pruned[name] = sum(named.values())
+    spark = run.store.spark
+    found = orphans_of(run.store.read(name, folders, located=True)).select("folder").distinct().collect()
+    named = {row["folder"] for row in found}
+    layouts: dict[str, list[str]] = {}
+    for folder in folders:
+        if folder.rsplit("/", 1)[1] in named:
+            layouts.setdefault(folder.rsplit("/", 2)[1], []).append(folder)
+    for mark, touched in layouts.items():
+        if mark == layout_mark(BASE_TABLES[name]):
+            kept = kept_of(run.store.read(name, touched))
+        else:
+            # The declared columns decide which rows stay; what is written is the row as it was.
+            whole = maintain.conform(spark.read.parquet(*touched), BASE_TABLES[name], F.struct("*").alias("whole"))
+            kept = kept_of(whole).select("whole.*")
+        written = run.store.write(kept, name, run.run_id)
+        run.folders[name] = [*[folder for folder in run.folders[name] if folder not in touched], written]
+        run.pruned[name] += spark.read.parquet(*touched).count() - spark.read.schema(kept.schema).parquet(written).count()
+        if mark != layout_mark(BASE_TABLES[name]):
+            row = _drift_row(run, name, written, kept.schema)  # its misfits are noted under the old folders
+            run.append("schema_drift", spark.createDataFrame([row], DRIFT))
 
 
 def prune(run: Run) -> None:
@@ -175,6 +226,7 @@ def run_pipeline(
     Without `derive` it stops after the import; the derived tables stay as they are.
     """
     run = begin(Store(spark, root), run_time)
+    inspect(run)
     prune(run)
     if not run.folders.get("payouts"):
         run.replace("payouts", payout_ladder(spark, run_time))
