@@ -406,4 +406,18 @@ def oracle_sql() -> dict[str, str]:
             select 'raw_scores' as table_name, (select count(*) from raw_scores) - (select count(*) from kept) as pruned
             union all
             select 'hole_scores', count(*) from hole_scores where raw_score_id not in (select raw_score_id from kept)""",
+        "whole_run": _with(ctes("exports", "league_events", "config_cells"), CLEAN) + """,
+            long as (unpivot (select raw_score_id, hole_1, hole_2, hole_3, hole_4, hole_5, hole_6, hole_7 from exports)
+                     on columns('hole_.*') into name hole value cell),
+            typed as (select raw_score_id, cast(trunc(try_cast(cell as double)) as bigint) as hole_score from long),
+            played as (select raw_score_id, count(*) as holes, sum(hole_score) as strokes
+                       from typed where hole_score <> 0 group by 1),
+            rounds as (select c.raw_score_id, c.league_id, c.event_id, c.total, year(e.event_end_date) as year
+                       from cells c join league_events e using (event_id)
+                       where trim(c.name) <> '' and e.event_end_date < date '2001-08-01')
+            select league_id, year, count(*) as rounds, cast(sum(total) as bigint) as total,
+                   cast(sum(holes) as bigint) as holes, cast(sum(strokes) as bigint) as strokes,
+                   count(distinct event_id) as events, '2001-08-01 00:00:00' as updated,
+                   (select count(*) from config_cells where segment not in ('MACHINERY', 'FURNITURE')) as leagues
+            from rounds left join played using (raw_score_id) group by 1, 2""",
     }

@@ -588,3 +588,47 @@ def pruned_counts(t):
     run = _older_run(t)
     pipeline.prune(run)
     return t.spark.createDataFrame(sorted(run.pruned.items()), "table_name string, pruned long")
+
+
+@registered
+def whole_run(t):
+    """A run from files to stored tables: exports with untidy headers, league settings, facts by league and year."""
+    place = f"{scratch_folder(t.spark)}/run-{uuid.uuid4().hex}"
+    untidy = {"division": "Division", "name": "NAME!", "username": " User-name", "round_total_score": "Round_Total_Score"}
+    cells = t.exports.select(F.col("event_id").alias("event"), *[F.col(c).alias(untidy.get(c, c.title())) for c in SCANNED])
+    cells.repartition("event").write.partitionBy("event").csv(
+        f"{place}/exports", header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    files = exports.export_files(t.spark, f"{place}/exports/*")
+    of_event = files.withColumn("event_id", F.regexp_extract("file_path", "event=([^/]*)/", 1))
+    notes = of_event.join(t.league_events.select("event_id", "export_url", "league_id", "event_end_date"), "event_id").drop("event_id")
+    layouts = exports.export_layouts(t.spark, f"{place}/exports/*")
+    settings = [c for c in t.config_cells.columns if c != "segment"]
+    entry = F.map_from_arrays(F.array(*[F.lit(c) for c in settings]), F.array(*settings))
+    run = pipeline.run_pipeline(
+        t.spark,
+        f"{place}/store",
+        RUN_TIME,
+        downloads=notes,
+        export_rows=exports.scan_exports(t.spark, f"{place}/exports/*", layouts),
+        export_files=files,
+        export_faults=exports.export_faults(t.spark, f"{place}/exports/*", layouts),
+        league_configs=league_entries(t.config_cells.select(entry.alias("entry"))),
+        derive=False,
+    )
+    events = run.table("events").where("is_imported").select("event_id", F.year("event_end_date").alias("year"))
+    rounds = run.table("raw_scores").join(events, "event_id")
+    holes = run.table("hole_scores").groupBy("raw_score_id").agg(F.count("*").alias("holes"), F.sum("hole_score").alias("strokes"))
+    return (
+        rounds.join(holes, "raw_score_id", "left")
+        .groupBy("league_id", "year")
+        .agg(
+            F.count("*").alias("rounds"),
+            F.sum("raw_score").alias("total"),
+            F.sum("holes").alias("holes"),
+            F.sum("strokes").alias("strokes"),
+            F.count_distinct("event_id").alias("events"),
+            F.max("update_time").alias("updated"),
+        )
+        .withColumn("leagues", F.lit(run.table("leagues").count()))
+    )

@@ -19,7 +19,7 @@ from tallyboard.session import tune
 from tallyboard.sources import exports as intake
 from tallyboard.sources.leagues import seeded_leagues
 from tallyboard.sources.payouts import payout_ladder
-from tallyboard.sources.tables import Store, layout_mark, reread, staged
+from tallyboard.sources.tables import Store, folder_parts, layout_mark, reread, staged
 
 
 @dataclass
@@ -33,8 +33,12 @@ class Run:
     folders: dict[str, list[str]] = field(default_factory=dict)
     pruned: dict[str, int] = field(default_factory=dict)
 
-    def table(self, name: str) -> DataFrame:
-        return self.store.read(name, self.folders.get(name, []))
+    def table(self, name: str, year: int | None = None) -> DataFrame:
+        """A table; of one kept by year only that year's folders, and those written before years were kept apart."""
+        folders = self.folders.get(name, [])
+        if year is not None:
+            folders = [folder for folder in folders if folder_parts(folder)[2] in (None, str(year))]
+        return self.store.read(name, folders)
 
     def replace(self, name: str, table: DataFrame, *partitions: str) -> DataFrame:
         self.folders[name] = [self.store.write(table, name, self.run_id, *partitions)]
@@ -44,6 +48,10 @@ class Run:
         self.folders[name] = [*self.folders.get(name, []), self.store.write(table, name, self.run_id)]
 
 
+    def append_by_year(self, name: str, table: DataFrame) -> None:
+        self.folders[name] = [*self.folders.get(name, []), *self.store.write_by_year(table, name, self.run_id)]
+
+
 def begin(store: Store, run_time: datetime) -> Run:
     tune(store.spark)
     number, folders = store.last()
@@ -96,18 +104,19 @@ def _prune(run: Run, name: str, orphans_of, kept_of) -> None:
     spark = run.store.spark
     found = orphans_of(run.store.read(name, folders, located=True)).select("folder").distinct().collect()
     named = {row["folder"] for row in found}
-    layouts: dict[str, list[str]] = {}
+    alike: dict[tuple[str, str | None], list[str]] = {}
     for folder in folders:
-        if folder.rsplit("/", 1)[1] in named:
-            layouts.setdefault(folder.rsplit("/", 2)[1], []).append(folder)
-    for mark, touched in layouts.items():
+        mark, own_name, year = folder_parts(folder)
+        if own_name in named:
+            alike.setdefault((mark, year), []).append(folder)
+    for (mark, year), touched in alike.items():
         if mark == layout_mark(BASE_TABLES[name]):
             kept = kept_of(run.store.read(name, touched))
         else:
             # The declared columns decide which rows stay; what is written is the row as it was.
             whole = maintain.conform(spark.read.parquet(*touched), BASE_TABLES[name], F.struct("*").alias("whole"))
             kept = kept_of(whole).select("whole.*")
-        written = run.store.write(kept, name, run.run_id)
+        written = run.store.write(kept, name, run.run_id, year=year)
         run.folders[name] = [*[folder for folder in run.folders[name] if folder not in touched], written]
         run.pruned[name] += spark.read.parquet(*touched).count() - spark.read.schema(kept.schema).parquet(written).count()
         if mark != layout_mark(BASE_TABLES[name]):
@@ -176,9 +185,10 @@ def import_exports(
     run.append("import_faults", intake.import_faults(wanted, files, faults, run.run_time))
     plan = intake.import_plan(wanted, events, as_of).join(files, "file_path", "left_semi")
     plan = staged(plan.where(F.col("action") != "skip"), "import_plan")
-    scores = staged(intake.identified_rows(rows, plan), "identified_rows")
-    run.append("hole_scores", intake.hole_score_rows(scores, run.run_time))
-    run.append("raw_scores", intake.raw_score_rows(scores, run.run_time))
+    years = plan.select("event_id", F.coalesce(F.year("event_end_date"), F.lit(0)).alias("year")).distinct()
+    scores = staged(intake.identified_rows(rows, plan).join(years, "event_id"), "identified_rows")
+    run.append_by_year("hole_scores", intake.hole_score_rows(scores, run.run_time))
+    run.append_by_year("raw_scores", intake.raw_score_rows(scores, run.run_time))
 
     loaded = plan.where(F.col("action") == "full")
     names = loaded.select("event_id", F.substring_index("file_path", "/", -1).alias("file_name"), "file_path")
@@ -204,7 +214,7 @@ def rebuild(run: Run, as_of: date, season: int, payout_from_year: int) -> None:
     run.replace("season_log", reports.season_log(players, calendar, leagues, adjusted, season))
     run.replace(
         "season_hole_scores_summary",
-        reports.season_hole_scores(adjusted, calendar, leagues, run.table("hole_scores"), season),
+        reports.season_hole_scores(adjusted, calendar, leagues, run.table("hole_scores", season), season),
     )
 
 

@@ -86,6 +86,15 @@ def season_players_summary(adjusted: DataFrame, handicaps: DataFrame, season: in
     )
 
 
+PLAYERS_PER_SHARE = 2000
+
+
+def league_shares(players: DataFrame, most: int) -> DataFrame:
+    """(league_id, shares): into how many shares the players of a league are dealt, by their number."""
+    count = F.ceil(F.count("*") / PLAYERS_PER_SHARE).cast("int")
+    return players.groupBy("league_id").agg(F.least(count, F.lit(most)).alias("shares"))
+
+
 def season_log(
     players: DataFrame, season_events: DataFrame, leagues: DataFrame, adjusted: DataFrame, season: int
 ) -> DataFrame:
@@ -93,21 +102,25 @@ def season_log(
 
     Division and season points are carried forward over missed events; a round without its own
     takes what is known up to its event, of several rounds there the last by id. Standings of
-    one league meet all its events, so the players of a league are dealt into shares and the
+    one league meet all its events, so the players of a large league are dealt into shares and the
     much shorter event list is repeated for each share: a league with a large part of the
-    players does not end up in one task. The carrying runs on one row per player and event;
+    players does not end up in one task, and a small one has its events once. The carrying runs on one row per player and event;
     rounds are reduced to that before the shuffle and joined back afterwards, so a name that
     many rounds share makes no large group.
     """
-    shares = shuffle_width(players.sparkSession)
+    shares = league_shares(players, shuffle_width(players.sparkSession))
     standing = ["player_username", "player_name", "standing_division"]
     entrants = players.select(
         "player_username", "player_name", "league_id", F.col("division").alias("standing_division")
-    ).withColumn("share", F.pmod(F.xxhash64(*standing), F.lit(shares)).cast("int"))
+    )
+    entrants = entrants.join(shares, "league_id").withColumn("share", F.pmod(F.xxhash64(*standing), F.col("shares")).cast("int"))
+    entrants = entrants.drop("shares")
     calendar = (
         season_events.select("event_id", "league_id", "event_name", "event_end_date")
         .join(leagues.select("league_id", "league_name"), "league_id")
-        .withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+        .join(shares, "league_id")
+        .withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+        .drop("shares")
     )
     played = adjusted.where((F.col("year") == season) & F.col("player_username").isNotNull())
     carried = ["division", "season_points_as_of_event"]

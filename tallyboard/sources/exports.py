@@ -311,6 +311,11 @@ def identified_rows(exports: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
+def _year(rows: DataFrame) -> list[str]:
+    """The year of the event, where the rows tell it."""
+    return ["year"] if "year" in rows.columns else []
+
+
 def clean_scores(rows: DataFrame) -> DataFrame:
     """Typed round columns of named export rows."""
     return rows.where(to_text(F.col("name")).isNotNull()).select(
@@ -321,12 +326,13 @@ def clean_scores(rows: DataFrame) -> DataFrame:
         to_text(F.col("name")).alias("player_name"),
         to_text(F.col("username")).alias("player_username"),
         to_int(F.col("round_total_score")).alias("raw_score"),
+        *_year(rows),
     )
 
 
 def raw_score_rows(rows: DataFrame, run_time: datetime) -> DataFrame:
     stamp = F.lit(run_time).cast("timestamp")
-    return clean_scores(rows).withColumns({"create_time": stamp, "update_time": stamp}).select(*RAW_SCORES.names)
+    return clean_scores(rows).withColumns({"create_time": stamp, "update_time": stamp}).select(*RAW_SCORES.names, *_year(rows))
 
 
 def hole_unpivot(rows: DataFrame) -> DataFrame:
@@ -334,16 +340,17 @@ def hole_unpivot(rows: DataFrame) -> DataFrame:
     holes = [name for name in rows.columns if name in HOLES]
     if not holes:
         return rows.select(
-            "raw_score_id", F.lit(0).cast("bigint").alias("hole_number"), F.lit(0).cast("bigint").alias("hole_score")
+            "raw_score_id", *_year(rows), F.lit(0).cast("bigint").alias("hole_number"), F.lit(0).cast("bigint").alias("hole_score")
         ).limit(0)
     filled = F.filter(
         F.array(*[F.struct(F.lit(name).alias("column"), F.col(name).alias("cell")) for name in holes]),
         lambda hole: hole["cell"].isNotNull(),
     )
     return (
-        rows.select("raw_score_id", F.inline(filled))
+        rows.select("raw_score_id", *_year(rows), F.inline(filled))
         .select(
             "raw_score_id",
+            *_year(rows),
             hole_number(F.col("column")).alias("hole_number"),
             to_int(F.col("cell")).alias("hole_score"),
         )
@@ -357,5 +364,5 @@ def hole_score_rows(rows: DataFrame, run_time: datetime) -> DataFrame:
         hole_unpivot(rows)
         .withColumn("hole_score_id", F.sha2(F.concat_ws("|", "raw_score_id", "hole_number"), 256))
         .withColumns({"create_time": stamp, "update_time": stamp})
-        .select(*HOLE_SCORES.names)
+        .select(*HOLE_SCORES.names, *_year(rows))
     )

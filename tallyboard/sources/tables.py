@@ -54,6 +54,18 @@ def layout_mark(schema: T.StructType) -> str:
     return hashlib.sha256(schema.simpleString().encode()).hexdigest()[:8]
 
 
+# How the folder of one year is named.
+YEAR = "year="
+
+
+def folder_parts(folder: str) -> tuple[str, str, str | None]:
+    """Layout mark, name within the table and year (if it has one) of a stored folder."""
+    parts = folder.split("/")
+    if parts[-1].startswith(YEAR):
+        return parts[-3], "/".join(parts[-2:]), parts[-1].removeprefix(YEAR)
+    return parts[-2], parts[-1], None
+
+
 class Store:
     """Stored tables as Parquet folders, and which folders make up each table.
 
@@ -61,7 +73,8 @@ class Store:
     the run it began from; the run's own date plays no part. A second writer that began from the
     same run finds the number taken and fails. A run that dies earlier leaves folders nobody
     reads, so nothing is overwritten in place and a retry starts from the last complete state.
-    Fact tables grow by one folder per import; small tables are rewritten.
+    Fact tables grow by one folder per import and year of the events, so a report on one year opens the folders of
+    that year; small tables are rewritten.
     """
 
     LOG = "number long, run_id string, run_time timestamp, folders map<string, array<string>>"
@@ -108,14 +121,28 @@ class Store:
 
     @staticmethod
     def _folder() -> Column:
-        return F.element_at(F.split("_metadata.file_path", "/"), -2).alias("folder")
+        return F.regexp_extract("_metadata.file_path", f"([^/]+(?:/{YEAR}[^/]+)?)/[^/]+$", 1).alias("folder")
 
-    def write(self, table: DataFrame, name: str, run_id: str, *partitions: str) -> str:
-        """Write one new folder of a table; it counts once the run is committed."""
-        folder = f"{self.root}/{name}/{layout_mark(table.schema)}/run-{run_id}-{uuid.uuid4().hex[:8]}"
+    def write(self, table: DataFrame, name: str, run_id: str, *partitions: str, year: str | None = None) -> str:
+        """Write one new folder of a table; it counts once the run is committed.
+
+        The mark is that of the columns inside the files. `year` makes it the folder of that year.
+        """
+        inside = T.StructType([field for field in table.schema if field.name not in partitions])
+        folder = f"{self.root}/{name}/{layout_mark(inside)}/run-{run_id}-{uuid.uuid4().hex[:8]}"
+        folder += f"/{YEAR}{year}" if year else ""
         gathered(table, *partitions).write.partitionBy(*partitions).parquet(folder)
         return folder
 
+    def write_by_year(self, table: DataFrame, name: str, run_id: str) -> list[str]:
+        """Write a table with a column `year` and give one folder per year that has rows."""
+        folder = self.write(table, name, run_id, "year")
+        context = self.spark.sparkContext
+        place = context._jvm.org.apache.hadoop.fs.Path(folder)
+        inside = place.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(place)
+        names = sorted(entry.getPath().getName() for entry in inside)
+        return [f"{folder}/{one}" for one in names if one.startswith(YEAR)]
+
     def commit(self, number: int, run_id: str, run_time: datetime, folders: dict[str, list[str]]) -> None:
         """Make a run visible. Fails if another run has the number."""
         row = self.spark.createDataFrame([(number, run_id, run_time, folders)], self.LOG)

@@ -14,7 +14,7 @@ from tallyboard.operators.handicap import considered_rounds, league_rounds, play
 from tallyboard.operators.ranking import with_rank, with_running_total
 from tallyboard.plans.adjusted import adjusted_scores
 from tallyboard.plans.handicaps import handicaps
-from tallyboard.sources.payouts import payout_ladder
+from tallyboard.sources.payouts import field_ladders, payout_ladder, pot_share
 from tests.world import NOW, TODAY, World, event, frame, league, random_world, score, slow_adjusted, slow_handicaps
 
 
@@ -177,3 +177,29 @@ def test_null_groups_rank_and_total_like_any_other(spark):
     totals = with_running_total(table, ["grp"], "day", "amount", "total").collect()
     assert sorted((r.day, r.amount, r.total) for r in totals if r.grp is None) == [(1, 5, 12), (1, 7, 12), (2, 5, 17)]
     assert sorted((r.day or 0, r.total) for r in totals if r.grp == "x") == [(0, 2), (1, 3)]
+
+
+def test_shares_of_any_field_are_those_of_the_ladder(spark):
+    """The closed sums agree with the rungs for all places and ties of small fields, and go on beyond the ladder."""
+    cases = [(p, t, n) for n in [*range(1, 40), 99, 100, 101, 1000, 10**6] for p in (1, 2, 3, 7, n) for t in (1, 2, 5) if p + t - 1 <= n]
+    rows = spark.createDataFrame(cases, "place long, ties long, n long")
+    got = rows.select(
+        "*",
+        pot_share(F.col("place"), F.col("ties"), F.col("n")).alias("limited"),
+        pot_share(F.col("place"), F.col("ties"), F.col("n"), None).alias("any"),
+    ).collect()
+    for r in got:
+        weights = [0.64**i for i in range(min(-(-r.n // 3), 200))]
+        share = sum(weights[r.place - 1 : r.place - 1 + r.ties]) / sum(weights) / r.ties
+        assert abs(getattr(r, "any") - share) < 2e-9
+        assert r.limited == (getattr(r, "any") if r.n <= 100 else 0)
+    rungs = {(r.n_players, r.position): float(r.percentage) for r in payout_ladder(spark, NOW, 120).collect()}
+    for r in got:
+        if r.ties == 1 and r.n <= 120:
+            assert abs(getattr(r, "any") - rungs.get((r.n, r.place), 0)) < 1.5e-9
+
+
+def test_every_field_has_its_rungs_or_none(spark):
+    fields = spark.createDataFrame([(4,), (4,), (101,), (None,)], "n_players long")
+    rows = field_ladders(fields, payout_ladder(spark, NOW)).collect()
+    assert sorted((r.n_players or 0, r.position or 0) for r in rows) == [(0, 0), (4, 1), (4, 2), (101, 0)]

@@ -110,3 +110,10 @@ def test_random_seasons_add_up(spark):
     for r in rows:
         if r.raw_score is not None and r.player_username is not None:
             assert r.season_points_as_of_event >= r.points
+
+
+def test_shares_follow_the_size_of_a_league(spark, monkeypatch):
+    monkeypatch.setattr(season, "PLAYERS_PER_SHARE", 10)
+    players = spark.createDataFrame([("small",)] * 10 + [("middle",)] * 25 + [("large",)] * 900, "league_id string")
+    shares = {r.league_id: r.shares for r in season.league_shares(players, 16).collect()}
+    assert shares == {"small": 1, "middle": 3, "large": 16}

@@ -4,10 +4,13 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyboard import schemas
 from tallyboard.operators import lookups, maintain
+from tallyboard.plans.pipeline import Run, inspect, prune
+from tallyboard.schemas import EVENTS, HOLE_SCORES, RAW_SCORES
 from tallyboard.sources.tables import Store
 from tests.world import NOW, event, frame, league, score
 
@@ -155,3 +158,75 @@ def test_older_layouts_are_read_in_the_declared_one(spark, tmp_path):
     assert store.read("events").count() == 0
     with pytest.raises(LookupError):
         store.read("season_log")
+
+
+def test_misfits_are_noted_once_and_prunes_keep_layouts(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    run = Run(store, "a", NOW)
+    older = spark.createDataFrame(
+        [("r1", "e1", "55", "x", [1]), ("r2", "gone", "fifty", None, None), ("r3", "e1", "n/a", "y", [2, 3]), ("r4", "e1", None, None, None)],
+        "raw_score_id string, event_id string, raw_score string, note string, extra array<int>",
+    )
+    run.append("raw_scores", older)
+    run.append("raw_scores", spark.createDataFrame([("r9", "e1")], "raw_score_id string, event_id string").select(
+        *[F.col(f.name) if f.name in ("raw_score_id", "event_id") else F.lit(None).cast(f.dataType).alias(f.name) for f in RAW_SCORES]
+    ))
+    run.append("hole_scores", spark.createDataFrame([], HOLE_SCORES))
+    run.replace("events", spark.createDataFrame([("e1",)], "event_id string").select(
+        *[F.col(f.name) if f.name == "event_id" else F.lit(None).cast(f.dataType).alias(f.name) for f in EVENTS]
+    ))
+    inspect(run)
+    cells = spark.read.parquet(*run.folders["misfits"]).select("table_name", "row_id", "column", "reason", "value")
+    expected = [
+        ("raw_scores", "r1", "extra", "unknown column", "[1]"),
+        ("raw_scores", "r1", "note", "unknown column", "x"),
+        ("raw_scores", "r2", "raw_score", "no bigint", "fifty"),
+        ("raw_scores", "r3", "extra", "unknown column", "[2, 3]"),
+        ("raw_scores", "r3", "note", "unknown column", "y"),
+        ("raw_scores", "r3", "raw_score", "no bigint", "n/a"),
+    ]
+    assert sorted(tuple(r) for r in cells.collect()) == expected
+    drift = spark.read.parquet(*run.folders["schema_drift"]).collect()
+    assert [(r.table_name, r.unknown, r.retyped) for r in drift] == [("raw_scores", ["extra", "note"], ["raw_score"])]
+    assert "division" in drift[0].missing
+
+    prune(run)
+    assert run.pruned == {"raw_scores": 1, "hole_scores": 0}
+    whole = [spark.read.parquet(folder) for folder in run.folders["raw_scores"]]
+    kept = next(table for table in whole if "note" in table.columns)
+    assert kept.schema == older.schema
+    assert sorted(kept.collect()) == sorted(r for r in older.collect() if r.raw_score_id != "r2")
+    inspect(run)
+    assert len(run.folders["misfits"]) == 1
+    assert sorted(r.raw_score_id for r in run.table("raw_scores").collect()) == ["r1", "r3", "r4", "r9"]
+
+
+def test_a_year_opens_its_own_folders_only(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    run = Run(store, "a", NOW)
+    holes = [(f"h{i}", f"r{i % 9}", i % 3, 4, NOW, NOW, 2020 + i % 3) for i in range(30)]
+    table = spark.createDataFrame(holes, T.StructType([*HOLE_SCORES, T.StructField("year", T.IntegerType())]))
+    run.append("hole_scores", table.where("hole_score_id = 'h0'").drop("year"))  # from before years were kept apart
+    run.append_by_year("hole_scores", table.where("hole_score_id <> 'h0' and year < 2022"))
+    run.append_by_year("hole_scores", table.where("year = 2022"))
+    run.append_by_year("hole_scores", table.where("year = 1900"))
+    assert len(run.folders["hole_scores"]) == 4
+    assert run.table("hole_scores").schema == HOLE_SCORES
+    assert run.table("hole_scores").count() == 30
+    one = run.table("hole_scores", 2021)
+    assert sorted(r.hole_score_id for r in one.collect()) == sorted(["h0", *[h[0] for h in holes if h[-1] == 2021]])
+    assert not [file for file in one.inputFiles() if "year=2020" in file or "year=2022" in file]
+
+    # A prune rewrites the folders of a year as folders of that year.
+    kept = spark.createDataFrame([(f"r{i}", "e") for i in range(9) if i != 1], "raw_score_id string, event_id string")
+    run.append("raw_scores", kept.select(*[F.col(f.name) if f.name in kept.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in RAW_SCORES]))
+    run.replace("events", spark.createDataFrame([("e",)], "event_id string").select(
+        *[F.col(f.name) if f.name == "event_id" else F.lit(None).cast(f.dataType).alias(f.name) for f in EVENTS]
+    ))
+    prune(run)
+    assert run.pruned["hole_scores"] == len([h for h in holes if h[1] == "r1"])
+    left = [h[0] for h in holes if h[1] != "r1"]
+    assert sorted(r.hole_score_id for r in run.table("hole_scores").collect()) == sorted(left)
+    assert sorted(r.hole_score_id for r in run.table("hole_scores", 2021).collect()) == sorted(
+        {"h0", *[h[0] for h in holes if h[-1] == 2021 and h[1] != "r1"]}
+    )
