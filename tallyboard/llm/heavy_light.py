@@ -146,7 +146,7 @@ def slot_table(parts: DataFrame, finish) -> np.ndarray:
 
 
 def texts_of(documents: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(key, text) of the rows `firsts` (id, h, key).
+    """(key, text) of the rows `firsts` (id, h, key), written.
 
     A table of one bit a slot (16 MB, whatever the input) says which hashes of texts are wanted, so that
     other texts are not shuffled; the join decides.
@@ -167,7 +167,9 @@ def texts_of(documents: DataFrame, firsts: DataFrame) -> DataFrame:
             yield batch.filter(pa.array((table[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)))
 
     some = texts_in(documents).mapInArrow(choose, "id long, h long, text string")
-    return some.join(firsts, ["id", "h"]).dropDuplicates(["key"]).select("key", "text")
+    texts = stage(some.join(firsts, ["id", "h"]).dropDuplicates(["key"]).select("key", "text"), "candidate_texts")
+    wanted.destroy()  # what needed it is written
+    return texts
 
 
 def _counted(gathered: list[np.ndarray]) -> pa.RecordBatch:
@@ -362,6 +364,7 @@ def groups(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, Da
     spark = documents.sparkSession
     held = spark.sparkContext.broadcast(frequencies(documents, size))
     sketched = stage(sketches(documents, size, percent, held), "sketches")
+    held.destroy()  # what needed it is written
     every = stage(sketched.select("id", "n", "k1", "k2"), "sizes")
     classes = stage(
         sketched.where("n > 0")
@@ -382,7 +385,7 @@ def groups(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, Da
 
     wanted = degrees.select("key").union(small.where(F.col("n") <= boundary).select("key")).distinct()
     firsts = classes.select("key", F.col("first.id").alias("id"), F.col("first.h").alias("h")).join(wanted, "key")
-    texts = stage(texts_of(documents, firsts), "candidate_texts")
+    texts = texts_of(documents, firsts)
     linked = small_links(small.where(F.col("n") <= boundary), texts, size, percent, boundary)
 
     # A list matters if it has a set beyond the boundary; smaller sets can only be partners down to this size.
