@@ -5,6 +5,7 @@ attribute inside a quoted value, a comment, a script or a style sheet is neither
 """
 
 import json
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -33,6 +34,11 @@ WINDOWS = [n if n in UNUSED else ord(bytes([n]).decode("cp1252")) for n in range
 REPLACEMENT = "\ufffd"
 
 
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """What `body` makes of a value that it looks at several times; the value is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _scan(name: str) -> str:
     """The pattern of one step through a page: group 1 is a start tag called `name`."""
     return rf"(?is){COMMENT}|{RAW_TEXT}|(<{name}(?=[\s/>]){ATTRIBUTES}>)|{ANY_TAG}"
@@ -48,20 +54,25 @@ def attribute(tag: Column, name: str) -> Column:
     every = F.regexp_extract_all(F.regexp_replace(tag, r"^<[^\s/>]+", ""), F.lit(ATTRIBUTE), F.lit(0))
     last = F.try_element_at(F.filter(every, lambda one: one.rlike(rf"(?i)^{name}(?![^\s=])")), F.lit(-1))
     # Of the three ways to write a value at most one is used.
-    return decoded(F.concat(*[F.regexp_extract(last, f"^{ATTRIBUTE}", group) for group in (2, 3, 4)]))
+    written = lambda one: F.concat(*[F.regexp_extract(one, f"^{ATTRIBUTE}", group) for group in (2, 3, 4)])
+    return decoded(_once(last, written))
 
 
 def _character(digits: Column, base: int) -> Column:
     """The character of a numeric reference."""
     short = F.regexp_replace(digits, "^0+", "")
-    given = F.conv(F.when(F.length(short).between(1, 7), short).otherwise("0"), base, 10).cast("int")
-    code = F.coalesce(F.get(F.lit(WINDOWS), F.when(given >= 128, given - 128)), given)
-    # Controls and code points that are no characters vanish; what is no code point is replaced.
-    nothing = code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127) | code.between(0xFDD0, 0xFDEF)
-    nothing = nothing | ((code.bitwiseAND(0xFFFF) >= 0xFFFE) & (code <= 0x10FFFF))
-    sound = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    wide = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    return F.when(~sound, REPLACEMENT).when(nothing, "").otherwise(wide)
+    number = _once(short, lambda text: F.conv(F.when(F.length(text).between(1, 7), text).otherwise("0"), base, 10).cast("int"))
+    meant = _once(number, lambda given: F.coalesce(F.get(F.lit(WINDOWS), F.when(given >= 128, given - 128)), given))
+
+    def character(code: Column) -> Column:
+        # Controls and code points that are no characters vanish; what is no code point is replaced.
+        nothing = code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127) | code.between(0xFDD0, 0xFDEF)
+        nothing = nothing | ((code.bitwiseAND(0xFFFF) >= 0xFFFE) & (code <= 0x10FFFF))
+        sound = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        wide = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(~sound, REPLACEMENT).when(nothing, "").otherwise(wide)
+
+    return _once(meant, character)
 
 
 def named_references() -> Column:
@@ -76,23 +87,32 @@ def decoded(value: Column) -> Column:
     follows, as in a query string.
     """
     references = named_references()
+    pattern = r"^&(#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[a-zA-Z][a-zA-Z0-9]*+;?)"
 
-    def replaced(piece: Column) -> Column:
-        reference = F.regexp_extract(piece, r"^&(#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[a-zA-Z][a-zA-Z0-9]*+;?)", 1)
-        after = F.substr(piece, F.length(reference) + 2)
-        bare = F.rtrim(reference, F.lit(";"))
-        number = (
-            F.when(reference.rlike("^#[xX]"), _character(F.substr(bare, F.lit(3)), 16))
-            .when(reference.startswith("#"), _character(F.substr(bare, F.lit(2)), 10))
-        )
-        common = F.when(reference == "amp;", "&").when(reference == "quot;", '"')
+    def known(cut: Column) -> Column:
+        """What the reference at the beginning of a piece stands for; NULL for none."""
+        reference, after = cut["reference"], cut["after"]
+        digits = F.rtrim(reference, F.lit(";"))
         name = F.when(reference.endswith(";") | ~after.startswith("="), F.try_element_at(references, reference))
-        known = F.coalesce(number, common, F.when(reference != "", name))
-        return F.when(known.isNull(), piece).otherwise(F.concat(known, after))
+        return (
+            F.when(reference == "", F.lit(None).cast("string"))
+            .when(reference == "amp;", "&")
+            .when(reference.rlike("^#[xX]"), _character(F.substr(digits, F.lit(3)), 16))
+            .when(reference.startswith("#"), _character(F.substr(digits, F.lit(2)), 10))
+            .otherwise(name)
+        )
+
+    def replaced(piece: Column) -> Column:
+        after = lambda one: F.struct(one.alias("reference"), F.substr(piece, F.length(one) + 2).alias("after"))
+        cut = _once(F.regexp_extract(piece, pattern, 1), after)
+        return F.coalesce(_once(cut, lambda parts: F.concat(known(parts), parts["after"])), piece)
+
+    def whole(text: Column) -> Column:
+        # Cut before every &; the first piece has none.
+        pieces = F.transform(F.split(text, "(?=&)"), replaced)
+        return F.when(F.contains(text, F.lit("&")), F.array_join(pieces, "")).otherwise(text)
 
-    # Cut before every &; the first piece has none.
-    pieces = F.split(value, "(?=&)")
-    return F.when(F.contains(value, F.lit("&")), F.array_join(F.transform(pieces, replaced), "")).otherwise(value)
+    return _once(value, whole)
 
 
 def _hrefs(found: Column) -> Column:
@@ -120,10 +140,11 @@ def schedule_marks(html: Column) -> Column:
     def mark(x: Column) -> Column:
         names = F.regexp_replace(stripped(attribute(x["span"], "class")), r"\s+", " ")
         label = stripped(decoded(F.regexp_replace(x["text"], TAG, "")))
+        year = _once(label, lambda text: F.when(text.rlike(r"^[+-]?\d+$"), text).try_cast("int"))
         return F.struct(
             F.when(x["a"] != "", attribute(x["a"], "href")).alias("href"),
             F.coalesce(names == YEAR_LABEL, F.lit(False)).alias("is_label"),
-            F.when(label.rlike(r"^[+-]?\d+$"), label).try_cast("int").alias("year"),
+            year.alias("year"),
         )
 
     marks = F.transform(found, mark)
