@@ -100,6 +100,9 @@ def band_hashes(least: np.ndarray) -> np.ndarray:
     return total.view(np.int64)
 
 
+SPACES = " \t\n\x0b\f\r"  # what stands between words
+
+
 def row_id(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(NO_ID))
 
@@ -273,12 +276,22 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
 def keep_first(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The documents, all columns as they are, one of each group: that with the least doc_id.
 
-    Rows with equal doc_id and text are one document; rows without words stay.
+    Rows with equal doc_id and text are one document, and of them the row stays whose other columns have the
+    least hash. Rows without words all stay.
     """
     prepare(documents.sparkSession)
     every, heads = groups(documents, size, percent)
     out = every.where("n > 0").join(heads, "key").where("id <> head.id or h <> head.h").select("id", "h").distinct()
-    whole = documents.select(F.struct("*").alias("row"), row_id(F.col("doc_id")).alias("id"), F.xxhash64("text").alias("h"))
-    order = Window.partitionBy("id", "h").orderBy(F.lit(0))
+    others = F.struct(*[c for c in documents.columns if c != "text"])
+    wordless = F.btrim(F.coalesce("text", F.lit("")), F.lit(SPACES)) == ""
+    whole = documents.select(
+        F.struct("*").alias("row"),
+        row_id(F.col("doc_id")).alias("id"),
+        F.xxhash64("text").alias("h"),
+        F.xxhash64(F.to_json(others)).alias("rest"),
+        # Rows without words, which may be many, are groups of one row each.
+        F.when(wordless, F.monotonically_increasing_id()).alias("own"),
+    )
+    order = Window.partitionBy("id", "h", "own").orderBy("rest")
     stays = whole.join(out, ["id", "h"], "left_anti").withColumn("nth", F.row_number().over(order))
     return stays.where("nth = 1").select("row.*")

@@ -98,6 +98,20 @@ def test_keeping_leaves_one_of_each(spark):
     assert nd.keep_first(empty(spark)).collect() == []
 
 
+def test_rows_without_words_all_stay(spark):
+    rows = [(None, t, lang, "a") for t in (None, "", " \n") for lang in ("en", "en", "de", None)]
+    text = "one text of more than five words, told again and again"
+    rows += [(1, text, lang, source) for lang, source in (("en", "b"), ("de", "a"), ("en", "a"), ("de", "a"))]
+    table = documents(spark, rows)
+    kept = nd.keep_first(table).collect()
+    assert sorted(str(r) for r in kept if r.doc_id is None) == sorted(str(r) for r in table.where("doc_id is null").collect())
+    stays = [r for r in kept if r.doc_id == 1]
+    assert len(stays) == 1
+    for parts in (1, 3, 5):
+        again = nd.keep_first(table.orderBy(F.rand(parts)).repartition(parts)).where("doc_id = 1").collect()
+        assert again == stays
+
+
 def test_estimates_are_corrected_for_chance():
     rng = np.random.RandomState(3)
     common = rng.randint(0, 2**62, 900).astype(np.uint64)
