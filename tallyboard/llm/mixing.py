@@ -2,16 +2,18 @@
 
 Documents fall into cells by source, language and topic. The token weight of the cells is raked: for one
 dimension after the other, every cell is multiplied by target / current sum of its value, `ROUNDS`
-times over. A document is drawn with the probability weight / tokens of its cell, scaled so that the
-scarcest cell is taken whole; the draw compares it with a hash of doc_id, so a rerun draws the same.
-Drawn tokens so have the target marginals in expectation.
+times over. A document is drawn with the probability scale * weight / tokens of its cell, 1 at most; the
+draw compares it with a hash of doc_id, so a rerun draws the same. The scale makes the expected tokens
+drawn a stated share of all tokens, `DRAWN`, or all that targets allow if that is less. So a small
+cell with a high rate is taken whole and does not lower what is drawn of the others. Drawn tokens have the
+target marginals in expectation, but for what cells taken whole fall short of.
 
 The target share of a value is its share of tokens to the power `TEMPER`, unless shares are given;
 then a value without a share is left out. A topic is the one of `TOPICS` with the most different
 keywords in the text, the first of equals, or `other`.
 
 Everything is DataFrame code. Only cells are raked: documents are reduced per cell before the shuffle,
-and a window of the raking holds at most the cells of one value. One number goes to the driver.
+and a window of the raking holds at most the cells of one value. Single sums go to the driver.
 
 Defined cases: null values of a dimension are a value of their own. A text without words has no
 tokens; a cell without tokens is not drawn from. Rows with equal doc_id are drawn alike, a null doc_id
@@ -30,6 +32,7 @@ from tallyboard.llm.quality import words
 DIMENSIONS = ("source", "lang", "topic")
 ROUNDS = 8
 TEMPER = 0.85
+DRAWN = 0.5  # share of all tokens to draw
 # Keywords of the topics, compared with whole lower-cased words.
 TOPICS = {
     "legal": ("apache", "copyright", "gpl", "law", "legal", "license", "licensed", "mit", "rights", "terms", "warranty"),
@@ -82,14 +85,36 @@ def uniform(doc_id: Column) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def probabilities(marked: DataFrame, targets: dict[str, DataFrame] | None) -> DataFrame:
+def scale_of(raked: DataFrame, drawn: float) -> float:
+    """The number s with sum(least(tokens, s * weight)) = drawn * sum(tokens), or one that takes every cell whole.
+
+    The sum is concave in s, so steps along its tangent come near from below and end as soon as no more
+    cells are taken whole: a few sums over the cells.
+    """
+    total = raked.agg(F.sum("tokens").alias("tokens"), F.sum("weight").alias("weight")).first()
+    if not total.weight:
+        return 0.0
+    budget, whole = drawn * total.tokens, 0
+    scale = budget / total.weight
+    while True:
+        full = (F.col("weight") > 0) & (F.col("weight") * scale >= F.col("tokens"))
+        at = raked.agg(
+            F.count_if(full).alias("cells"),
+            F.sum(F.when(full, F.col("tokens"))).alias("tokens"),
+            F.sum(F.when(~full, F.col("weight"))).alias("weight"),
+        ).first()
+        if at.cells <= whole or not at.weight:
+            return scale
+        whole, scale = at.cells, (budget - at.tokens) / at.weight
+
+
+def probabilities(marked: DataFrame, targets: dict[str, DataFrame] | None, drawn: float = DRAWN) -> DataFrame:
     """(dimensions, probability) of every cell of the marked documents."""
     cells = marked.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens"))
     raked = stage(rake(cells, targets), "cells")
     rate = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
-    top = raked.agg(F.max(rate).alias("top")).first().top or 1.0
     names = [F.col(d).alias(f"cell_{d}") for d in DIMENSIONS]
-    return raked.select(*names, F.round(rate / top, 9).alias("probability"))
+    return raked.select(*names, F.round(F.least(rate * scale_of(raked, drawn), F.lit(1.0)), 9).alias("probability"))
 
 
 def in_cell() -> Column:
@@ -99,22 +124,22 @@ def in_cell() -> Column:
     return first
 
 
-def draw(documents: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
+def draw(documents: DataFrame, targets: dict[str, DataFrame] | None = None, drawn: float = DRAWN) -> DataFrame:
     """One row per document: its cell, tokens, probability and whether it is drawn."""
     prepare(documents.sparkSession)
     plain = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", "lang", "text")
     marked = with_cells(plain, F.col("text")).select("doc_id", *DIMENSIONS, "n_tokens")
-    return marked.join(probabilities(marked, targets), in_cell()).select(
+    return marked.join(probabilities(marked, targets, drawn), in_cell()).select(
         "doc_id", *DIMENSIONS, "n_tokens", "probability", (uniform(F.col("doc_id")) < F.col("probability")).alias("drawn")
     )
 
 
-def keep_drawn(documents: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
+def keep_drawn(documents: DataFrame, targets: dict[str, DataFrame] | None = None, drawn: float = DRAWN) -> DataFrame:
     """The documents, all columns as they are, that are drawn."""
     prepare(documents.sparkSession)
     row = F.col("row")
     whole = documents.select(F.struct("*").alias("row"))
     whole = whole.select("row", row["source"].alias("source"), row["lang"].alias("lang"))
     marked = with_cells(whole, row["text"]).select("row", *DIMENSIONS, "n_tokens")
-    drawn = marked.join(probabilities(marked.drop("row"), targets), in_cell())
-    return drawn.where(uniform(row["doc_id"]) < F.col("probability")).select("row.*")
+    rated = marked.join(probabilities(marked.drop("row"), targets, drawn), in_cell())
+    return rated.where(uniform(row["doc_id"]) < F.col("probability")).select("row.*")

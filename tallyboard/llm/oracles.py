@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tallyboard.llm.clusters import CLUSTERS, DIMENSIONS as COMPONENTS, ROUNDS as MEAN_ROUNDS, SCALE
 from tallyboard.llm.divergence import LEAST_DOCUMENTS, PRIOR, TOP_TERMS, UNIT
-from tallyboard.llm.mixing import DIMENSIONS, OTHER, ROUNDS, TEMPER, TOPICS
+from tallyboard.llm.mixing import DIMENSIONS, DRAWN, OTHER, ROUNDS, TEMPER, TOPICS
 from tallyboard.llm.url_filter import RULES, SOFT, SOFT_HITS, STRICT
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -39,7 +39,11 @@ FROM counted"""
 
 
 def mixing_sql() -> str:
-    """The raking written out, one step per dimension and round."""
+    """The raking written out, one step per dimension and round, and the scale that draws `DRAWN` of the tokens.
+
+    With the cells in descending order of rate, the scale is the largest of those that result from taking the
+    first k cells whole.
+    """
     every = sorted({k for keys in TOPICS.values() for k in keys})
     counts = ", ".join(
         f"len(list_distinct(list_filter(met, lambda k: k IN ({quoted(keys)})))) AS n_{t}" for t, keys in TOPICS.items()
@@ -70,8 +74,13 @@ marked AS (SELECT doc_id, source, lang, n_tokens, CASE {topic} ELSE '{OTHER}' EN
 cells AS (SELECT {dims}, sum(n_tokens) AS tokens FROM marked GROUP BY {dims}),
 w AS (SELECT {dims}, tokens, {targets}, CAST(tokens AS DOUBLE) AS weight FROM cells),
 {", ".join(steps)},
-rates AS (SELECT {dims}, CASE WHEN tokens > 0 THEN weight / tokens ELSE 0 END AS rate FROM {last}),
-p AS (SELECT {dims}, round(rate / (SELECT max(rate) FROM rates), 9) AS probability FROM rates)
+rates AS (SELECT {dims}, tokens, weight, CASE WHEN tokens > 0 THEN weight / tokens ELSE 0 END AS rate FROM {last}),
+falling AS (
+  SELECT coalesce(sum(tokens) OVER (ORDER BY rate DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS whole,
+         sum(weight) OVER (ORDER BY rate DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+  FROM rates WHERE weight > 0),
+scaled AS (SELECT max(({DRAWN} * (SELECT sum(tokens) FROM rates) - whole) / rest) AS scale FROM falling),
+p AS (SELECT {dims}, round(least(rate * coalesce((SELECT scale FROM scaled), 0), 1), 9) AS probability FROM rates)
 SELECT m.doc_id, m.source, m.lang, m.topic, m.n_tokens, p.probability,
        CAST('0x' || substr(md5(coalesce(CAST(m.doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) / 4294967296.0 < p.probability AS drawn
 FROM marked m JOIN p ON {same}"""

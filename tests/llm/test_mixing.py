@@ -59,6 +59,39 @@ def test_given_shares(spark):
     assert found[("c", None, "y")] == 0
 
 
+def plain_scale(cells, drawn):
+    """The scale for [(tokens, weight)] by bisection."""
+    budget, low, high = drawn * sum(t for t, _ in cells), 0.0, max(t / w for t, w in cells if w) * 2
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if sum(min(t, mid * w) for t, w in cells) < budget else (low, mid)
+    return high
+
+
+def test_scale_meets_the_budget(spark):
+    cells = [(1000, 300.0), (10, 200.0), (500, 500.0), (1, 100.0), (0, 0.0), (700, 0.0), (90, 1.0)]
+    table = spark.createDataFrame(cells, "tokens long, weight double")
+    for drawn in (0.001, 0.01, 0.2, 0.5, 0.6):
+        scale = mixing.scale_of(table, drawn)
+        assert scale == pytest.approx(plain_scale(cells, drawn), rel=1e-9)
+        assert sum(min(t, scale * w) for t, w in cells) == pytest.approx(drawn * 2301, rel=1e-9)
+    for drawn in (0.7, 1.0):  # more than the cells with a weight have: all of them are taken whole
+        assert all(mixing.scale_of(table, drawn) * w >= t for t, w in cells if w)
+    assert mixing.scale_of(table.where("weight = 0"), 0.5) == 0
+    assert mixing.scale_of(table.limit(0), 0.5) == 0
+
+
+def test_a_stray_document_changes_next_to_nothing(spark):
+    rows = [(i, f"{'data ' if i % 7 == 0 else ''}some words of text number {i} " * (1 + i % 5), "en" if i % 3 else "de", f"s{i % 4}") for i in range(2000)]
+    plain = documents(spark, rows)
+    stray = plain.unionByName(documents(spark, [(9999, "twelve words of a language that no other document has at all, stray", "xx", "new")]))
+    expected = [mixing.draw(t).agg(F.sum("probability"), F.sum("n_tokens"), F.sum(F.col("n_tokens") * F.col("probability"))).first() for t in (plain, stray)]
+    for _, tokens, drawn in expected:
+        assert drawn == pytest.approx(mixing.DRAWN * tokens, rel=1e-6)
+    assert abs(expected[1][0] - expected[0][0]) < 1
+    assert mixing.draw(stray).where("doc_id = 9999").first().probability == 1
+
+
 def test_whole_table(spark):
     folder = "/root/testdata/sf0.01"
     table = op3_mixing(spark, folder)

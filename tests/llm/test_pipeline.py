@@ -8,6 +8,7 @@ import corpus_pipeline
 from tallyboard.llm import languages, mixing, quality
 from tallyboard.llm.common import stage
 from tests.llm.cases import documents, empty, labels, words
+from tests.llm.test_mixing import plain_scale
 from tests.llm.test_near_duplicates import brute
 from tests.llm.test_packing import check, expected_ids
 from tests.llm.test_quality import counted
@@ -85,12 +86,12 @@ def test_mixing_stage(outputs):
             weight = {c: w * sums[i][c[i]] ** mixing.TEMPER / now[c[i]] for c, w in weight.items()}
     import hashlib
 
-    top = max(weight[c] / tokens[c] for c in weight)
+    scale = plain_scale([(tokens[c], weight[c]) for c in weight], mixing.DRAWN)
     drawn = [
         r.doc_id
         for r in rows
         if int(hashlib.md5(str(r.doc_id).encode()).hexdigest()[:8], 16) / 2**32
-        < round(weight[cell[r.doc_id]] / tokens[cell[r.doc_id]] / top, 9)
+        < round(min(scale * weight[cell[r.doc_id]] / tokens[cell[r.doc_id]], 1), 9)
     ]
     assert ids(outputs[4]) == sorted(drawn)
 
