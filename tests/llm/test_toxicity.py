@@ -1,8 +1,14 @@
 """Severity: labelled documents that were not learned from, order of thresholds, awkward rows."""
 
+import math
+import re
+from collections import Counter
+
 import numpy as np
+import pytest
 
 from tallyboard.llm import toxicity
+from tallyboard.llm.common import word_hashes
 from tests.llm.cases import documents, empty, labels
 
 
@@ -33,6 +39,36 @@ def test_thresholds_are_ordered_and_severity_rises_with_terms(spark):
     assert found[1005].grade > found[1000].grade >= 1 and not found[0].toxic
 
 
+def plain(text, model):
+    """(severity, grade, probability of grade 1 and above, number of terms) by the formula, term by term."""
+    times = Counter(re.findall("[a-z0-9]+", text.lower()))
+    in_bucket = Counter()
+    for word, n in times.items():
+        in_bucket[int(word_hashes([word.encode()])[0][0]) % toxicity.BUCKETS] += n
+    used = {b: n for b, n in in_bucket.items() if model.weights[b] != 0}
+    x = sum(float(model.weights[b]) * (1 + math.log2(n)) for b, n in used.items())
+    above = [1 - 1 / (1 + math.exp(-(t - x))) for t in model.thresholds]
+    each = [a - b for a, b in zip([1, *above], [*above, 0], strict=True)]
+    return sum(k * p for k, p in enumerate(each)), max(range(len(each)), key=each.__getitem__), above[0], len(used)
+
+
+def test_severity_equals_the_plain_formula(spark):
+    rows = [(i, f"plain text number {i} about nothing", "en", "a") for i in range(200)]
+    rows += [(1000 + i, "Text, with " + " ".join(f"BAD{j}!" for j in range(1 + i % 6)), "en", "a") for i in range(120)]
+    marks = labels(spark, [(r[0], 1, int(r[0] >= 1000)) for r in rows])
+    rows += [(2000, "bad0 bad0 bad0. Bad1? bad5 " * 400, "en", "a"), (2001, "...", "en", "a"), (2002, "", "en", "a")]
+    rows += [(2003, "text bad0-bad1 text plain about", "en", "a"), (2004, "plain " * 5000 + "bad2", "en", "a")]
+    table = documents(spark, rows)
+    model = toxicity.learn(table, marks)
+    texts = {r[0]: r[1] for r in rows}
+    found = toxicity.severity(table, marks).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        severity, grade, p, terms = plain(texts[r.doc_id], model)
+        assert (r.severity, r.p_toxic) == pytest.approx((severity, p), abs=1e-5)
+        assert r.terms == terms and r.toxic == (p >= 0.5) and r.grade == grade
+
+
 def test_awkward_rows(spark):
     marks = labels(spark, [(1, 1, 0), (1, 0, 1), (3, 0, 1), (None, 1, 1), (99, 1, 1), (7, None, None)])
     rows = toxicity.severity(documents(spark), marks).collect()
