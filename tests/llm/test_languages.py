@@ -43,6 +43,31 @@ def test_held_out_documents_are_recognised(spark):
     assert np.mean([r.lang_pred == truth[r.doc_id] for r in tested]) > 0.98
 
 
+def test_decisions_equal_those_of_exact_sets(spark):
+    """Sets in place of filters: the same languages, and shares that differ by what chance leaves only."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").collect()
+    own = {r.doc_id: Counter(plain_grams(r.text)) for r in rows}
+    counts = {}
+    for r in rows:
+        if zlib.crc32(str(r.doc_id).encode()) % 5:
+            counts.setdefault(r.lang, Counter()).update(own[r.doc_id])
+    totals = {lang: sum(c.values()) for lang, c in counts.items()}
+    sets = {}
+    for lang, c in counts.items():
+        best = {g: max(other[g] / totals[x] for x, other in counts.items()) for g in c}
+        sets[lang] = {g for g, n in c.items() if n >= languages.LEAST_COUNT and n / totals[lang] >= languages.LEAST_RATE * best[g]}
+    assert max(map(len, sets.values())) <= languages.GRAMS
+    table = spark.createDataFrame([tuple(r) for r in rows], "doc_id long, text string, lang string")
+    found = {r.doc_id: r for r in languages.identify(table).collect()}
+    for doc_id, grams in own.items():
+        hits = {lang: sum(n for g, n in grams.items() if g in known) for lang, known in sorted(sets.items())}
+        total, best = sum(hits.values()), max(hits, key=hits.get)
+        r = found[doc_id]
+        assert r.lang_pred == best
+        assert abs(r.score - hits[best] / total) < 0.03
+        assert abs(r.known - hits[best] / sum(grams.values())) < 0.03
+
+
 def test_a_learned_gram_is_never_missed(spark):
     table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     model = languages.learn(table)
