@@ -11,7 +11,9 @@ From each page come the blocks of its article (`article`, `main` and the like; e
 without elements that a tag, role, class or id names as something else, without branches of low
 importance, and without contents of low importance. A content goes only if it also stands on a fixed
 share of the host's pages, `MOST_PAGES` of them inside a marked article and `HALF` elsewhere, however
-many pages there are; a branch only if every content below it does. Elsewhere menus go too: blocks
+many pages there are. A branch of low weight goes as a whole, inside a marked article too, if every
+content below it stands on `HALF` of the pages and there are `LEAST_CONTENTS` of them: a box that many
+articles carry is no part of them, a single line that many share may be. Elsewhere menus go too: blocks
 that are mostly links, paragraphs and headings only if they are several links and nothing else. Hosts with fewer than `LEAST_PAGES` different pages are not judged by the tree.
 
 Host statistics are counted in Spark, on hashes. Only nodes and contents of low importance go back to
@@ -41,6 +43,7 @@ G = 0.9
 IN_ARTICLE = 0.05  # importance below which a content of an article goes
 ELSEWHERE = 0.4
 LOW_BRANCH = 0.1
+LEAST_CONTENTS = 2  # different contents below a branch that goes by its weight
 MOST_PAGES, HALF = 0.95, 0.5  # shares of the pages that a content stands on at least to go, in an article and elsewhere
 MOSTLY_LINKS = 0.6
 
@@ -115,6 +118,7 @@ def low_nodes(pages: DataFrame) -> DataFrame:
             (F.sum(F.col("importance") * F.col("d")) / F.sum("d")).alias("content"),
             F.max("importance").alias("importance"),
             F.min("share").alias("share"),
+            F.count("*").alias("contents"),
         )
     )
     share = F.col("d") / F.col("m")
@@ -128,10 +132,10 @@ def low_nodes(pages: DataFrame) -> DataFrame:
     branches = branches.where((F.col("importance") < ELSEWHERE) & (F.col("share") >= HALF))
     few = content.where((F.col("importance") < ELSEWHERE) & (F.col("share") >= HALF))
     return (
-        branches.select("host", "path", F.lit(None).cast("long").alias("what"), "importance", "share")
-        .unionByName(few.select("host", "path", "what", "importance", "share"))
+        branches.select("host", "path", F.lit(None).cast("long").alias("what"), "importance", "share", "contents")
+        .unionByName(few.select("host", "path", "what", "importance", "share", F.lit(1).cast("long").alias("contents")))
         .groupBy("host")
-        .agg(F.collect_list(F.struct("path", "what", "importance", "share")).alias("low"))
+        .agg(F.collect_list(F.struct("path", "what", "importance", "share", "contents")).alias("low"))
     )
 
 
@@ -141,12 +145,13 @@ def article(source: str | None, low: list | None) -> str:
     What most of a marked article's text consists of is no template: such pages are near copies.
     """
     kept = candidates(blocks(source)[0])
-    entries = {(x["path"], x["what"]): (x["importance"], x["share"]) for x in low or ()}
+    entries = {(x["path"], x["what"]): (x["importance"], x["share"]) for x in low or () if x["what"] is not None}
+    branches = {x["path"] for x in low or () if x["what"] is None and x["contents"] >= LEAST_CONTENTS}
 
     def goes(b: Block) -> bool:
         limit, least = (IN_ARTICLE, MOST_PAGES) if b.main else (ELSEWHERE, HALF)
-        keys = [(b.path, digest(b.text)), *((p, None) for p in ancestors(b.path))]
-        return any(k in entries and entries[k][0] < limit and entries[k][1] >= least for k in keys)
+        importance, share = entries.get((b.path, digest(b.text)), (1.0, 0.0))
+        return importance < limit and share >= least or any(p in branches for p in ancestors(b.path))
 
     lines = [b for b in kept if not entries or not goes(b)]
     if kept and kept[0].main and 2 * sum(len(b.text) for b in lines) < sum(len(b.text) for b in kept):

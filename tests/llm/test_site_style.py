@@ -158,6 +158,18 @@ def test_paragraphs_with_a_link_are_no_menus():
     assert article("<ul><li><a href=x>Home</a><li><a href=y>News</a></ul>" + text, None) == "The rest of the text."
 
 
+def test_a_low_branch_goes_from_marked_articles(spark):
+    """A box that 80 of 100 articles carry goes by its branch; lines that as many share stay."""
+    box = "<div class=join><h3>Join us</h3><p>It takes a minute.</p></div>"
+    rows = []
+    for i in range(100):
+        line = "<p class=note>One line that many have</p>" if i < 80 else ""
+        rows.append((i, f"http://boxes.com/{i}", f"<article><p>The story number {i} is told here.</p>{box if i < 80 else ''}{line}</article>"))
+    found = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found[3] == "The story number 3 is told here.\nOne line that many have"
+    assert found[90] == "The story number 90 is told here."
+
+
 def plain_tree(sources):
     """The low nodes of one host by plain loops: {(path, content or None): (importance, share)}."""
     styles, contents, pages = defaultdict(set), defaultdict(set), set()
