@@ -115,6 +115,19 @@ def test_word_ratio_and_limit_are_the_plain_ones(spark):
         assert r.kept == (not r.base_failed and r.score >= quality.THRESHOLD and r.word_score >= learned.limit)
 
 
+def test_all_trusted_documents_count(spark):
+    """11,000 documents labelled good: every one makes the target or the limit."""
+    marks = spark.range(11_000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    assert quality.trusted_ids(marks).count() == 11_000
+    table = spark.range(11_000).selectExpr("id as doc_id", "concat('Word ', id, repeat(' and so on', 4)) as text")
+    learned = quality.weights(table, marks)
+    # A word that all have is as frequent in the target as in the raw corpus, the number of a document is not.
+    apart = {r.doc_id: r.apart for r in quality.trusted_ids(marks).collect()}
+    level = {i: learned.words[bucket(str(i))] for i in apart}
+    assert min(x for i, x in level.items() if not apart[i]) > sum(x for i, x in level.items() if apart[i]) / sum(apart.values())
+    assert learned.limit > float("-inf")
+
+
 def test_lists_of_words_go(spark):
     folder = "/root/testdata/sf0.01"
     table, marks = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
