@@ -155,15 +155,15 @@ def count_of(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 0, np.maximum(np.ceil(low), (low + 2.0 ** (levels / LEVELS_PER_DOUBLING) - 1) / 2), 0.0)
 
 
-def positions(keys: np.ndarray, levels: np.ndarray, bits: int) -> list[np.ndarray]:
-    """The bits of (key, level): the key chooses one block, so that a block can be made by itself."""
+def positions(keys: np.ndarray, levels: np.ndarray, bits: int, probes: range = range(PROBES)) -> list[np.ndarray]:
+    """The bits of (key, level): the key chooses one block, so that a block can be made by itself. `probes`: which of them."""
     blocks = max(1, bits // BLOCK_BITS)
     width = np.uint64(min(bits, BLOCK_BITS) - 1)
     block = block_of(keys, bits) * np.int64(min(bits, BLOCK_BITS))
     assert blocks * min(bits, BLOCK_BITS) == bits
     h = mix(keys.view(np.uint64) * np.uint64(64) + levels.astype(np.uint64))
     step = (h >> np.uint64(32)) | np.uint64(1)
-    return [block + ((h + np.uint64(i) * step) & width).astype(np.int64) for i in range(PROBES)]
+    return [block + ((h + np.uint64(i) * step) & width).astype(np.int64) for i in probes]
 
 
 def block_of(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -196,10 +196,12 @@ class Model:
         levels = np.zeros(len(keys), dtype=np.int64)
         open_ = np.arange(len(keys))
         while len(open_) and self.bits:
-            seen = np.ones(len(open_), dtype=bool)
-            for at in positions(keys[open_], levels[open_] + 1, self.bits):
-                seen &= (self.filter[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-            open_ = open_[seen]
+            # Most keys that lack a level fail at its first probe; only the others are probed on.
+            for probes in (range(1), range(1, PROBES)):
+                seen = np.ones(len(open_), dtype=bool)
+                for at in positions(keys[open_], levels[open_] + 1, self.bits, probes):
+                    seen &= (self.filter[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+                open_ = open_[seen]
             levels[open_] += 1
             open_ = open_[levels[open_] < 63]
         return count_of(levels)

@@ -117,7 +117,9 @@ def word_hashes(texts: list[bytes], separators: np.ndarray = WHITE) -> tuple[np.
     data = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
     sizes = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
     text_begins = np.concatenate([[0], np.cumsum(sizes)])
-    edge = np.flatnonzero(np.diff(np.concatenate([[True], separators[data]]).astype(np.int8)))
+    outside = separators[data]
+    edge = np.flatnonzero(outside[1:] != outside[:-1]) + 1
+    edge = edge if outside[0] else np.concatenate([[0], edge])
     begins, ends = edge[0::2], edge[1::2]
     starts = np.searchsorted(begins, text_begins)
     if not len(begins):
@@ -127,9 +129,11 @@ def word_hashes(texts: list[bytes], separators: np.ndarray = WHITE) -> tuple[np.
     # One entry per byte of a word: its place within the word.
     total = np.cumsum(lengths)
     firsts = total - lengths
-    places = np.arange(total[-1]) - np.repeat(firsts, lengths)
-    letters = data[places + np.repeat(begins, lengths)]
-    hashes = np.add.reduceat(_BYTE_CODES[letters] * powers[places], firsts)
+    kind = np.int32 if total[-1] < 1 << 31 else np.int64
+    places = np.arange(total[-1], dtype=kind) - np.repeat(firsts.astype(kind), lengths)
+    codes = _BYTE_CODES[data[~outside]]
+    codes *= powers[places]
+    hashes = np.add.reduceat(codes, firsts)
     return mix(hashes + lengths.astype(np.uint64)), starts
 
 

@@ -65,9 +65,9 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPLIT))
 
 
-def shapes(text: Column) -> Column:
-    """The shapes of the words. Small letters come first: most of a text is shorter after that."""
-    return words(reduce(lambda t, kind: F.regexp_replace(t, kind[0], kind[1]), KINDS, text))
+def reduced(text: Column) -> Column:
+    """The text with its words as shapes. Small letters come first: most of a text is shorter after that."""
+    return reduce(lambda t, kind: F.regexp_replace(t, kind[0], kind[1]), KINDS, text)
 
 
 def tail(values: Column) -> Column:
@@ -191,7 +191,8 @@ def taken_apart(table: DataFrame, text: Column) -> DataFrame:
     Those of shapes are `s`, those of words `w`; the latter follow the former.
     """
     names = [c for c in table.columns if c != "text"]
-    counted = features(text, table).withColumn("shape", shapes(text))
+    # A column of its own, as `words` looks at its text more than once.
+    counted = features(text, table).withColumn("reduced", reduced(text)).withColumn("shape", words(F.col("reduced")))
     parts = counted.select(
         *names, *COUNTS, F.monotonically_increasing_id().alias("at"),
         buckets(F.col("shape")).alias("s"),
