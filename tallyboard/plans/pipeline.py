@@ -102,8 +102,8 @@ def _prune(run: Run, name: str, orphans_of, kept_of) -> None:
     if not folders:
         return
     spark = run.store.spark
-    found = orphans_of(run.store.read(name, folders, located=True)).select("folder").distinct().collect()
-    named = {row["folder"] for row in found}
+    found = orphans_of(run.store.read(name, folders, marked=True)).select("place").distinct()
+    named = {row["folder"] for row in run.store.places(folders).join(found, "place").select("folder").distinct().collect()}
     alike: dict[tuple[str, str | None], list[str]] = {}
     for folder in folders:
         mark, own_name, year = folder_parts(folder)

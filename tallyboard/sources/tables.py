@@ -98,11 +98,12 @@ class Store:
         """The folders of each table after the last complete run."""
         return self.last()[1]
 
-    def read(self, name: str, folders: list[str] | None = None, located: bool = False) -> DataFrame:
+    def read(self, name: str, folders: list[str] | None = None, located: bool = False, marked: bool = False) -> DataFrame:
         """A table, in its declared layout if it has one; empty if nothing is stored.
 
         Folders carry a mark of the layout they were written in, so only folders of an older
-        layout are opened to see what is in them. `located` adds the name of each row's folder.
+        layout are opened to see what is in them. `located` adds the name of each row's folder, `marked` only the
+        mark of its file, a number that costs little to carry; `places` tells its folder.
         """
         folders = self.folders().get(name, []) if folders is None else folders
         declared = BASE_TABLES.get(name)
@@ -116,9 +117,18 @@ class Store:
         parts = [self.spark.read.parquet(folder) for folder in folders if folder not in current]
         if current:
             parts.append(self.spark.read.schema(declared).parquet(*current))
-        shaped = [conform(part, declared, self._folder() if located else None) for part in parts]
+        extra = self._folder() if located else self._place() if marked else None
+        shaped = [conform(part, declared, extra) for part in parts]
         return reduce(DataFrame.unionByName, shaped)
 
+    def places(self, folders: list[str]) -> DataFrame:
+        """(place, folder) of each file in the folders, none of them opened."""
+        return self.spark.read.format("binaryFile").load(folders).select(self._place(), self._folder())
+
+    @staticmethod
+    def _place() -> Column:
+        return F.xxhash64("_metadata.file_path").alias("place")
+
     @staticmethod
     def _folder() -> Column:
         return F.regexp_extract("_metadata.file_path", f"([^/]+(?:/{YEAR}[^/]+)?)/[^/]+$", 1).alias("folder")

@@ -230,3 +230,20 @@ def test_a_year_opens_its_own_folders_only(spark, tmp_path):
     assert sorted(r.hole_score_id for r in run.table("hole_scores", 2021).collect()) == sorted(
         {"h0", *[h[0] for h in holes if h[-1] == 2021 and h[1] != "r1"]}
     )
+
+
+def test_orphans_are_found_by_marks_of_files(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "a b+c"))
+    run = Run(store, "a", NOW)
+    holes = [(f"h{i}", None if i == 7 else f"r{i % 4}", i % 3, 4, NOW, NOW, 2020 + i % 3) for i in range(12)]
+    table = spark.createDataFrame(holes, T.StructType([*HOLE_SCORES, T.StructField("year", T.IntegerType())]))
+    run.append_by_year("hole_scores", table)
+    run.append("hole_scores", table.where("raw_score_id = 'r1'").drop("year"))
+    folders = run.folders["hole_scores"]
+    marked = store.read("hole_scores", folders, marked=True)
+    # No text is worked out for a row; a mark leads to the folder that `located` tells.
+    assert "regexp" not in marked._jdf.queryExecution().optimizedPlan().toString()
+    told = store.read("hole_scores", folders, located=True).select("hole_score_id", "folder").collect()
+    found = marked.join(store.places(folders), "place").select("hole_score_id", "folder").collect()
+    assert len({r.folder for r in told}) == 4
+    assert sorted(found) == sorted(told)
