@@ -76,16 +76,25 @@ def record_cells(record: Column) -> Column:
 
 
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All lines that are not blank, with their file and whether they are of its first block."""
+    """All lines that are not blank, with the URI of their file and whether they are of its first block.
+
+    What is the same for all lines of a file, such as its plain path, is worked out per file, not here.
+    """
     return (
         spark.read.text(path)
         .where(F.col("value").rlike(r"\S"))
-        .select(_origin(), "value", (F.col("_metadata.file_block_start") == 0).alias("early"))
+        .select(F.col("_metadata.file_path").alias("origin"), "value", (F.col("_metadata.file_block_start") == 0).alias("early"))
     )
 
 
-def _origin() -> Column:
-    return plain_path(F.col("_metadata.file_path"), F.lit(True)).alias("file_path")
+def _origin(uri: str = "_metadata.file_path") -> Column:
+    return plain_path(F.col(uri), F.lit(True)).alias("file_path")
+
+
+def names_required(record: Column) -> Column:
+    """Whether the key of the whole record holds that of a required column, told without making the key."""
+    spelt = ["[^a-z0-9_]*".join(name) for name in REQUIRED]
+    return F.lower(record).rlike("|".join(spelt))
 
 
 def _torn_records(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -121,7 +130,7 @@ class ExportLayouts(NamedTuple):
     """What a first scan tells of the exports at a place."""
 
     path: str | list[str]
-    # (file_path, known, keys, header, torn), one row per file with rows.
+    # (origin, file_path, known, keys, header, torn), one row per file with rows; origin is its URI.
     files: DataFrame
     # Paths of the files in which cells break lines, as the file system names them.
     torn: list[str]
@@ -136,17 +145,18 @@ def export_layouts(spark: SparkSession, path: str | list[str]) -> ExportLayouts:
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     lines = _lines(spark, path)
     # Only lines that name a required column are taken apart.
-    candidate = F.col("early") & column_key(F.col("value")).rlike("|".join(REQUIRED))
+    candidate = F.col("early") & names_required(F.col("value"))
     cells = F.when(candidate, record_cells(F.col("value")))
     keys = F.transform(cells, column_key)
     known = F.size(F.array_intersect(keys, F.array(*[F.lit(name) for name in REQUIRED])))
-    marked = lines.select("file_path", (quotes % 2 == 1).alias("odd"), cells.alias("cells"), keys.alias("keys"), known.alias("known"))
+    marked = lines.select("origin", (quotes % 2 == 1).alias("odd"), cells.alias("cells"), keys.alias("keys"), known.alias("known"))
     best = F.max(F.when(F.col("known") > 0, F.struct("known", "keys", "cells")))
-    files = _written(marked.groupBy("file_path").agg(F.max("odd").alias("torn"), best.alias("best")), "export_layouts")
+    found = marked.groupBy("origin").agg(F.max("odd").alias("torn"), best.alias("best"))
+    files = _written(found.select("origin", _origin("origin"), "torn", "best"), "export_layouts")
     torn = [row.file_path for row in files.where("torn").select("file_path").collect()]
     whole = _headers(_torn_records(spark, torn)).withColumn("torn", F.lit(True))
-    sound = files.where("not torn").select("file_path", "best.known", "best.keys", F.col("best.cells").alias("header"), "torn")
-    lost = files.where("torn").select("file_path").join(whole, "file_path", "left").withColumn("torn", F.lit(True))
+    sound = files.where("not torn").select("origin", "file_path", "best.known", "best.keys", F.col("best.cells").alias("header"), "torn")
+    lost = files.where("torn").select("origin", "file_path").join(whole, "file_path", "left").withColumn("torn", F.lit(True))
     return ExportLayouts(path, sound.unionByName(lost) if torn else sound, torn)
 
 
@@ -170,18 +180,20 @@ def scan_exports(spark: SparkSession, path: str | list[str], layouts: ExportLayo
     wanted = layouts.files.where(F.col("known") == len(REQUIRED))
     rows = (
         _lines(spark, path)
-        .join(wanted.where("not torn").select("file_path", "header", *places), "file_path")
-        .select("file_path", "header", record_cells(F.col("value")).alias("cells"), *[f"at_{name}" for name in CELLS])
+        .join(wanted.where("not torn").select("origin", "file_path", "header", *places), "origin")
+        .select("file_path", "header", record_cells(F.col("value")).alias("cells"), names_required(F.col("value")).alias("named"), *[f"at_{name}" for name in CELLS])
     )
     if layouts.torn:
-        torn = _torn_records(spark, layouts.torn).drop("place")
+        torn = _torn_records(spark, layouts.torn).drop("place").withColumn("named", F.lit(True))
         rows = rows.unionByName(torn.join(wanted.where("torn").select("file_path", "header", *places), "file_path"))
 
     def cell(name: str) -> Column:
         # array_position counts from 1 and gives 0 for a column the file does not have.
         return F.get("cells", (F.col(f"at_{name}") - 1).cast("int")).alias(name)
 
-    return rows.where(~F.col("cells").eqNullSafe(F.col("header"))).select("file_path", *[cell(name) for name in CELLS])
+    # Only a line that names a required column can be the header; the others are taken apart once, for their cells.
+    is_header = F.when(F.col("named"), F.col("cells").eqNullSafe(F.col("header"))).otherwise(F.lit(False))
+    return rows.where(~is_header).select("file_path", *[cell(name) for name in CELLS])
 
 
 def export_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -343,7 +355,7 @@ def hole_unpivot(rows: DataFrame) -> DataFrame:
             "raw_score_id", *_year(rows), F.lit(0).cast("bigint").alias("hole_number"), F.lit(0).cast("bigint").alias("hole_score")
         ).limit(0)
     filled = F.filter(
-        F.array(*[F.struct(F.lit(name).alias("column"), F.col(name).alias("cell")) for name in holes]),
+        F.array(*[F.struct(hole_number(F.lit(name)).alias("hole"), F.col(name).alias("cell")) for name in holes]),
         lambda hole: hole["cell"].isNotNull(),
     )
     return (
@@ -351,7 +363,7 @@ def hole_unpivot(rows: DataFrame) -> DataFrame:
         .select(
             "raw_score_id",
             *_year(rows),
-            hole_number(F.col("column")).alias("hole_number"),
+            F.col("hole").alias("hole_number"),
             to_int(F.col("cell")).alias("hole_score"),
         )
         .where(F.col("hole_score") != 0)
