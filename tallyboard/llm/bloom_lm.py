@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,7 @@ BITS_PER_ENTRY = 12
 MOST_BITS = 1 << 30
 BLOCK_BITS = 1 << 19
 MOST_BLOCKS = 1 << 11
+INDEX_BITS = 20  # leading bits of a hash that the index of the frequent tokens goes by
 
 END = np.int64(-0x5EED0E5EED0E5EED)  # the hash that stands for the end of a text
 START = np.int64(0x57A2757A2757A275)  # and for what stands before the first token
@@ -155,7 +157,10 @@ def count_of(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 0, np.maximum(np.ceil(low), (low + 2.0 ** (levels / LEVELS_PER_DOUBLING) - 1) / 2), 0.0)
 
 
-def positions(keys: np.ndarray, levels: np.ndarray, bits: int, probes: range = range(PROBES)) -> list[np.ndarray]:
+COUNTS = count_of(np.arange(64))
+
+
+def positions(keys: np.ndarray, levels: np.ndarray | np.uint64, bits: int, probes: range = range(PROBES)) -> list[np.ndarray]:
     """The bits of (key, level): the key chooses one block, so that a block can be made by itself. `probes`: which of them."""
     blocks = max(1, bits // BLOCK_BITS)
     width = np.uint64(min(bits, BLOCK_BITS) - 1)
@@ -184,27 +189,68 @@ class Model:
     bits: int
     whole: bool = True  # whether the filter holds all pairs
 
+    @cached_property
+    def index(self) -> np.ndarray:
+        """Where the frequent tokens with the same leading bits begin."""
+        leading = np.arange(-(1 << (INDEX_BITS - 1)), 1 << (INDEX_BITS - 1)) << (64 - INDEX_BITS)
+        return np.searchsorted(self.frequent, leading).astype(np.int32)
+
+    @cached_property
+    def numbers(self) -> np.ndarray:
+        """Class numbers of the frequent tokens."""
+        return class_of(self.frequent, self.classes).astype(np.int16)
+
+    @cached_property
+    def shares(self) -> tuple[np.ndarray, np.ndarray]:
+        """Log10 probabilities of the frequent tokens in the base model, and the probabilities."""
+        logs = self.smoothed(self.counts)
+        return logs, 10.0**logs
+
+    def places(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of tokens among the frequent ones, and whether they are there at all."""
+        last = len(self.frequent) - 1
+        if last < 0:
+            return np.zeros(len(found), dtype=np.int64), np.zeros(len(found), dtype=bool)
+        at = np.minimum(self.index[(found >> (64 - INDEX_BITS)) + (1 << (INDEX_BITS - 1))], last).astype(np.int64)
+        open_ = np.flatnonzero(self.frequent[at] < found)
+        while len(open_):
+            open_ = open_[at[open_] < last]
+            at[open_] += 1
+            open_ = open_[self.frequent[at[open_]] < found[open_]]
+        return at, self.frequent[at] == found
+
+    def looked_up(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of tokens: counts (-1 if not frequent), class numbers, log10 base probabilities (0 if not frequent) and probabilities."""
+        at, common = self.places(found)
+        if not len(self.frequent):
+            none = np.zeros(len(found))
+            return np.full(len(found), -1, dtype=np.int64), none.astype(np.int64), none, none + 1.0
+        logs, shares = self.shares
+        return (
+            np.where(common, self.counts[at], -1),
+            np.where(common, self.numbers[at], 0).astype(np.int64),
+            np.where(common, logs[at], 0.0),
+            np.where(common, shares[at], 1.0),
+        )
+
     def exact(self, found: np.ndarray) -> np.ndarray:
         """Counts of frequent tokens, -1 for all others."""
-        if not len(self.frequent):
-            return np.full(len(found), -1, dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.frequent, found), len(self.frequent) - 1)
-        return np.where(self.frequent[at] == found, self.counts[at], -1)
+        return self.looked_up(found)[0]
 
     def pair_counts(self, keys: np.ndarray) -> np.ndarray:
         """Counts of pairs, read back from the filter level by level."""
         levels = np.zeros(len(keys), dtype=np.int64)
-        open_ = np.arange(len(keys))
-        while len(open_) and self.bits:
+        open_, left, q = np.arange(len(keys)), keys, 1
+        while len(open_) and self.bits and q < 64:
             # Most keys that lack a level fail at its first probe; only the others are probed on.
             for probes in (range(1), range(1, PROBES)):
                 seen = np.ones(len(open_), dtype=bool)
-                for at in positions(keys[open_], levels[open_] + 1, self.bits, probes):
+                for at in positions(left, np.uint64(q), self.bits, probes):
                     seen &= (self.filter[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-                open_ = open_[seen]
-            levels[open_] += 1
-            open_ = open_[levels[open_] < 63]
-        return count_of(levels)
+                open_, left = open_[seen], left[seen]
+            levels[open_] = q
+            q += 1
+        return COUNTS[levels]
 
     def smoothed(self, n: np.ndarray) -> np.ndarray:
         """The base model's log10 probability of tokens seen so often."""
@@ -339,10 +385,8 @@ def score(documents: DataFrame, training: DataFrame) -> DataFrame:
             for _, step in text_steps(at["text"].to_pylist()):
                 found, starts = tokens(step)
                 texts = np.repeat(np.arange(len(step)), np.diff(starts))
-                exact = m.exact(found)
+                exact, numbers, base, share = m.looked_up(found)
                 common = exact >= 0
-                base = np.where(common, m.smoothed(np.maximum(exact, 0)), 0.0)
-                numbers = class_of(found, m.classes)
                 by_class, by_token = pair_keys(found, starts, numbers)
                 different, back = np.unique(by_class, return_inverse=True)
                 class_pair = m.pair_counts(different)[back]
@@ -362,7 +406,7 @@ def score(documents: DataFrame, training: DataFrame) -> DataFrame:
                 is_open = np.logical_or.reduce(list(lacking.values()))
                 with np.errstate(divide="ignore", invalid="ignore"):
                     p = probability(
-                        pair, class_pair, history, 10.0**base, class_history, class_share[numbers], numbers == 0,
+                        pair, class_pair, history, share, class_history, class_share[numbers], numbers == 0,
                         class_share[0], np.where, lambda x: np.minimum(x, 1.0),
                     )
                 own = np.where(is_open, 0.0, np.log10(np.where(is_open, 1.0, p)))
