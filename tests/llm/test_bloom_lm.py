@@ -101,3 +101,21 @@ def test_scores_do_not_depend_on_what_is_broadcast(spark, monkeypatch):
     found = {r.doc_id: r for r in bloom_lm.score(table, training).collect()}
     apart = sum(abs(found[doc].score - whole[doc].score) for doc in whole)
     assert apart < 0.005 * sum(abs(r.score) for r in whole.values())
+
+
+def test_tokens_are_looked_up_by_leading_bits(monkeypatch):
+    monkeypatch.setattr(bloom_lm, "INDEX_BITS", 3)
+    rng = np.random.default_rng(5)
+    frequent = np.sort(np.concatenate([rng.integers(-(2**63), 2**63 - 1, 200), [-(2**63), 2**63 - 1]]))
+    counts = rng.integers(1, 1000, len(frequent))
+    for size in (len(frequent), 1, 0):
+        most, n = frequent[:size], counts[:size]
+        model = bloom_lm.Model(int(n.sum()), size, most, n, most[::3], np.zeros(2), np.zeros(0, dtype=np.uint8), 0)
+        found = np.concatenate([frequent, rng.integers(-(2**63), 2**63 - 1, 300), frequent[:-1] + 1, frequent[1:] - 1])
+        known = dict(zip(most.tolist(), n.tolist(), strict=True))
+        exact, numbers, logs, shares = model.looked_up(found)
+        assert exact.tolist() == [known.get(t, -1) for t in found.tolist()]
+        assert numbers.tolist() == bloom_lm.class_of(found, model.classes).tolist()
+        expected = np.where(exact >= 0, model.smoothed(np.maximum(exact, 0)), 0.0)
+        assert logs.tolist() == expected.tolist()
+        assert shares.tolist() == (10.0**expected).tolist()
