@@ -61,9 +61,12 @@ class Tables:
 
     @property
     def events(self):
-        return self._once(
-            "events", lambda: maintain.apply_event_updates(self.league_events, self.event_updates, RUN_TIME)
-        )
+        def make() -> DataFrame:
+            before = self.stored("league_events")
+            updates = standin(self.spark, self.folder, "event_updates", league_events=before)
+            return maintain.apply_event_updates(before, updates, RUN_TIME)
+
+        return self._once("events", make)
 
     def stored(self, name: str) -> DataFrame:
         """A table as later steps find it: written, not described."""
@@ -90,14 +93,14 @@ class Tables:
     def rounds(self):
         return self._once(
             "rounds",
-            lambda: handicap.league_rounds(self.stored("raw_scores"), self.stored("events"), self.leagues, AS_OF),
+            lambda: handicap.league_rounds(self.stored("raw_scores"), self.stored("events"), self.stored("leagues"), AS_OF),
         )
 
     @property
     def handicaps(self):
         return self._once(
             "handicaps",
-            lambda: handicaps(self.stored("raw_scores"), self.stored("events"), self.leagues, AS_OF, RUN_TIME),
+            lambda: handicaps(self.stored("raw_scores"), self.stored("events"), self.stored("leagues"), AS_OF, RUN_TIME),
         )
 
     @property
@@ -120,7 +123,7 @@ class Tables:
                 self.stored("handicaps"),
                 self.payouts,
                 self.stored("events"),
-                self.leagues,
+                self.stored("leagues"),
                 PAYOUT_FROM_YEAR,
             ),
         )
@@ -129,7 +132,9 @@ class Tables:
     def season_events(self):
         return self._once(
             "season_events",
-            lambda: season.season_event_summary(self.stored("events"), self.stored("adjusted"), self.leagues, SEASON),
+            lambda: season.season_event_summary(
+                self.stored("events"), self.stored("adjusted"), self.stored("leagues"), SEASON
+            ),
         )
 
     @property
@@ -295,7 +300,8 @@ def season_log(t):
 
 @registered
 def season_hole_scores(t):
-    return season.season_hole_scores(t.stored("adjusted"), t.season_events, t.leagues, t.hole_scores, SEASON)
+    leagues = t.stored("leagues")
+    return season.season_hole_scores(t.stored("adjusted"), t.stored("season_events"), leagues, t.hole_scores, SEASON)
 
 
 # --- lookups and intake ------------------------------------------------------

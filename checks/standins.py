@@ -225,11 +225,14 @@ def given(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def standin(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def standin(spark: SparkSession, folder: str, name: str, **made: DataFrame) -> DataFrame:
+    """A stand-in from its SQL text; `made` are those it builds on that exist already."""
+    if name in made:
+        return made[name]
     if name in GIVEN:
         return given(spark, folder, name)
     text = TEXTS[name]
-    return spark.sql(text, **{need: standin(spark, folder, need) for need in _needs(text)})
+    return spark.sql(text, **{need: standin(spark, folder, need, **made) for need in _needs(text)})
 
 
 def ctes(*names: str) -> str:

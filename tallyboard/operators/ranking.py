@@ -33,13 +33,18 @@ def with_rank(rows: DataFrame, group: list[str], value: str, name: str, descendi
     return join_groups(rows, ranks, [*group, value])
 
 
-def with_running_total(rows: DataFrame, group: list[str], day: str, amount: str, name: str) -> DataFrame:
-    """Add the group's total up to and including each row's day.
+def running_totals(rows: DataFrame, group: list[str], day: str, amount: str, name: str, by_year: bool = False) -> DataFrame:
+    """One row per group and day: the group's total up to and including the day, `by_year` since the year began.
 
     Rows of one day share the total, so the window needs one row per day and group: at most
-    366 a year, however many rows a day has.
+    366 a year, however many rows a day has. The year follows from the day and is not carried along.
     """
-    daily = rows.groupBy(*group, day).agg(F.sum(amount).alias("_day_total"))
-    so_far = W.partitionBy(*group).orderBy(day).rowsBetween(W.unboundedPreceding, 0)
-    totals = daily.select(*group, day, F.sum("_day_total").over(so_far).alias(name))
-    return join_groups(rows, totals, [*group, day])
+    daily = rows.groupBy(*group, day).agg(F.sum(amount).alias("_day_total")).repartition(*group)
+    whole = [*group, F.year(day)] if by_year else group
+    so_far = W.partitionBy(*whole).orderBy(day).rowsBetween(W.unboundedPreceding, 0)
+    return daily.select(*group, day, F.sum("_day_total").over(so_far).alias(name))
+
+
+def with_running_total(rows: DataFrame, group: list[str], day: str, amount: str, name: str) -> DataFrame:
+    """Add the group's total up to and including each row's day."""
+    return join_groups(rows, running_totals(rows, group, day, amount, name), [*group, day])

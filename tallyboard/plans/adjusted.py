@@ -12,7 +12,7 @@ from tallyboard.operators.placing import (
     with_adjusted_score,
     with_pot_share,
 )
-from tallyboard.operators.ranking import with_running_total
+from tallyboard.operators.ranking import running_totals
 from tallyboard.sources.tables import staged
 
 
@@ -24,7 +24,13 @@ def adjusted_scores(
     leagues: DataFrame,
     payout_from_year: int = 2016,
 ) -> DataFrame:
-    scored = with_adjusted_score(raw_scores, handicaps)
+    """Rounds meet their handicaps once, in the table written here.
+
+    Results are written too, one row per distinct score of a field: their size is then known before the rounds
+    are touched, so where they are small the rounds get them without a shuffle. Like rows stand together, by score
+    at first and by day in the end, as that makes shuffles and files smaller.
+    """
+    scored = staged(with_adjusted_score(raw_scores, handicaps).sortWithinPartitions(*SCORE), "scored_rounds")
     event_terms = events.select(
         "event_id", "event_end_date", "is_excluded_from_points", "points_multiplier", "buy_in_override_ammt"
     )
@@ -37,22 +43,21 @@ def adjusted_scores(
             *SCORE,
             "league_name",
             "event_end_date",
-            F.year("event_end_date").alias("year"),
             "place",
             points().alias("points"),
             payout(payout_from_year).alias("payout"),
         )
     )
-    # Both the daily totals and the rows they are joined to start from here.
-    rounds = staged(join_groups(scored, results, SCORE), "placed_rounds")
-    season = ["league_id", "division", "player_username", "year"]
-    return with_running_total(rounds, season, "event_end_date", "points", "season_points_as_of_event").select(
+    rounds = join_groups(scored, staged(results, "score_results"), SCORE)
+    player, day, total = ["league_id", "division", "player_username"], "event_end_date", "season_points_as_of_event"
+    totals = running_totals(rounds, player, day, "points", total, by_year=True)
+    return join_groups(rounds, totals, ["league_id", "division", day, "player_username"]).select(
         "raw_score_id",
         "event_id",
         "league_id",
         "league_name",
         "event_end_date",
-        "year",
+        F.year("event_end_date").alias("year"),
         "division",
         "player_name",
         "player_username",

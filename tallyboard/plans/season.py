@@ -170,18 +170,44 @@ def season_log(
     )
 
 
+# A filter of ids: this many words of 64 marks, 4 MB of them at most.
+MARK_WORDS = 2**19
+
+
+def with_marks(rows: DataFrame, key: str) -> DataFrame:
+    """Add the word and the bit that stand for the key in a filter."""
+    slot = F.pmod(F.xxhash64(key), F.lit(MARK_WORDS * 64))
+    return rows.withColumns({"_word": F.shiftright(slot, 6).cast("int"), "_bit": slot.bitwiseAND(63).cast("int")})
+
+
+def likely_in(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is among the keys, and some more: with 5 million keys about one in seven of the others.
+
+    For large tables of which a join keeps little: what cannot match goes before the shuffle. The more keys there
+    are, the more rows stay; none that matches is lost.
+    """
+    marks = with_marks(keys, key).groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_marks"))
+    # A hint, as only the code knows how small this stays; shuffled, the filter would be pointless.
+    marked = with_marks(rows, key).join(F.broadcast(marks), "_word")
+    return marked.where(F.getbit("_marks", "_bit") == 1).select(*rows.columns)
+
+
 def season_hole_scores(
     adjusted: DataFrame, season_events: DataFrame, leagues: DataFrame, hole_scores: DataFrame, season: int
 ) -> DataFrame:
-    """Hole by hole scores of the season's rounds."""
+    """Hole by hole scores of the season's rounds.
+
+    Holes of other rounds are dropped before the join, also where hole scores are not kept by year.
+    """
     calendar = season_events.where(F.col("year") == season).select("event_id", "event_name", "event_end_date", "year")
+    played = adjusted.where(F.col("year") == season)
     rounds = (
-        adjusted.where(F.col("year") == season)
-        .select("raw_score_id", "event_id", "league_id", "player_username", "player_name")
+        played.select("raw_score_id", "event_id", "league_id", "player_username", "player_name")
         .join(calendar, "event_id")
         .join(leagues.select("league_id", "league_name"), "league_id")
     )
-    return hole_scores.select("raw_score_id", "hole_number", "hole_score").join(rounds, "raw_score_id").select(
+    holes = hole_scores.select("raw_score_id", "hole_number", "hole_score")
+    return likely_in(holes, played.select("raw_score_id"), "raw_score_id").join(rounds, "raw_score_id").select(
         "player_username",
         "player_name",
         F.concat("player_name", F.lit(" ("), "player_username", F.lit(")")).alias("player_display_name"),

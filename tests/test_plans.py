@@ -54,6 +54,19 @@ def test_windows_see_days_and_scores_not_rounds(spark):
             assert next(m.group(1) for m in following if m) != "FileScan"
 
 
+def test_rounds_get_results_without_a_shuffle_by_score(spark):
+    """The results of distinct scores are written first, so Spark knows that they are small."""
+    raw, events, leagues = crowded_world().frames(spark)
+    strokes = handicaps(raw, events, leagues, TODAY, NOW)
+    plan = plan_text(adjusted_scores(raw, strokes, payout_ladder(spark, NOW), events, leagues, 2025))
+    assert "scored_rounds" in plan and "score_results" in plan
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "adjusted_score#" in line]
+
+
+def test_events_and_overrides_come_from_written_events(spark):
+    assert "orders.parquet" not in plan_text(Tables(spark, FOLDER).events)
+
+
 def crowded_world():
     """One event, one shared name and one score hold most of the rounds."""
     world = random_world(5, rounds=120)

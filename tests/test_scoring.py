@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyboard import schemas
 from tallyboard.operators import placing
 from tallyboard.operators.handicap import considered_rounds, league_rounds, player_days, receiving_rounds
-from tallyboard.operators.ranking import with_rank, with_running_total
+from tallyboard.operators.ranking import running_totals, with_rank, with_running_total
 from tallyboard.plans.adjusted import adjusted_scores
 from tallyboard.plans.handicaps import handicaps
 from tallyboard.sources.payouts import field_ladders, payout_ladder, pot_share
@@ -203,3 +203,16 @@ def test_every_field_has_its_rungs_or_none(spark):
     fields = spark.createDataFrame([(4,), (4,), (101,), (None,)], "n_players long")
     rows = field_ladders(fields, payout_ladder(spark, NOW)).collect()
     assert sorted((r.n_players or 0, r.position or 0) for r in rows) == [(0, 0), (4, 1), (4, 2), (101, 0)]
+
+
+def test_totals_by_year_start_anew_and_carry_no_year(spark):
+    rows = [("a", date(2025, 12, 30), 1), ("a", date(2025, 12, 31), 2), ("a", date(2025, 12, 31), 4), ("a", date(2026, 1, 1), 8),
+            (None, date(2026, 1, 1), 16), (None, date(2026, 1, 2), 32), ("a", None, 64), ("b", None, None)]
+    table = spark.createDataFrame(rows, "grp string, day date, amount int")
+    totals = running_totals(table, ["grp"], "day", "amount", "total", by_year=True)
+    assert {(r.grp, r.day, r.total) for r in totals.collect()} == {
+        ("a", date(2025, 12, 30), 1), ("a", date(2025, 12, 31), 7), ("a", date(2026, 1, 1), 8),
+        (None, date(2026, 1, 1), 16), (None, date(2026, 1, 2), 48), ("a", None, 64), ("b", None, None),
+    }
+    plan = totals._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "year(" in plan[: plan.index("Exchange hashpartitioning")]

@@ -92,6 +92,31 @@ def test_hole_scores_of_the_season(spark):
     ]
 
 
+def test_a_filter_of_ids_loses_no_match(spark):
+    keys = spark.createDataFrame([(f"r{i}",) for i in range(0, 3000, 3)] + [("r0",), (None,)], "id string")
+    rows = spark.createDataFrame([(f"r{i}", i) for i in range(3000)] + [("r0", -1), (None, -2)], "id string, n int")
+    kept = {(r.id, r.n) for r in season.likely_in(rows, keys, "id").collect()}
+    assert kept >= {(f"r{i}", i) for i in range(0, 3000, 3)} | {("r0", -1)}
+    assert len(kept) < 1100
+    assert season.likely_in(rows, keys.limit(0), "id").count() == 0
+
+
+def test_holes_of_other_rounds_are_not_shuffled(spark):
+    """With every join shuffled, the holes meet the filter below the shuffle by round."""
+    world = small_world()
+    adjusted, calendar, *_ = reports(spark, world)
+    holes = frame(spark, [dict(hole_score_id="h", raw_score_id="r1", hole_number=1, hole_score=3)], schemas.HOLE_SCORES)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = season.season_hole_scores(adjusted, calendar, world.frames(spark)[2], holes, SEASON)
+        lines = table._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffled = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(raw_score_id" in line]
+    assert shuffled
+    assert any("getbit" in line for line in lines[shuffled[0]:shuffled[1]])
+
+
 def test_random_seasons_add_up(spark):
     adjusted, calendar, players, log = reports(spark, random_world(11, rounds=300))
     in_season = adjusted.where(F.year("event_end_date") == SEASON).cache()
