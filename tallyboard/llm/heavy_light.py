@@ -122,25 +122,36 @@ def slot_table(parts: DataFrame, finish) -> np.ndarray:
     """Counts per slot, summed over all parts on the executors; `finish` makes bytes of the sums of a range."""
 
     def add(batches: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.RecordBatch]:
-        """Sums the counts of each range; the partition's rows come in any order."""
-        tables: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for place, low, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                table = tables.setdefault(place, np.zeros(1 << RANGE_BITS, dtype=np.uint32))
-                table[np.frombuffer(low, dtype=np.uint16)] += np.frombuffer(counts, dtype=np.uint32)
-        for place, table in tables.items():
+        """Sums the counts of each range. Rows come sorted by range, so one range is held, however many a task has."""
+
+        def out() -> pa.RecordBatch:
             at = np.flatnonzero(table)
             low, counts = (b"", finish(table)) if last else (at.astype(np.uint16).tobytes(), table[at])
-            columns = [pa.array([place], pa.int32()), pa.array([low], pa.binary()), pa.array([counts.tobytes()], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["place", "low", "counts"])
+            columns = [pa.array([held], pa.int32()), pa.array([low], pa.binary()), pa.array([counts.tobytes()], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["place", "low", "counts"])
+
+        held, table = None, np.zeros(1 << RANGE_BITS, dtype=np.uint32)
+        for batch in batches:
+            for place, low, counts in zip(*batch.columns, strict=True):
+                place = place.as_py()
+                if place != held and held is not None:
+                    yield out()
+                    table[:] = 0
+                held = place
+                table[np.frombuffer(low.as_buffer(), dtype=np.uint16)] += np.frombuffer(counts.as_buffer(), dtype=np.uint32)
+        if held is not None:
+            yield out()
+
+    def by_range(rows: DataFrame, *others: str) -> DataFrame:
+        return rows.repartition("place", *others).select("place", "low", "counts").sortWithinPartitions("place")
 
     width = shuffle_width(parts.sparkSession) // RANGES
     if width > 1:  # a range is summed in several tasks first
-        salted = parts.withColumn("salt", F.spark_partition_id() % width).repartition("place", "salt").drop("salt")
+        salted = by_range(parts.withColumn("salt", F.spark_partition_id() % width), "salt")
         parts = salted.mapInArrow(lambda batches: add(batches, False), COUNTS)
     blank = finish(np.zeros(1 << RANGE_BITS, dtype=np.uint32))
     table = np.tile(blank, (RANGES, 1))
-    for row in parts.repartition("place").mapInArrow(lambda batches: add(batches, True), COUNTS).select("place", "counts").collect():
+    for row in by_range(parts).mapInArrow(lambda batches: add(batches, True), COUNTS).select("place", "counts").collect():
         table[row.place] = np.frombuffer(row.counts, dtype=np.uint8)
     return table.reshape(-1)
 

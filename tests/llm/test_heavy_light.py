@@ -1,10 +1,13 @@
 """The size-aware set join against all pairs, on both sides of its boundary."""
 
 import random
+import re
 from collections import Counter
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyboard.llm import heavy_light as hl
@@ -126,6 +129,33 @@ def test_frequencies_put_shared_shingles_last(spark):
     assert all(len(p) <= 5 for p in prefixes)
 
 
+def test_ranges_of_a_task_are_summed_one_at_a_time(spark):
+    """All ranges in one task, as adaptive execution deals a small input: their tables together would be 512 MB."""
+    pages = np.arange(10, 1 << hl.RANGE_BITS, 1024)  # so that all of a table's memory is touched
+    one = lambda places, by: pa.RecordBatch.from_arrays(
+        [
+            pa.array(places, pa.int32()),
+            pa.array([np.array([p % 7, 9, *pages], dtype=np.uint16).tobytes() for p in places], pa.binary()),
+            pa.array([np.array([p % 5 + by, by, *np.ones_like(pages)], dtype=np.uint32).tobytes() for p in places], pa.binary()),
+        ],
+        names=["place", "low", "counts"],
+    )
+    places = list(range(hl.RANGES))
+    rows = [one(places, 1), one(places[::-1], 2)]
+    parts = spark.createDataFrame([(i,) for i in range(2)], "i int").mapInArrow(
+        lambda batches: (rows[i] for batch in batches for i in batch.column(0).to_pylist()), hl.COUNTS
+    )
+
+    def finish(table):
+        held = int(re.search(r"VmRSS:\s+(\d+)", Path("/proc/self/status").read_text())[1]) // 1024
+        return np.array([min(255, held // 4), int(table.sum() % 256), table[9]], dtype=np.uint8)
+
+    found = hl.slot_table(parts, finish).reshape(hl.RANGES, -1)
+    assert found[:, 1].tolist() == [2 * (p % 5) + 6 + 2 * len(pages) for p in places]
+    assert found[:, 2].tolist() == [3] * len(places)
+    assert int(found[:, 0].max()) * 4 < 500
+
+
 def test_lone_entries_leave_whatever_the_batches(spark):
     rng = random.Random(12)
     classes = []
