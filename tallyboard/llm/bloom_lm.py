@@ -29,10 +29,11 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyboard.llm.common import mix, prepare, stage, text_steps, texts_of, word_hashes
+from tallyboard.session import shuffle_width
 
 FREQUENT = 1 << 20
 CLASSES = 4095
@@ -43,6 +44,8 @@ BITS_PER_ENTRY = 12
 MOST_BITS = 1 << 30
 BLOCK_BITS = 1 << 19
 MOST_BLOCKS = 1 << 11
+READ_AT_ONCE = 1 << 15  # pairs whose levels are read together
+UNREAD = 255
 INDEX_BITS = 20  # leading bits of a hash that the index of the frequent tokens goes by
 
 END = np.int64(-0x5EED0E5EED0E5EED)  # the hash that stands for the end of a text
@@ -61,22 +64,28 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.concatenate([k for k, _ in parts])
-    unique, at = np.unique(keys, return_inverse=True)
-    return unique, np.bincount(at, weights=np.concatenate([n for _, n in parts])).astype(np.int64)
+    """The sums of counts with the same key; keys ascending."""
+    keys, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(keys, kind="stable")  # fast where the parts are ascending
+    keys, n = keys[order], n[order]
+    new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+    return keys[new], np.add.reduceat(n, new) if len(new) else n
 
 
 def counted(texts: DataFrame, classes: np.ndarray | None = None) -> DataFrame:
-    """(key, n) over all texts: counts of tokens or, with the classes given, of their pairs and class pairs.
+    """Counts over all texts: (key, n) of tokens or, with the classes given, `PACKED` ones of their pairs and class pairs.
 
     Each task adds up its counts before they are shuffled, in pieces of bounded size.
     """
-    sent = texts.sparkSession.sparkContext.broadcast(classes)
+    sent, parts_of_keys = texts.sparkSession.sparkContext.broadcast(classes), key_parts(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple[np.ndarray, np.ndarray]] = []
 
         def out(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+            if sent.value is not None:
+                yield from packed(keys, n, parts_of_keys)
+                return
             for i in range(0, len(keys), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 100_000]), pa.array(n[i : i + 100_000])], names=["key", "n"])
 
@@ -94,12 +103,91 @@ def counted(texts: DataFrame, classes: np.ndarray | None = None) -> DataFrame:
         if parts:
             yield from out(*_merged(parts))
 
-    found = texts.select("text").mapInArrow(run, "key long, n long")
     if classes is None:
-        return found.groupBy("key").agg(F.sum("n").alias("n"))
-    # Dealt by the blocks of the largest filter, so that later each block is made by few tasks.
-    dealt = found.withColumn("part", F.col("key").bitwiseAND(MOST_BLOCKS - 1)).repartition("part")
-    return dealt.groupBy("part", "key").agg(F.sum("n").alias("n")).select("key", "n")
+        return texts.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return summed(texts.select("text").mapInArrow(run, PACKED))
+
+
+# Keys with the same low bits and their counts in one row, as 64-bit integers.
+PACKED = "part int, keys binary, n binary"
+# Summed up: with the level of each count in a byte.
+LEVELS = "part int, keys binary, levels binary"
+
+
+def key_parts(spark: SparkSession) -> int:
+    """How many parts keys are dealt into, a power of two: several a task, and none of them in two blocks of the filter."""
+    return max(MOST_BLOCKS, 1 << (4 * shuffle_width(spark)).bit_length())
+
+
+def packed(keys: np.ndarray, n: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """`PACKED` rows of the counts, a part each."""
+    part = (keys & (parts - 1)).astype(np.uint16 if parts <= 1 << 16 else np.uint32)
+    order = np.argsort(part, kind="stable")
+    found, sizes = np.unique(part[order], return_counts=True)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    keys, n = keys[order], n[order].astype(np.int64)
+    for i in range(0, len(found), 256):
+        last = min(i + 256, len(found))
+        inside = slice(ends[i], ends[last])
+        offsets = pa.py_buffer(((ends[i : last + 1] - ends[i]) * 8).astype(np.int32))
+        binary = [pa.Array.from_buffers(pa.binary(), last - i, [None, offsets, pa.py_buffer(x[inside].copy())]) for x in (keys, n)]
+        yield pa.RecordBatch.from_arrays([pa.array(found[i:last].astype(np.int32)), *binary], names=["part", "keys", "n"])
+
+
+def summed(counts: DataFrame) -> DataFrame:
+    """`LEVELS` rows of `PACKED` ones. A task holds one part at a time; a part comes in pieces of bounded size."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, pieces = None, []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            keys, n = _merged(pieces)
+            for i in range(0, len(keys), 100_000):
+                values = [[held], [keys[i : i + 100_000].tobytes()], [level(n[i : i + 100_000]).astype(np.uint8).tobytes()]]
+                columns = [pa.array(x, kind) for x, kind in zip(values, (pa.int32(), pa.binary(), pa.binary()), strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["part", "keys", "levels"])
+
+        for batch in batches:
+            for part, keys, n in zip(*batch.columns, strict=True):
+                part = part.as_py()
+                if part != held and pieces:
+                    yield from out()
+                    pieces.clear()
+                held = part
+                # Copies, so that a piece does not keep its batch.
+                pieces.append(tuple(np.frombuffer(x.as_buffer(), dtype=np.int64).copy() for x in (keys, n)))
+        if pieces:
+            yield from out()
+
+    return counts.repartition("part").sortWithinPartitions("part").mapInArrow(add, LEVELS)
+
+
+def pairs_by_level(counts: DataFrame) -> dict[int, int]:
+    """How many pairs of `LEVELS` rows have each level."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(256, dtype=np.int64)
+        for batch in batches:
+            for levels in batch.column(0):
+                total += np.bincount(np.frombuffer(levels.as_buffer(), dtype=np.uint8), minlength=256)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["level", "pairs"])
+
+    rows = counts.select("levels").mapInArrow(run, "level long, pairs long").groupBy("level").agg(F.sum("pairs").alias("pairs"))
+    return {r.level: r.pairs for r in rows.collect()}
+
+
+def below_level(counts: DataFrame, least: int) -> DataFrame:
+    """(key, n) of the pairs of `LEVELS` rows below a level, with the counts that their levels stand for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for keys, levels in zip(*batch.columns, strict=True):
+                keys, levels = np.frombuffer(keys.as_buffer(), dtype=np.int64), np.frombuffer(levels.as_buffer(), dtype=np.uint8)
+                some = levels < least
+                yield pa.RecordBatch.from_arrays([pa.array(keys[some]), pa.array(COUNTS[levels[some]])], names=["key", "n"])
+
+    return counts.select("keys", "levels").mapInArrow(run, "key long, n double")
 
 
 def class_of(found: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -139,18 +227,6 @@ def level(n: np.ndarray) -> np.ndarray:
     return np.where(n > 0, 1 + np.floor(LEVELS_PER_DOUBLING * np.log2(np.maximum(n, 1)) + 1e-9), 0).astype(np.int64)
 
 
-def level_column(n: str = "n") -> Column:
-    """`level` of a column of counts above 0."""
-    return F.lit(1) + F.floor(LEVELS_PER_DOUBLING * F.log2(F.col(n)) + 1e-9)
-
-
-def quantised(n: str = "n") -> Column:
-    """`count_of` the level of a column of counts above 0."""
-    low = F.pow(F.lit(2.0), (level_column(n) - 1) / LEVELS_PER_DOUBLING)
-    following = F.pow(F.lit(2.0), level_column(n) / LEVELS_PER_DOUBLING)
-    return F.greatest(F.ceil(low).cast("double"), (low + following - 1) / 2)
-
-
 def count_of(levels: np.ndarray) -> np.ndarray:
     """The count a level stands for: the middle of those that have it."""
     low = 2.0 ** ((levels - 1) / LEVELS_PER_DOUBLING)
@@ -160,15 +236,15 @@ def count_of(levels: np.ndarray) -> np.ndarray:
 COUNTS = count_of(np.arange(64))
 
 
-def positions(keys: np.ndarray, levels: np.ndarray | np.uint64, bits: int, probes: range = range(PROBES)) -> list[np.ndarray]:
-    """The bits of (key, level): the key chooses one block, so that a block can be made by itself. `probes`: which of them."""
+def positions(keys: np.ndarray, levels: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The bits of (key, level): the key chooses one block, so that a block can be made by itself."""
     blocks = max(1, bits // BLOCK_BITS)
     width = np.uint64(min(bits, BLOCK_BITS) - 1)
     block = block_of(keys, bits) * np.int64(min(bits, BLOCK_BITS))
     assert blocks * min(bits, BLOCK_BITS) == bits
     h = mix(keys.view(np.uint64) * np.uint64(64) + levels.astype(np.uint64))
     step = (h >> np.uint64(32)) | np.uint64(1)
-    return [block + ((h + np.uint64(i) * step) & width).astype(np.int64) for i in probes]
+    return [block + ((h + np.uint64(i) * step) & width).astype(np.int64) for i in range(PROBES)]
 
 
 def block_of(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -239,18 +315,54 @@ class Model:
 
     def pair_counts(self, keys: np.ndarray) -> np.ndarray:
         """Counts of pairs, read back from the filter level by level."""
-        levels = np.zeros(len(keys), dtype=np.int64)
-        open_, left, q = np.arange(len(keys)), keys, 1
-        while len(open_) and self.bits and q < 64:
+        return COUNTS[self.levels(keys)]
+
+    def class_pair_counts(self, keys: np.ndarray) -> np.ndarray:
+        """Counts of class pairs, which come again and again: levels once read are kept (16 MB)."""
+        found = self.class_pair_levels[keys]
+        new = np.unique(keys[found == UNREAD])
+        if len(new):
+            self.class_pair_levels[new] = self.levels(new)
+            found = self.class_pair_levels[keys]
+        return COUNTS[found]
+
+    @cached_property
+    def class_pair_levels(self) -> np.ndarray:
+        return np.full((CLASSES + 2) ** 2, UNREAD, dtype=np.uint8)
+
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """Levels of pairs, 0 for those the filter lacks."""
+        levels = np.zeros(len(keys), dtype=np.uint8)
+        if self.bits:
+            for i in range(0, len(keys), READ_AT_ONCE):
+                self._read(keys[i : i + READ_AT_ONCE], levels[i : i + READ_AT_ONCE])
+        return levels
+
+    def _read(self, keys: np.ndarray, levels: np.ndarray) -> None:
+        # The bits are those of `positions`, worked out one after the other.
+        width = np.uint64(min(self.bits, BLOCK_BITS) - 1)
+        block = block_of(keys, self.bits).view(np.uint64) * (width + np.uint64(1))
+        base, open_ = keys.view(np.uint64) * np.uint64(64), np.arange(len(keys))
+
+        def marked(block: np.ndarray, h: np.ndarray) -> np.ndarray:
+            at = ((h & width) + block).view(np.int64)
+            return (self.filter[at >> 3] >> (at & 7).astype(np.uint8) & np.uint8(1)).view(bool)
+
+        q = 1
+        while len(open_) and q < 64:
+            h = mix(base + np.uint64(q))
             # Most keys that lack a level fail at its first probe; only the others are probed on.
-            for probes in (range(1), range(1, PROBES)):
-                seen = np.ones(len(open_), dtype=bool)
-                for at in positions(left, np.uint64(q), self.bits, probes):
-                    seen &= (self.filter[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-                open_, left = open_[seen], left[seen]
+            left = np.flatnonzero(marked(block, h))
+            base, block, open_, h = base[left], block[left], open_[left], h[left]
+            step = (h >> np.uint64(32)) | np.uint64(1)
+            seen = np.ones(len(left), dtype=bool)
+            for _ in range(1, PROBES):
+                h += step
+                seen &= marked(block, h)
+            if not seen.all():
+                base, block, open_ = base[seen], block[seen], open_[seen]
             levels[open_] = q
             q += 1
-        return COUNTS[levels]
 
     def smoothed(self, n: np.ndarray) -> np.ndarray:
         """The base model's log10 probability of tokens seen so often."""
@@ -286,18 +398,18 @@ def learn(training: DataFrame) -> tuple[Model, DataFrame]:
     ends = words.where(F.col("key") == int(END)).first()
     class_counts[-1] = ends.n if ends else 0
     pair_counts = stage(counted(training, keys[own]), "pair_counts")
-    levels = pair_counts.groupBy(level_column().alias("level")).agg(F.count("*").alias("pairs")).collect()
+    levels = pairs_by_level(pair_counts)
     least_level, room = 1, MOST_BITS // BITS_PER_ENTRY
-    for row in sorted(levels, key=lambda r: -r.level):
-        room -= row.level * row.pairs
+    for q in sorted(levels, reverse=True):
+        room -= q * levels[q]
         if room < 0:
-            least_level = row.level + 1
+            least_level = q + 1
             break
-    bits, made = build_filter(pair_counts.where(level_column() >= least_level))
+    entries = sum(q * n for q, n in levels.items() if q >= least_level)
+    bits, made = filter_of(pair_counts, entries, least_level)
     model = Model(total, distinct, keys, n, keys[own], class_counts, made, bits, room >= 0)
     rest = words.where(eighth < least).select("key", F.col("n").cast("double").alias("n"))
-    other = pair_counts.where(level_column() < least_level).select("key", quantised().alias("n"))
-    return model, rest if model.whole else rest.unionByName(other)
+    return model, rest if model.whole else rest.unionByName(below_level(pair_counts, least_level))
 
 
 def distinct_pairs(keys: np.ndarray, texts: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -310,37 +422,46 @@ def distinct_pairs(keys: np.ndarray, texts: np.ndarray, rows: int) -> tuple[np.n
 
 
 def build_filter(counts: DataFrame) -> tuple[int, np.ndarray]:
-    """The filter of the pair counts: its size follows the entries; tasks make blocks, which are put together."""
-    entries = counts.agg(F.sum(level_column())).first()[0]
+    """The filter of counts (key, n), whatever their number allows."""
+    parts = key_parts(counts.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from packed(batch.column(0).to_numpy(), batch.column(1).to_numpy(), parts)
+
+    table = summed(counts.select("key", "n").mapInArrow(run, PACKED))
+    return filter_of(table, sum(q * n for q, n in pairs_by_level(table).items()))
+
+
+def filter_of(counts: DataFrame, entries: int, least: int = 1) -> tuple[int, np.ndarray]:
+    """The filter of `LEVELS` rows from a level on: its size follows the entries; tasks make blocks, which are put together."""
     if not entries:
         return 0, np.zeros(0, dtype=np.uint8)
     bits = min(MOST_BITS, 1 << int(np.ceil(np.log2(entries * BITS_PER_ENTRY))))
-
-    size = min(bits, BLOCK_BITS) // 8
+    inside = min(bits, BLOCK_BITS)
+    size = inside // 8
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made, met, held = np.zeros(bits // 8, dtype=np.uint8), set(), []
-
-        def put() -> None:
-            part = pa.Table.from_batches(held)
-            keys, most = part.column("key").to_numpy(), level(part.column("n").to_numpy())
-            for q in range(1, int(most.max(initial=0)) + 1):
-                keys, most = keys[most >= q], most[most >= q]
-                for at in positions(keys, np.full(len(keys), q), bits):
-                    np.bitwise_or.at(made, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
-            met.update(np.unique(block_of(part.column("key").to_numpy(), bits)).tolist())
-            held.clear()
-
+        made: dict[int, np.ndarray] = {}
         for batch in batches:
-            held.append(batch)
-            if len(held) * batch.num_rows > 200_000:
-                put()
-        if held:
-            put()
-        for block in sorted(met):
-            yield pa.RecordBatch.from_pydict({"block": [block], "made": [made[block * size : (block + 1) * size].tobytes()]})
-
-    blocks = stage(counts.select("key", "n").mapInArrow(fill, "block long, made binary"), "blocks")
+            for keys, levels in zip(*batch.columns, strict=True):
+                keys, levels = np.frombuffer(keys.as_buffer(), dtype=np.int64), np.frombuffer(levels.as_buffer(), dtype=np.uint8)
+                some = levels >= least
+                keys, levels = keys[some], levels[some].astype(np.int64)
+                if not len(keys):
+                    continue
+                block = int(block_of(keys[:1], bits)[0])  # all keys of a part go to one
+                ends = np.cumsum(levels)
+                numbers = np.arange(1, ends[-1] + 1) - np.repeat(ends - levels, levels)  # 1 up to the level of each key
+                marks = np.zeros(inside, dtype=bool)
+                for at in positions(np.repeat(keys, levels), numbers, bits):
+                    marks[at & (inside - 1)] = True
+                marks = np.packbits(marks, bitorder="little")
+                made[block] = made[block] | marks if block in made else marks
+        for block in sorted(made):
+            yield pa.RecordBatch.from_pydict({"block": [block], "made": [made[block].tobytes()]})
+
+    blocks = stage(counts.select("keys", "levels").mapInArrow(fill, "block long, made binary"), "blocks")
     made = np.zeros(bits // 8, dtype=np.uint8)
     for row in blocks.toLocalIterator():
         made[row.block * size : (row.block + 1) * size] |= np.frombuffer(row.made, dtype=np.uint8)
@@ -388,8 +509,7 @@ def score(documents: DataFrame, training: DataFrame) -> DataFrame:
                 exact, numbers, base, share = m.looked_up(found)
                 common = exact >= 0
                 by_class, by_token = pair_keys(found, starts, numbers)
-                different, back = np.unique(by_class, return_inverse=True)
-                class_pair = m.pair_counts(different)[back]
+                class_pair = m.class_pair_counts(by_class)
                 pair = class_pair.copy()
                 mixed = np.flatnonzero(by_token != by_class)
                 pair[mixed] = m.pair_counts(by_token[mixed])

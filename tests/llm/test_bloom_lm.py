@@ -119,3 +119,43 @@ def test_tokens_are_looked_up_by_leading_bits(monkeypatch):
         expected = np.where(exact >= 0, model.smoothed(np.maximum(exact, 0)), 0.0)
         assert logs.tolist() == expected.tolist()
         assert shares.tolist() == (10.0**expected).tolist()
+
+
+def test_pairs_are_shuffled_and_kept_in_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(bloom_lm, "MOST_BLOCKS", 8)
+    rng = np.random.RandomState(3)
+    texts = [" ".join(f"w{i}" for i in rng.zipf(1.3, 60) % 500) for _ in range(40)]
+    table = documents(spark, [(i, text, "en", "a") for i, text in enumerate(texts)]).repartition(5)
+    classes = np.unique(bloom_lm.tokens([texts[0].encode()])[0])[:20]
+    expected = Counter()
+    for text in texts:
+        found, starts = bloom_lm.tokens([text.encode()])
+        by_class, by_token = bloom_lm.pair_keys(found, starts, bloom_lm.class_of(found, classes))
+        expected.update(by_class.tolist())
+        expected.update(by_token[by_token != by_class].tolist())
+    counts = bloom_lm.counted(table, classes)
+    rows = counts.collect()
+    parts = bloom_lm.key_parts(spark)
+    assert len(rows) <= parts < len(expected) / 10
+    found = {}
+    for r in rows:
+        keys = np.frombuffer(r.keys, dtype=np.int64)
+        assert set((keys & (parts - 1)).tolist()) == {r.part}
+        found |= dict(zip(keys.tolist(), r.levels, strict=True))
+    assert found == {key: int(bloom_lm.level(np.array([n]))[0]) for key, n in expected.items()}
+    assert bloom_lm.pairs_by_level(counts) == Counter(found.values())
+    low = {r.key: r.n for r in bloom_lm.below_level(counts, 3).collect()}
+    assert low == {key: bloom_lm.COUNTS[q] for key, q in found.items() if q < 3}
+
+
+def test_levels_of_class_pairs_are_read_once(spark):
+    keys = np.unique(np.random.RandomState(4).randint(0, (bloom_lm.CLASSES + 2) ** 2, 3000))
+    table = spark.createDataFrame([(int(k), i % 90 + 1) for i, k in enumerate(keys[::2])], "key long, n long")
+    bits, made = bloom_lm.build_filter(table)
+    model = bloom_lm.Model(1, 1, keys[:0], keys[:0], keys[:0], np.zeros(1), made, bits)
+    read, levels = [], model.levels
+    model.levels = lambda asked: read.extend(asked.tolist()) or levels(asked)
+    asked = np.concatenate([keys, keys[::-1]])
+    first = model.class_pair_counts(asked)
+    assert model.class_pair_counts(asked).tolist() == first.tolist() == model.pair_counts(asked).tolist()
+    assert read[: len(keys)] == keys.tolist() and len(read) == len(keys) + len(asked)
